@@ -21,6 +21,7 @@ from tidepanel.constants import (
 )
 from tidepanel.functions.features import confusion_profit, contact_profit, hit_target
 from tidepanel.operators.ranking import CUMULATIVE, PREVIOUS_SCORE, RANK, ROWS_PER_BUCKET, Ranking, rank
+from tidepanel.operators.scalars import with_scalars
 
 KEY = ("id", "period")
 
@@ -107,7 +108,7 @@ def _with_group(ranking: Ranking, df: DataFrame, per_group: DataFrame) -> DataFr
     """Add the columns of a one-row-per-group table (a one-row table without groups)."""
     if ranking.group:
         return df.join(ranking.small(per_group), list(ranking.group))
-    return df.crossJoin(F.broadcast(per_group))
+    return with_scalars(df, per_group)
 
 
 def mean_gain_curve(
@@ -179,13 +180,10 @@ def score_ensemble_mean(
 ) -> DataFrame:
     """Mean score per row over all models, each model counting once.
 
-    ``keep`` names columns that are equal in all of a row's models (the label) and are carried along.
+    ``keep`` names columns that are equal in all of a row's models (the label). They join the grouping key,
+    which leaves the groups as they are and the aggregation hash-based.
     """
-    return df.groupBy(*by).agg(
-        F.avg(score).alias("score"),
-        F.count(F.lit(1)).alias("n_models"),
-        *[F.first(c).alias(c) for c in keep],
-    )
+    return df.groupBy(*by, *keep).agg(F.avg(score).alias("score"), F.count(F.lit(1)).alias("n_models"))
 
 
 def mean_of_columns(columns: Sequence[str]) -> Column:

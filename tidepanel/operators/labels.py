@@ -14,6 +14,7 @@ from tidepanel.constants import (
 )
 from tidepanel.functions.periods import month_serial
 from tidepanel.operators.history import by_entity
+from tidepanel.operators.scalars import with_scalars
 
 
 def lead_periods(df: DataFrame, *, key: str = "id", period: str = "period") -> DataFrame:
@@ -30,8 +31,8 @@ def last_periods(df: DataFrame, *, period: str = "period") -> DataFrame:
 
 
 def with_last_periods(df: DataFrame, panel: DataFrame, *, period: str = "period") -> DataFrame:
-    """Every row of ``df`` with the two scalars of ``last_periods(panel)`` (one-row broadcast)."""
-    return df.crossJoin(F.broadcast(last_periods(panel, period=period)))
+    """Every row of ``df`` with the two scalars of ``last_periods(panel)``."""
+    return with_scalars(df, last_periods(panel, period=period))
 
 
 def _gap_label(p0: Column, p1: Column, p2: Column, last: Column, previous: Column) -> Column:

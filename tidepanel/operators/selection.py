@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidepanel.constants import CANARY
 from tidepanel.functions.names import numeric_columns
 from tidepanel.operators.sampling import hashed_uniform
+from tidepanel.operators.scalars import with_scalars
 
 
 def canary_sources(columns: Sequence[str], n: int, seed: int) -> list[str]:
@@ -35,7 +36,7 @@ def add_canaries(
     bounds = []
     for c in sorted(set(sources)):
         bounds += [F.min(F.col(c).cast("double")).alias(f"_lo_{c}"), F.max(F.col(c).cast("double")).alias(f"_hi_{c}")]
-    with_bounds = df.crossJoin(F.broadcast(df.agg(*bounds)))
+    with_bounds = with_scalars(df, df.agg(*bounds))
     noise = [
         (
             F.col(f"_lo_{c}")
@@ -69,7 +70,7 @@ def canary_cut(
     if group:
         compared = importances.join(best, list(group), "left")
     else:
-        compared = importances.crossJoin(F.broadcast(best))
+        compared = with_scalars(importances, best)
     above = (
         F.col("_best").isNull()
         | (F.col(gain) > F.col("_best"))

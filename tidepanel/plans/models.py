@@ -50,6 +50,13 @@ MODELS_SCHEMA = (
 )
 
 
+def _training_rows(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Vectors, target and weight as files in key order: fits read them many times, and subsampling draws by
+    position, so a rerun with the same seed must meet the rows in the same order."""
+    ordered = with_vector(df, features, [*keys, "y", "w"]).sortWithinPartitions(*keys)
+    return materialise(ordered.select("y", "w", VECTOR))
+
+
 def with_vector(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` plus the feature vector: values with a sentinel for NULL, then one missing flag per feature."""
     values = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(SENTINEL)).alias(f"_v_{c}") for c in features]
@@ -69,7 +76,6 @@ def classifier(params: Mapping[str, object], rounds: int, seed: int, **extra) ->
         weightCol="w",
         maxIter=rounds,
         seed=seed,
-        probabilityCol="probability",
         **settings,
         **extra,
     )
@@ -157,7 +163,7 @@ def canary_selection(
     features = list(features or numeric_columns(df, [*keys, "y", "w"]))
     probed = add_canaries(known.select(*keys, *features, "y", "w"), n, seed=seed, keys=keys, exclude=["y", "w"])
     inputs = [c for c in probed.columns if c not in (*keys, "y", "w")]
-    frame = materialise(with_vector(probed, inputs, ["y", "w"]))
+    frame = _training_rows(probed, inputs, keys)
     params = {"stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.8, "featureShare": 0.8}
     model = classifier(params, rounds, seed).fit(frame)
     return canary_cut(importances(model, inputs, df.sparkSession))
@@ -178,6 +184,7 @@ def train_seed_ensemble(
     folder: str,
     *,
     metadata: DataFrame | None = None,
+    keys: Sequence[str] = ("id", "period"),
 ) -> tuple[list[Scorer], DataFrame]:
     """One model per chosen trial and seed; returns the scorers and the metadata table.
 
@@ -196,7 +203,7 @@ def train_seed_ensemble(
             model = _saved(path)
             if model is None:
                 if frame is None:
-                    frame = materialise(with_vector(known, features, ["y", "w"]))
+                    frame = _training_rows(known, features, keys)
                 model = classifier(params, rounds, seed).fit(frame)
                 model.write().overwrite().save(path)
             scorers.append(Scorer(name, model, tuple(features)))
@@ -206,6 +213,21 @@ def train_seed_ensemble(
     return scorers, fresh if metadata is None else insert_if_absent(metadata, fresh, ["model_path"])
 
 
+def train_final_model(
+    df: DataFrame,
+    features: Sequence[str],
+    params: Mapping[str, object],
+    best_iter: int,
+    seed: int,
+    *,
+    keys: Sequence[str] = ("id", "period"),
+) -> Scorer:
+    """One model from known parameters and rounds, on every row with a target."""
+    frame = _training_rows(df.where(F.col("y").isNotNull()), features, keys)
+    settings = {**params, "minInstancesPerNode": 3}
+    return Scorer(f"final_seed_{seed}", classifier(settings, best_iter, seed).fit(frame), tuple(features))
+
+
 def load_scorers(metadata: DataFrame, features: Sequence[str], ranks: Sequence[int] = ()) -> list[Scorer]:
     """Models listed in a metadata table, all or those of the given ranks; unreadable ones are left out."""
     chosen = metadata.where(F.col("top_rank").isin(*ranks)) if ranks else metadata
@@ -269,7 +291,7 @@ def hyperparameter_trials(
         with_vector(part.withColumn("is_validation", F.lit(flag)), features, ["id", "period", "label", "y", "w", "is_validation"])
         for part, flag in ((known, False), (validation, True))
     ]
-    frame = materialise(reduce(DataFrame.unionByName, parts))
+    frame = materialise(reduce(DataFrame.unionByName, parts).sortWithinPartitions("id", "period"))
     fitted, held_out = frame.where(F.col("y").isNotNull()), frame.where("is_validation")
 
     rows = []
@@ -282,7 +304,8 @@ def hyperparameter_trials(
         scored, columns = held_out, [f"_s{i}" for i in range(len(models))]
         for model, column in zip(models, columns):
             scored = _add_score(scored, model, VECTOR, column)
-        ensemble = scored.select("id", "period", "label", mean_of_columns(columns).alias("score"))
+        # Written once: the curve reads it several times and would otherwise score again each time.
+        ensemble = materialise(scored.select("id", "period", "label", mean_of_columns(columns).alias("score")))
         result = plateau_gain(ranked_profit(ensemble, group=()), half_width).first()
         best_iter = sum(m.getNumTrees for m in models) / len(models)
         row = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.constants import BAD_PERIODS, CURVE_CEILING, CURVE_FLOOR, FINAL_CONTACTS
 from tidepanel.functions.features import guarded_ratio, tenure_scaled
+from tidepanel.functions.names import within_depth
 from tidepanel.functions.periods import month_of_year
 from tidepanel.operators.curves import (
     KEY,
@@ -22,8 +23,8 @@ from tidepanel.operators.frames import drop_targets, exclude_periods, product_co
 from tidepanel.operators.history import historical_features
 from tidepanel.operators.labels import with_gap_label
 from tidepanel.operators.ranking import rank
+from tidepanel.sources.scratch import materialise
 from tidepanel.sources.tables import read_periods
-from tidepanel.functions.names import within_depth
 
 
 def build_features(
@@ -71,9 +72,9 @@ def gain_summary(
 ) -> DataFrame:
     """(experiment, model, k_opt, gain_max, thr_opt) per model and for the mean of all models."""
     single = best_cut(ranked_profit(scores), floor, ceiling)
-    mean = best_cut(
-        ranked_profit(score_ensemble_mean(scores, keep=["label"]), group=()), floor, ceiling
-    )
+    # Written once: ranking reads its input more than once.
+    together = materialise(score_ensemble_mean(scores, keep=["label"]))
+    mean = best_cut(ranked_profit(together, group=()), floor, ceiling)
     named = mean.select(F.lit(ensemble_name).alias("model"), *mean.columns)
     rows = single.withColumn("model", F.col("model").cast("string")).unionByName(named)
     return rows.select(F.lit(experiment).alias("experiment"), *rows.columns)
@@ -102,7 +103,7 @@ def scenario_predictions(
     wanted = [(s.name, s.period, e) for s in scenarios for e in s.experiments]
     plan = scores.sparkSession.createDataFrame(wanted, "scenario string, period bigint, experiment string")
     chosen = scores.join(F.broadcast(plan), ["period", "experiment"])
-    mean = score_ensemble_mean(chosen, by=["scenario", *KEY])
+    mean = materialise(score_ensemble_mean(chosen, by=["scenario", *KEY]))
     options = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
     ranking = rank(mean, "score", group=["scenario"], tie=KEY, **options)
     return topk_flag(ranking, k).select("scenario", *KEY, "score", "predicted")
