@@ -21,7 +21,6 @@ from tidepanel.constants import (
 )
 from tidepanel.functions.features import confusion_profit, contact_profit, hit_target
 from tidepanel.operators.ranking import CUMULATIVE, PREVIOUS_SCORE, RANK, ROWS_PER_BUCKET, Ranking, rank
-from tidepanel.operators.scalars import with_scalars
 
 KEY = ("id", "period")
 
@@ -93,10 +92,10 @@ def plateau_gain(ranking: Ranking, half_width: int = PLATEAU_HALF_WIDTH) -> Data
         F.greatest(F.col("peak") - half_width, F.lit(0)).alias("_from"),
         (F.col("peak") + half_width).alias("_to"),
     )
-    starts = _with_group(ranking, ranking.offsets(), around).where(
-        (F.col("_n_before") < F.col("_to")) & (F.col("_n_before") + F.col("_n") > F.col("_from"))
+    starts = ranking.overlapping(F.col("_from") + 1, F.col("_to"), around)
+    near = ranking.with_group(ranking.ranked(starts), around).where(
+        (F.col(RANK) > F.col("_from")) & (F.col(RANK) <= F.col("_to"))
     )
-    near = ranking.ranked(starts).where((F.col(RANK) > F.col("_from")) & (F.col(RANK) <= F.col("_to")))
     return near.groupBy(*ranking.group).agg(
         F.avg(CUMULATIVE).alias("plateau_gain"),
         F.max("peak").alias("peak"),
@@ -104,13 +103,6 @@ def plateau_gain(ranking: Ranking, half_width: int = PLATEAU_HALF_WIDTH) -> Data
     )
 
 
-def _with_group(ranking: Ranking, df: DataFrame, per_group: DataFrame) -> DataFrame:
-    """Add the columns of a one-row-per-group table (a one-row table without groups)."""
-    if ranking.group:
-        return df.join(ranking.small(per_group), list(ranking.group))
-    return with_scalars(df, per_group)
-
-
 def mean_gain_curve(
     ranking: Ranking, floor: int = CURVE_FLOOR, ceiling: int = CURVE_CEILING
 ) -> DataFrame:
@@ -136,16 +128,19 @@ def mean_best_cut(ranking: Ranking, floor: int = CURVE_FLOOR, ceiling: int = CUR
 
 def cut_rows(ranking: Ranking, k: int = FINAL_CONTACTS) -> DataFrame:
     """The last row inside the first min(k, n) of each group: only the bucket it lies in is sorted."""
-    goal = F.least(F.lit(k), F.col("_n_group"))
-    starts = ranking.offsets().withColumn("_goal", goal).where(
-        (F.col("_n_before") < F.col("_goal")) & (F.col("_n_before") + F.col("_n") >= F.col("_goal"))
-    )
-    last = ranking.ranked(starts).where(F.col(RANK) == F.col("_goal"))
+    starts = None
+    if not ranking.one_bucket:
+        goal = F.least(F.lit(k), F.col("_n_group"))
+        starts = ranking.offsets().where(
+            (F.col("_n_before") < goal) & (F.col("_n_before") + F.col("_n") >= goal)
+        )
+    inside = ranking.ranked(starts).where(F.col(RANK) <= k)
+    last = inside.groupBy(*ranking.group).agg(F.max(F.struct(RANK, ranking.score, *ranking.tie)).alias("_last"))
     return last.select(
         *ranking.group,
-        F.col(ranking.score).alias("_cut_score"),
-        *[F.col(c).alias(f"_cut_{c}") for c in ranking.tie],
-        F.col(RANK).alias("_cut_rank"),
+        F.col(f"_last.{ranking.score}").alias("_cut_score"),
+        *[F.col(f"_last.{c}").alias(f"_cut_{c}") for c in ranking.tie],
+        F.col(f"_last.{RANK}").alias("_cut_rank"),
     )
 
 
@@ -161,7 +156,7 @@ def topk_flag(ranking: Ranking, k: int = FINAL_CONTACTS, name: str = "predicted"
     if k <= 0:
         return ranking.df.drop("_bucket").withColumn(name, F.lit(0).cast("bigint"))
     cuts = cut_rows(ranking, k)
-    marked = _with_group(ranking, ranking.df.drop("_bucket"), cuts)
+    marked = ranking.with_group(ranking.df.drop("_bucket"), cuts)
     flagged = marked.withColumn(name, F.when(_at_or_above_cut(ranking), 1).otherwise(0).cast("bigint"))
     return flagged.drop("_cut_score", "_cut_rank", *[f"_cut_{c}" for c in ranking.tie])
 
@@ -172,7 +167,7 @@ def cutoff_score(ranking: Ranking, k: int = FINAL_CONTACTS) -> DataFrame:
     cuts = cut_rows(ranking, k).select(
         *ranking.group, F.col("_cut_rank").alias("k"), F.col("_cut_score").alias("score_cut")
     )
-    return _with_group(ranking, best, cuts)
+    return ranking.with_group(best, cuts)
 
 
 def score_ensemble_mean(

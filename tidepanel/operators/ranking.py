@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tidepanel.operators.scalars import with_scalars
+
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 30
@@ -43,6 +45,7 @@ class Ranking:
     group: tuple[str, ...]
     tie: tuple[str, ...]
     gain: str | None
+    one_bucket: bool
     groups_are_few: bool
     buckets_are_few: bool
     _totals: list = field(default_factory=list, compare=False)
@@ -83,33 +86,41 @@ class Ranking:
 
     def ranked(self, offsets: DataFrame | None = None) -> DataFrame:
         """Rows of the given buckets (default all) with rank from 1, running gain and previous score."""
-        starts = self.offsets() if offsets is None else offsets
-        if self.buckets_are_few:
-            starts = F.broadcast(starts)
         inside = Window.partitionBy(*self.bucket_key).orderBy(*self.order)
-        running = inside.rowsBetween(Window.unboundedPreceding, 0)
-        out = (
-            self.df.join(starts, self.bucket_key)
-            .withColumn(RANK, F.col("_n_before") + F.row_number().over(inside))
-            .withColumn(
-                PREVIOUS_SCORE, F.coalesce(F.lag(self.score).over(inside), "_low_before", self.score)
-            )
-        )
+        place, earlier = F.row_number().over(inside).cast("bigint"), F.lag(self.score).over(inside)
+        if self.one_bucket:
+            started, place_from, gain_from, before = self.df, F.lit(0), F.lit(0), F.lit(None)
+        else:
+            starts = self.offsets() if offsets is None else offsets
+            started = self.df.join(F.broadcast(starts) if self.buckets_are_few else starts, self.bucket_key)
+            place_from, gain_from, before = F.col("_n_before"), F.col("_g_before"), F.col("_low_before")
+        added = {RANK: place_from + place, PREVIOUS_SCORE: F.coalesce(earlier, before, self.score)}
         if self.gain:
-            out = out.withColumn(CUMULATIVE, F.col("_g_before") + F.sum(self.gain).over(running))
+            running = F.sum(self.gain).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+            added[CUMULATIVE] = gain_from + running
+        out = started.withColumns(added)
         return out.drop("_n", "_n_before", "_g_before", "_low_before", "_n_group", BUCKET)
 
     def between(self, first: int, last: int | None) -> DataFrame:
         """Ranked rows with first <= rank <= last (no upper end for None)."""
-        starts, wanted = self.offsets(), F.col(RANK) >= first
-        starts = starts.where(F.col("_n_before") + F.col("_n") >= first)
+        wanted = F.col(RANK) >= first
         if last is not None:
-            starts = starts.where(F.col("_n_before") < last)
             wanted = wanted & (F.col(RANK) <= last)
-        return self.ranked(starts).where(wanted)
+        return self.ranked(self.overlapping(F.lit(first), F.lit(last))).where(wanted)
+
+    def overlapping(self, first: Column, last: Column, per_group: DataFrame | None = None) -> DataFrame | None:
+        """Offsets of the buckets that hold ranks first..last; the ends may be columns of ``per_group``."""
+        if self.one_bucket:
+            return None
+        starts = self.offsets()
+        if per_group is not None:
+            starts = self.with_group(starts, per_group)
+        reaches = F.col("_n_before") + F.col("_n") >= first
+        return starts.where(reaches & F.coalesce(F.col("_n_before") < last, F.lit(True))).select(self.offsets().columns)
 
-    def group_sizes(self) -> DataFrame:
-        return self.offsets().groupBy(*self.group).agg(F.sum("_n").alias("n"))
+    def with_group(self, df: DataFrame, per_group: DataFrame) -> DataFrame:
+        """Add the columns of a one-row-per-group table (a one-row table without groups)."""
+        return df.join(self.small(per_group), list(self.group)) if self.group else with_scalars(df, per_group)
 
 
 def rank(
@@ -136,6 +147,7 @@ def rank(
         group,
         tie,
         gain,
+        one_bucket=wanted <= 1,
         groups_are_few=groups * 1.2 <= BROADCAST_ROWS,
         buckets_are_few=groups * 1.2 * buckets <= BROADCAST_ROWS,
     )
