@@ -128,6 +128,21 @@ def test_unneeded_buckets_stay_out_of_the_window(skewed):
     assert 0 < kept < ranking.offsets().count() / 5
 
 
+@pytest.mark.parametrize("hits", ["n % 7 = 0", "n < 6000", "n > 14000", "n % 2 = 0 and n < 9000", "false", "true"])
+def test_peak_is_found_in_the_buckets_kept(spark, hits):
+    """Score falls with n, so the hits decide where the curve peaks."""
+    n = F.col("n")
+    label = F.when(F.expr(hits) & (F.pmod(F.xxhash64("n"), F.lit(30)) == 0), "BAJA+2").otherwise("CONTINUA")
+    rows = spark.range(15_000).withColumnRenamed("id", "n").select(
+        F.lit(1).alias("model"), n.alias("id"), F.lit(202001).alias("period"), label.alias("label"), (-n).alias("score")
+    )
+    small, large = (curves.ranked_profit(rows, rows_per_bucket=size) for size in (200, 10**9))
+    assert curves.max_gain(small).first() == curves.max_gain(large).first()
+    assert curves.plateau_gain(small, 300).first() == curves.plateau_gain(large, 300).first()
+    if hits == "n < 6000":
+        assert small.holding_the_peak().count() < small.offsets().count() / 2
+
+
 def test_ensemble_of_copies_is_the_model(spark):
     rows = make(spark, [(m, i, 202001, None, i / 7) for m in (1, 2, 3) for i in range(5)])
     mean = curves.score_ensemble_mean(rows, keep=["label"])

@@ -75,7 +75,7 @@ def max_gain(ranking: Ranking) -> DataFrame:
 
 def _peaks(ranking: Ranking) -> DataFrame:
     top = F.max(F.struct(F.col(CUMULATIVE), -F.col(RANK)))
-    found = ranking.ranked().groupBy(*ranking.group).agg(top.alias("top"))
+    found = ranking.ranked(ranking.holding_the_peak()).groupBy(*ranking.group).agg(top.alias("top"))
     return found.select(
         *ranking.group,
         (-F.col("top").getField("col2") - 1).alias("peak"),

@@ -24,7 +24,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidepanel.operators.scalars import with_scalars
 
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 30
 # Bucket tables and per-group tables are broadcast up to this many rows, joined by shuffle beyond.
@@ -34,6 +34,7 @@ BUCKET = "_bucket"
 RANK = "rk"
 CUMULATIVE = "cum"
 PREVIOUS_SCORE = "prev_score"
+OFFSETS = ("_n", "_n_before", "_g_before", "_low_before", "_n_group", "_g_top", "_g_reached")
 
 
 @dataclass(frozen=True)
@@ -63,23 +64,38 @@ class Ranking:
         return F.broadcast(per_group) if self.groups_are_few else per_group
 
     def offsets(self) -> DataFrame:
-        """Per bucket: rows and gain before it, its own rows, lowest score before it, rows of the group."""
+        """Per bucket: its rows, rows and gain before it, lowest score before it, rows of the group.
+
+        ``_g_top`` is a bound on the running gain inside the bucket, ``_g_reached`` the highest running gain
+        of the group at the end of a bucket.
+        """
         if self._totals:
             return self._totals[0]
-        gain = F.sum(self.gain) if self.gain else F.lit(0).cast("bigint")
+        gain = F.col(self.gain) if self.gain else F.lit(0).cast("bigint")
         totals = self.df.groupBy(*self.bucket_key).agg(
-            F.count(F.lit(1)).alias("_n"), gain.alias("_g"), F.min(self.score).alias("_low")
+            F.count(F.lit(1)).alias("_n"),
+            F.sum(gain).alias("_g"),
+            F.sum(F.greatest(gain, F.lit(0))).alias("_gains"),
+            F.min(self.score).alias("_low"),
         )
         # One row per bucket: at most a few ten thousand rows per group.
         along = Window.partitionBy(*self.group).orderBy(BUCKET)
         before = along.rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy(*self.group)
         frame = totals.select(
             *self.bucket_key,
             "_n",
+            "_g",
+            "_gains",
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
             F.coalesce(F.sum("_g").over(before), F.lit(0)).alias("_g_before"),
             F.lag("_low").over(along).alias("_low_before"),
-            F.sum("_n").over(Window.partitionBy(*self.group)).alias("_n_group"),
+            F.sum("_n").over(whole).alias("_n_group"),
+        ).select(
+            *self.bucket_key,
+            *["_n", "_n_before", "_g_before", "_low_before", "_n_group"],
+            (F.col("_g_before") + F.col("_gains")).alias("_g_top"),
+            F.max(F.col("_g_before") + F.col("_g")).over(whole).alias("_g_reached"),
         )
         self._totals.append(frame)
         return frame
@@ -99,7 +115,7 @@ class Ranking:
             running = F.sum(self.gain).over(inside.rowsBetween(Window.unboundedPreceding, 0))
             added[CUMULATIVE] = gain_from + running
         out = started.withColumns(added)
-        return out.drop("_n", "_n_before", "_g_before", "_low_before", "_n_group", BUCKET)
+        return out.drop(*OFFSETS, BUCKET)
 
     def between(self, first: int, last: int | None) -> DataFrame:
         """Ranked rows with first <= rank <= last (no upper end for None)."""
@@ -118,6 +134,11 @@ class Ranking:
         reaches = F.col("_n_before") + F.col("_n") >= first
         return starts.where(reaches & F.coalesce(F.col("_n_before") < last, F.lit(True))).select(self.offsets().columns)
 
+    def holding_the_peak(self) -> DataFrame | None:
+        """Offsets of the buckets in which the running gain may be highest: the others cannot get there even
+        if all their gains came before all their losses."""
+        return None if self.one_bucket else self.offsets().where(F.col("_g_top") >= F.col("_g_reached"))
+
     def with_group(self, df: DataFrame, per_group: DataFrame) -> DataFrame:
         """Add the columns of a one-row-per-group table (a one-row table without groups)."""
         return df.join(self.small(per_group), list(self.group)) if self.group else with_scalars(df, per_group)
