@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STATISTICS = ("mean", "min", "max", "trend", "ratio_mean", "ratio_max")
 _ROW = "__row"
@@ -26,15 +27,14 @@ def with_row_index(df: DataFrame, name: str = "row_index", key: str = "id", peri
     return df.withColumn(name, F.row_number().over(by_entity(key, period)))
 
 
-def _rolling_sums(c: str, window: int) -> list[str]:
-    """Shared parts of the statistics over the frame ``__c_0`` (newest) .. ``__c_{window-1}`` (oldest)."""
-    values = [f"`__{c}_{i}`" for i in range(window)]
+def _rolling_sums(c: str, values: Sequence[str]) -> list[str]:
+    """Shared parts of the statistics over a frame given newest value first."""
     # Oldest first, the order in which a running aggregate would add them.
     total = " + ".join(f"coalesce({v}, 0D)" for v in reversed(values))
     known = " + ".join(f"cast({v} is not null as int)" for v in values)
     cross = " + ".join(f"coalesce({v}, 0D) * -{i}D" for i, v in enumerate(values))
     places = " + ".join(f"if({v} is null, 0, -{i})" for i, v in enumerate(values))
-    largest = values[0] if window == 1 else f"greatest({', '.join(values)})"
+    largest = values[0] if len(values) == 1 else f"greatest({', '.join(values)})"
     return [
         f"{total} as `__{c}_sum`",
         f"{known} as `__{c}_n`",
@@ -44,8 +44,8 @@ def _rolling_sums(c: str, window: int) -> list[str]:
     ]
 
 
-def _statistic(name: str, c: str, window: int) -> str:
-    values = [f"`__{c}_{i}`" for i in range(window)]
+def _statistic(name: str, c: str, values: Sequence[str]) -> str:
+    window = len(values)
     mean = f"try_divide(`__{c}_sum`, `__{c}_n`)"
     if name == "mean":
         return f"{mean} as `{c}_avg{window}`"
@@ -78,29 +78,34 @@ def historical_features(
     key: str = "id",
     period: str = "period",
 ) -> DataFrame:
-    """All input columns plus, per listed column, its lags and deltas and the rolling statistics.
+    """All input columns plus, per listed column, its lags and deltas and the rolling statistics, as doubles.
 
     ``lags`` is a depth (levels 1..depth) or a list of levels. Expressions are given as SQL text because the
-    usual call makes close to a thousand of them.
+    usual call makes close to a thousand of them. Casts come after the window, so the exchange carries the
+    input columns and nothing else.
     """
     levels = list(range(1, lags + 1)) if isinstance(lags, int) else list(lags)
     reach = max([0, *levels, window - 1 if statistics else 0])
     over = f"over (partition by `{key}` order by `{period}`)"
 
-    clean = df.selectExpr("*", *[f"cast(`{c}` as double) as `__{c}_0`" for c in columns])
-    seen = clean.selectExpr(
+    def at(c: str, k: int) -> str:
+        """The column's value ``k`` rows earlier."""
+        value = f"`__{c}_{k}`" if k else f"`{c}`"
+        return value if isinstance(df.schema[c].dataType, T.DoubleType) else f"cast({value} as double)"
+
+    seen = df.selectExpr(
         "*",
         f"row_number() {over} as {_ROW}",
-        *[f"lag(`__{c}_0`, {k}) {over} as `__{c}_{k}`" for k in range(1, reach + 1) for c in columns],
+        *[f"lag(`{c}`, {k}) {over} as `__{c}_{k}`" for k in range(1, reach + 1) for c in columns],
     )
-    if statistics:
-        seen = seen.selectExpr("*", *[e for c in columns for e in _rolling_sums(c, window)])
+    frames = {c: [at(c, k) for k in range(window)] for c in columns} if statistics else {}
+    seen = seen.selectExpr("*", *[e for c, values in frames.items() for e in _rolling_sums(c, values)])
 
     out = [f"`{c}`" for c in df.columns]
     for c in columns:
-        out += [f"`__{c}_{k}` as `{c}_lag{k}`" for k in levels]
-        out += [f"`__{c}_0` - `__{c}_{k}` as `{c}_delta{k}`" for k in levels]
-        out += [_statistic(s, c, window) for s in statistics]
+        out += [f"{at(c, k)} as `{c}_lag{k}`" for k in levels]
+        out += [f"{at(c, 0)} - {at(c, k)} as `{c}_delta{k}`" for k in levels]
+        out += [_statistic(s, c, frames[c]) for s in statistics]
     return seen.selectExpr(*out)
 
 

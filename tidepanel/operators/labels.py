@@ -59,12 +59,12 @@ def churn_label_gap(df: DataFrame, *, key: str = "id", period: str = "period") -
 def with_gap_label(df: DataFrame, *, key: str = "id", period: str = "period") -> DataFrame:
     """The panel with its gap label. Leads are taken on the panel itself, so there is no join on the key."""
     order = by_entity(key, period)
-    serial = df.withColumn("_p0", month_serial(F.col(period)))
-    leads = serial.select(
-        "*", F.lead("_p0", 1).over(order).alias("_p1"), F.lead("_p0", 2).over(order).alias("_p2")
+    leads = df.select(
+        "*", F.lead(period, 1).over(order).alias("_next"), F.lead(period, 2).over(order).alias("_second")
     )
-    columns = [F.col(c) for c in ("_p0", "_p1", "_p2", "last_serial", "previous_serial")]
-    labelled = with_last_periods(leads, df, period=period).withColumn("label", _gap_label(*columns))
+    serials = [month_serial(F.col(c)) for c in (period, "_next", "_second")]
+    label = _gap_label(*serials, F.col("last_serial"), F.col("previous_serial"))
+    labelled = with_last_periods(leads, df, period=period).withColumn("label", label)
     return labelled.select(*df.columns, "label")
 
 

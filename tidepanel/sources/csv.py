@@ -35,7 +35,8 @@ def sampled_schema(
     """Types from the first rows; integer money columns (by name) become double; ``types`` win over both."""
     types = types or {}
     text = spark.read.csv(path, header=True)
-    head = text.limit(rows)
+    # take() opens as few splits as it needs; a limit below an aggregate would open all of them.
+    head = spark.createDataFrame(text.take(rows), text.schema)
 
     def fits(kind: str, value) -> F.Column:
         return F.coalesce(F.bool_and(value.isNotNull() | F.col(kind).isNull()), F.lit(True))

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach. Sets the checkpoint folder in local mode if the session has none."""
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not current:
+            context.setCheckpointDir(configured)
         return configured
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
     if current:
         return current
     if not context.master.startswith("local"):
