@@ -8,7 +8,7 @@ from catalog.inputs import MEASURES, SNAP_COLUMNS, importances, labelled, r, rou
 from catalog.registry import query
 from tidepanel.functions.features import binary_target, class_weight
 from tidepanel.operators import history, sampling, selection
-from tidepanel.plans import models, pipeline
+from tidepanel.plans import models, stages
 from tidepanel.sources import tables
 from tidepanel.sources.scratch import fresh_path
 
@@ -77,14 +77,14 @@ def prediction_frame(spark, d):
     panel = labelled(spark, d).select("id", "period", "m_price", "label")
     both = history.delta_features(history.lag_features(panel, ["m_price"], 3), ["m_price"], 3)
     tables.write_period_table(both, path)
-    found = pipeline.prediction_frame(spark, path, 200007, 1)
+    found = stages.prediction_frame(spark, path, 200007, 1)
     return found.select("id", "period", "m_price", "m_price_lag1", "m_price_delta1")
 
 
 SCENARIOS = [
-    pipeline.Scenario("first_group", 199607, ("a",)),
-    pipeline.Scenario("all_groups", 199607, ("a", "b")),
-    pipeline.Scenario("later_month", 199801, ("a", "b")),
+    stages.Scenario("first_group", 199607, ("a",)),
+    stages.Scenario("all_groups", 199607, ("a", "b")),
+    stages.Scenario("later_month", 199801, ("a", "b")),
 ]
 SENDS = 40
 
@@ -102,7 +102,7 @@ SENDS = 40
 )
 def scenario_predictions(spark, d):
     tagged = scores(spark, d).withColumn("experiment", F.when(F.col("model") <= 2, "a").otherwise("b"))
-    return pipeline.scenario_predictions(tagged, SCENARIOS, SENDS)
+    return stages.scenario_predictions(tagged, SCENARIOS, SENDS)
 
 
 _SOURCES = selection.canary_sources([*MEASURES, "s_nationkey"], 4, 42)

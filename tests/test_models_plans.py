@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions.features import binary_target, class_weight
 from tidepanel.operators import curves
-from tidepanel.plans import models, pipeline
+from tidepanel.plans import models, stages
 from tidepanel.sources import tables
 from tidepanel.sources.scratch import fresh_path
 
@@ -131,7 +131,7 @@ def test_build_features_shuffles_once(spark, panel):
     path = fresh_path(spark, "raw")
     raw = panel.select("id", "period", F.col("signal").alias("m_a"), F.col("noise").alias("n_b"), F.lit(3).alias("age"))
     tables.replace_table(raw, path)
-    built = pipeline.build_features(
+    built = stages.build_features(
         spark.read.parquet(path),
         ["m_a", "n_b"],
         groups={"m": "m_", "n": "n_"},
@@ -164,12 +164,12 @@ def test_gain_summary_and_scenarios(spark, panel):
     scores = panel.select(
         F.explode(F.array(F.lit("m1"), F.lit("m2"))).alias("model"), "id", "period", "label", (1 - F.col("signal")).alias("score")
     )
-    summary = pipeline.gain_summary(scores, "exp", floor=10, ceiling=500).collect()
+    summary = stages.gain_summary(scores, "exp", floor=10, ceiling=500).collect()
     assert sorted(r["model"] for r in summary) == ["SOFT_VOTING_ENSEMBLE", "m1", "m2"]
     assert len({(r["k_opt"], r["gain_max"]) for r in summary}) == 1
     tagged = scores.withColumn("experiment", F.when(F.col("model") == "m1", "e1").otherwise("e2"))
-    plan = [pipeline.Scenario("s1", 202005, ("e1",)), pipeline.Scenario("s2", 202006, ("e1", "e2"))]
-    out = pipeline.scenario_predictions(tagged, plan, 25, rows_per_bucket=100)
+    plan = [stages.Scenario("s1", 202005, ("e1",)), stages.Scenario("s2", 202006, ("e1", "e2"))]
+    out = stages.scenario_predictions(tagged, plan, 25, rows_per_bucket=100)
     counts = {r["scenario"]: (r["n"], r["p"]) for r in out.groupBy("scenario").agg(F.count("*").alias("n"), F.sum("predicted").alias("p")).collect()}
     assert counts == {"s1": (400, 25), "s2": (400, 25)}
 
@@ -178,6 +178,6 @@ def test_prediction_frame(spark, panel):
     path = fresh_path(spark, "features")
     wide = panel.select("id", "period", "signal", *[F.lit(i).alias(f"signal_lag{i}") for i in (1, 2, 3)], "label", "y", "w")
     tables.write_period_table(wide, path)
-    out = pipeline.prediction_frame(spark, path, 202004, 2)
+    out = stages.prediction_frame(spark, path, 202004, 2)
     assert sorted(out.columns) == ["id", "period", "signal", "signal_lag1", "signal_lag2"]
     assert out.count() == 400

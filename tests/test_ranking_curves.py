@@ -56,6 +56,43 @@ def test_heavy_ties_are_split(skewed):
     assert largest < 1500
 
 
+@pytest.mark.parametrize("common", ["0.5", "null", "'NaN'", "'-Infinity'", "'Infinity'", "1.7976931348623157E308"])
+def test_any_frequent_score_and_a_frequent_id_are_split(spark, common):
+    """Half of the rows share a score, and half of those one id; text ids leave only the score to split by."""
+    n = F.col("n")
+    rows = spark.range(12_000).withColumnRenamed("id", "n").select(
+        F.lit(1).alias("model"),
+        F.when(n % 4 == 0, 3000).otherwise(n).cast("bigint").alias("id"),
+        n.cast("bigint").alias("period"),
+        F.when(n % 50 == 0, "BAJA+2").alias("label"),
+        F.when(n % 2 == 0, F.expr(f"cast({common} as double)")).otherwise(F.sin("n")).alias("score"),
+    )
+    ranking = curves.ranked_profit(rows, rows_per_bucket=300)
+    largest = ranking.df.groupBy(*ranking.bucket_key).count().agg(F.max("count")).first()[0]
+    assert largest < 900
+    for frame in (rows, rows.withColumn("id", F.col("id").cast("string"))):
+        found = curves.cumulative_gain(curves.ranked_profit(frame, rows_per_bucket=300))
+        assert found.select("period", "rk", "cum").exceptAll(plain(frame).select("period", "rk", "cum")).count() == 0
+        assert found.count() == 12_000
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,2)", "float"])
+def test_neighbouring_large_scores_keep_their_order(spark, kind):
+    """Scores that share a double, or many equal ones of a type that has no exact double."""
+    n = F.col("n")
+    large = F.lit(2**53) + n % 3 if kind == "bigint" else n % 3
+    rows = spark.range(6_000).withColumnRenamed("id", "n").select(
+        F.lit(1).alias("model"),
+        n.alias("id"),
+        (n % 7).alias("period"),
+        F.lit("CONTINUA").alias("label"),
+        F.when(n % 5 > 0, large).cast(kind).alias("score"),
+    )
+    found = curves.cumulative_gain(curves.ranked_profit(rows, rows_per_bucket=100)).select("id", "rk", "cum")
+    assert found.exceptAll(plain(rows).select("id", "rk", "cum")).count() == 0
+    assert found.count() == 6_000
+
+
 def test_last_running_profit_is_the_total(skewed):
     ranking = curves.ranked_profit(skewed, rows_per_bucket=700)
     last = ranking.ranked().groupBy("model").agg(F.max_by("cum", "rk").alias("last"), F.sum("gain").alias("total"))

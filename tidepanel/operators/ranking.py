@@ -1,10 +1,10 @@
 """Ranks and running totals in score order without putting a whole score list into one task.
 
-Order is (score desc, tie-break columns asc) within each group; (group, tie-break columns) must be unique,
-the group columns not NULL and the first tie-break column numeric.
+Order is (score desc, tie-break columns asc) within each group; (group, tie-break columns) must be unique and
+the group columns not NULL.
 
-Two levels: a pure function of the score (and, for scores shared by very many rows, of the first tie-break
-column) puts each row into a bucket whose number follows the order. Bucket totals are a small pre-aggregated
+Two levels: a pure function of the score (and, for scores shared by very many rows, of the tie-break columns)
+puts each row into a bucket whose number follows the order. Bucket totals are a small pre-aggregated
 table; their running sums tell every bucket where it starts. Inside a bucket an ordinary window finishes the
 job. Buckets that cannot hold a wanted position are dropped before that window's shuffle.
 
@@ -14,12 +14,15 @@ Bucket limits come from a hashed sample and only steer the balance; every row is
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import takewhile
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from tidepanel.operators.scalars import with_scalars
@@ -177,55 +180,70 @@ def rank(
 def _bucketed(
     df: DataFrame, score: str, group: tuple[str, ...], tie: tuple[str, ...], n: int, wanted: int
 ) -> tuple[DataFrame, int]:
-    # NULL scores rank last and NULL tie-breaks first: both are the smallest value of their column.
-    lowest = F.lit(float("-inf"))
-    value = F.coalesce(F.col(score).cast("double"), lowest)
-    tie_value = F.coalesce(F.col(tie[0]).cast("double"), lowest)
+    """``df`` with its bucket number, and how many numbers there may be.
+
+    Level 0 splits by score. A score shared by very many rows is split further by the first tie-break column,
+    a value of that which is still too frequent by the next, as long as the columns are numeric.
+    """
+    kind = _kind(df, score)
+    whole = list(takewhile(lambda c: isinstance(df.schema[c].dataType, T.IntegralType), tie))
+    values = {"_v0": F.when(kind == 0, F.col(score).cast("double")).otherwise(0.0)}
+    values |= {f"_v{i}": F.coalesce(F.col(c).cast("double"), F.lit(-sys.float_info.max)) for i, c in enumerate(whole, 1)}
+    exact = [_exact_below(df.schema[c].dataType) for c in (score, *whole)]
     spacing = max(1, n // (wanted * SAMPLES_PER_BUCKET))
     # Keyed on the unique columns, so the sample is spread evenly whatever the scores look like.
     chosen = F.pmod(F.xxhash64(*group, *tie), F.lit(spacing)) == 0
-    sample = df.where(chosen).select(value.alias("_v"), tie_value.alias("_t"))
+    sample = df.where(chosen).select(*[v.alias(name) for name, v in values.items()])
     sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        limits, heavy = _score_limits(sample, wanted)
-        tie_limits = _tie_limits(sample, heavy, wanted) if heavy else []
+        levels = _levels(sample, dict(zip(values, exact)), wanted)
     finally:
         sample.unpersist()
 
-    out = _number(df.withColumn("_v", value), "_v", limits, "_score_no")
-    number = F.lit(len(limits) + 1) - F.col("_score_no")
-    parts = len(tie_limits) + 1
-    if tie_limits:
-        out = _number(out.withColumn("_t", tie_value), "_t", tie_limits, "_tie_no")
-        number = number * parts + F.when(F.col("_v").isin(heavy), F.col("_tie_no")).otherwise(0)
-    bucketed = out.withColumn(BUCKET, number.cast("bigint")).drop("_v", "_t", "_score_no", "_tie_no")
-    return bucketed, (len(limits) + 2) * parts
-
+    out, number, numbers, crowded = df.withColumns(values), (2 - kind).cast("double"), 5, F.lit(True)
+    for i, (limits, heavy) in enumerate(levels):
+        splits = [-math.inf, *limits, math.inf]
+        out = Bucketizer(splits=splits, inputCol=f"_v{i}", outputCol=f"_no{i}").transform(out)
+        place = F.lit(float(len(limits))) - F.col("_no0") if i == 0 else F.col(f"_no{i}")
+        number = number * (len(limits) + 1) + F.when(crowded, place).otherwise(0.0)
+        numbers *= len(limits) + 1
+        crowded = crowded & F.col(f"_v{i}").isin(heavy)
+    extra = [*values, *[f"_no{i}" for i in range(len(levels))]]
+    return out.withColumn(BUCKET, number.cast("bigint")).drop(*extra), numbers
 
-def _quantiles(sample: DataFrame, column: str, parts: int) -> list[float]:
-    grid = [i / parts for i in range(1, parts)]
-    if not grid:
-        return []
-    found = sample.agg(F.percentile_approx(column, grid, 20 * parts)).first()[0]
-    return [v for v in found or [] if math.isfinite(v)]
 
+def _kind(df: DataFrame, score: str) -> Column:
+    """NaN, infinity, number, minus infinity, NULL as 2, 1, 0, -1, -2: their order among scores."""
+    value = F.col(score)
+    kind = F.when(value.isNull(), -2)
+    if isinstance(df.schema[score].dataType, T.FractionalType) and not isinstance(df.schema[score].dataType, T.DecimalType):
+        infinity = F.lit(math.inf)
+        kind = kind.when(F.isnan(value), 2).when(value == infinity, 1).when(value == -infinity, -1)
+    return kind.otherwise(0)
 
-def _score_limits(sample: DataFrame, parts: int) -> tuple[list[float], list[float]]:
-    """Split points of the score, and the scores that fill whole buckets by themselves.
-
-    Such a score gets a bucket of its own: it starts at the score and ends at the next larger double.
-    """
-    points = _quantiles(sample, "_v", parts)
-    heavy = sorted({a for a, b in zip(points, points[1:]) if a == b})
-    limits = set(points) | {math.nextafter(v, math.inf) for v in heavy}
-    return sorted(v for v in limits if math.isfinite(v)), heavy
 
+def _exact_below(kind: T.DataType) -> float:
+    """Size up to which a double stands for one value of the type only."""
+    if isinstance(kind, T.DecimalType):
+        return 0.0
+    return 2.0**53 if isinstance(kind, T.IntegralType) else math.inf
 
-def _tie_limits(sample: DataFrame, heavy: list[float], parts: int) -> list[float]:
-    return sorted(set(_quantiles(sample.where(F.col("_v").isin(heavy)), "_t", parts)))
 
+def _levels(sample: DataFrame, exact: dict[str, float], wanted: int) -> list[tuple[list[float], list[float]]]:
+    """Per level: the split points, and the values that fill whole buckets by themselves.
 
-def _number(df: DataFrame, column: str, limits: list[float], name: str) -> DataFrame:
-    """Index of the interval the value falls into; NaN, the largest value in Spark's order, comes last."""
-    splits = [-math.inf, *limits, math.inf]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+    Such a value gets a bucket of its own, from itself to the next larger double, and goes on to the next level,
+    unless its double may stand for several values: their order would be lost there.
+    """
+    total, found = max(1, sample.count()), []
+    for column, below in exact.items():
+        parts = math.ceil(wanted * sample.count() / total) + 1
+        grid = [i / parts for i in range(1, parts)]
+        points = sample.approxQuantile(column, grid, 1 / (20 * parts))
+        heavy = sorted({a for a, b in zip(points, points[1:]) if a == b and abs(a) < below})
+        limits = sorted({v for p in points for v in ([p, math.nextafter(p, math.inf)] if p in heavy else [p])})
+        found.append(([v for v in limits if math.isfinite(v)], heavy))
+        if not heavy:
+            break
+        sample = sample.where(F.col(column).isin(heavy))
+    return found
