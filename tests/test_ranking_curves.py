@@ -93,6 +93,23 @@ def test_neighbouring_large_scores_keep_their_order(spark, kind):
     assert found.count() == 6_000
 
 
+def test_minus_zero_ties_with_zero(spark):
+    score = F.when(F.col("id") % 2 == 0, F.lit(0.0)).otherwise(F.lit(-0.0))
+    rows = spark.range(3_000).select(
+        F.lit(1).alias("model"), "id", F.lit(1).alias("period"), F.lit(None).cast("string").alias("label"), score.alias("score")
+    )
+    found = curves.cumulative_gain(curves.ranked_profit(rows, rows_per_bucket=100))
+    assert [r["rk"] for r in found.orderBy("id").collect()] == list(range(1, 3_001))
+
+
+def test_many_buckets_are_joined_by_shuffle(skewed, monkeypatch):
+    monkeypatch.setattr("tidepanel.operators.ranking.BROADCAST_ROWS", 3)
+    small = curves.ranked_profit(skewed, rows_per_bucket=200)
+    large = curves.ranked_profit(skewed, rows_per_bucket=10**9)
+    for f in (lambda r: curves.best_cut(r, 100, 1000), lambda r: curves.plateau_gain(r, 50)):
+        assert sorted(map(repr, f(small).collect())) == sorted(map(repr, f(large).collect()))
+
+
 def test_last_running_profit_is_the_total(skewed):
     ranking = curves.ranked_profit(skewed, rows_per_bucket=700)
     last = ranking.ranked().groupBy("model").agg(F.max_by("cum", "rk").alias("last"), F.sum("gain").alias("total"))

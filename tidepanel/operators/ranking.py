@@ -26,11 +26,12 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from tidepanel.operators.scalars import with_scalars
+from tidepanel.sources.scratch import materialise
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 30
-# Bucket tables and per-group tables are broadcast up to this many rows, joined by shuffle beyond.
+# Bucket tables and per-group tables are counted, broadcast up to this many rows, joined by shuffle beyond.
 BROADCAST_ROWS = 500_000
 
 BUCKET = "_bucket"
@@ -51,7 +52,6 @@ class Ranking:
     gain: str | None
     one_bucket: bool
     groups_are_few: bool
-    buckets_are_few: bool
     _totals: list = field(default_factory=list, compare=False)
 
     @property
@@ -75,11 +75,14 @@ class Ranking:
         if self._totals:
             return self._totals[0]
         gain = F.col(self.gain) if self.gain else F.lit(0).cast("bigint")
-        totals = self.df.groupBy(*self.bucket_key).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(gain).alias("_g"),
-            F.sum(F.greatest(gain, F.lit(0))).alias("_gains"),
-            F.min(self.score).alias("_low"),
+        # Written once: every operator on this ranking starts from these few rows.
+        totals = materialise(
+            self.df.groupBy(*self.bucket_key).agg(
+                F.count(F.lit(1)).alias("_n"),
+                F.sum(gain).alias("_g"),
+                F.sum(F.greatest(gain, F.lit(0))).alias("_gains"),
+                F.min(self.score).alias("_low"),
+            )
         )
         # One row per bucket: at most a few ten thousand rows per group.
         along = Window.partitionBy(*self.group).orderBy(BUCKET)
@@ -111,7 +114,8 @@ class Ranking:
             started, place_from, gain_from, before = self.df, F.lit(0), F.lit(0), F.lit(None)
         else:
             starts = self.offsets() if offsets is None else offsets
-            started = self.df.join(F.broadcast(starts) if self.buckets_are_few else starts, self.bucket_key)
+            few = starts.count() <= BROADCAST_ROWS
+            started = self.df.join(F.broadcast(starts) if few else starts, self.bucket_key)
             place_from, gain_from, before = F.col("_n_before"), F.col("_g_before"), F.col("_low_before")
         added = {RANK: place_from + place, PREVIOUS_SCORE: F.coalesce(earlier, before, self.score)}
         if self.gain:
@@ -162,9 +166,9 @@ def rank(
     n, groups = df.agg(F.count(F.lit(1)), distinct).first()
     wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
     if wanted <= 1:
-        bucketed, buckets = df.withColumn(BUCKET, F.lit(0).cast("bigint")), 1
+        bucketed = df.withColumn(BUCKET, F.lit(0).cast("bigint"))
     else:
-        bucketed, buckets = _bucketed(df, score, group, tie, n, wanted)
+        bucketed = _bucketed(df, score, group, tie, n, wanted)
     return Ranking(
         bucketed,
         score,
@@ -173,21 +177,20 @@ def rank(
         gain,
         one_bucket=wanted <= 1,
         groups_are_few=groups * 1.2 <= BROADCAST_ROWS,
-        buckets_are_few=groups * 1.2 * buckets <= BROADCAST_ROWS,
     )
 
 
 def _bucketed(
     df: DataFrame, score: str, group: tuple[str, ...], tie: tuple[str, ...], n: int, wanted: int
-) -> tuple[DataFrame, int]:
-    """``df`` with its bucket number, and how many numbers there may be.
+) -> DataFrame:
+    """``df`` with its bucket number.
 
     Level 0 splits by score. A score shared by very many rows is split further by the first tie-break column,
-    a value of that which is still too frequent by the next, as long as the columns are numeric.
+    a value of that which is still too frequent by the next, as long as the columns are whole numbers.
     """
     kind = _kind(df, score)
     whole = list(takewhile(lambda c: isinstance(df.schema[c].dataType, T.IntegralType), tie))
-    values = {"_v0": F.when(kind == 0, F.col(score).cast("double")).otherwise(0.0)}
+    values = {"_v0": F.when(kind == 0, F.col(score).cast("double") + F.lit(0.0)).otherwise(0.0)}
     values |= {f"_v{i}": F.coalesce(F.col(c).cast("double"), F.lit(-sys.float_info.max)) for i, c in enumerate(whole, 1)}
     exact = [_exact_below(df.schema[c].dataType) for c in (score, *whole)]
     spacing = max(1, n // (wanted * SAMPLES_PER_BUCKET))
@@ -200,16 +203,15 @@ def _bucketed(
     finally:
         sample.unpersist()
 
-    out, number, numbers, crowded = df.withColumns(values), (2 - kind).cast("double"), 5, F.lit(True)
+    out, number, crowded = df.withColumns(values), (2 - kind).cast("double"), F.lit(True)
     for i, (limits, heavy) in enumerate(levels):
         splits = [-math.inf, *limits, math.inf]
         out = Bucketizer(splits=splits, inputCol=f"_v{i}", outputCol=f"_no{i}").transform(out)
         place = F.lit(float(len(limits))) - F.col("_no0") if i == 0 else F.col(f"_no{i}")
         number = number * (len(limits) + 1) + F.when(crowded, place).otherwise(0.0)
-        numbers *= len(limits) + 1
         crowded = crowded & F.col(f"_v{i}").isin(heavy)
     extra = [*values, *[f"_no{i}" for i in range(len(levels))]]
-    return out.withColumn(BUCKET, number.cast("bigint")).drop(*extra), numbers
+    return out.withColumn(BUCKET, number.cast("bigint")).drop(*extra)
 
 
 def _kind(df: DataFrame, score: str) -> Column:
@@ -239,7 +241,7 @@ def _levels(sample: DataFrame, exact: dict[str, float], wanted: int) -> list[tup
     for column, below in exact.items():
         parts = math.ceil(wanted * sample.count() / total) + 1
         grid = [i / parts for i in range(1, parts)]
-        points = sample.approxQuantile(column, grid, 1 / (20 * parts))
+        points = [p + 0.0 for p in sample.approxQuantile(column, grid, 1 / (20 * parts))]
         heavy = sorted({a for a, b in zip(points, points[1:]) if a == b and abs(a) < below})
         limits = sorted({v for p in points for v in ([p, math.nextafter(p, math.inf)] if p in heavy else [p])})
         found.append(([v for v in limits if math.isfinite(v)], heavy))
