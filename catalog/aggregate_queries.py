@@ -9,7 +9,6 @@ from catalog.inputs import (
     MEASURES,
     TOP,
     deltas,
-    ensemble,
     importances,
     labelled,
     r,
@@ -186,11 +185,9 @@ def cutoff_score(spark, d):
         "runs",
         body=f"""SELECT trial, {r('avg(best_iter)')} AS mean_best_iter, CAST(trunc(avg(best_iter)) AS bigint) AS rounds,
   {r('avg(plateau_gain)', 4)} AS plateau_gain, max(gain_max) AS gain_max,
-  CAST(split_part(max(lpad(gain_max::varchar, 15, '0') || '/' || lpad((1000000000 - peak)::varchar, 12, '0')), '/', 2)
-    AS bigint) AS peak_code FROM runs GROUP BY trial""",
-    ).replace("SELECT trial, (round(avg(best_iter)", "SELECT trial, mean_best_iter, rounds, plateau_gain, gain_max, "
-              "1000000000 - peak_code AS peak FROM (SELECT trial, (round(avg(best_iter)", 1)
-    + ")"
+  max(CASE WHEN place = 1 THEN peak END) AS peak FROM (
+    SELECT *, row_number() OVER (PARTITION BY trial ORDER BY gain_max DESC, peak) AS place FROM runs) GROUP BY trial""",
+    )
 )
 def trial_summary(spark, d):
     found = trials.trial_summary(runs(spark, d))

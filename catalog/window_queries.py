@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from catalog.aggregate_queries import PIVOT, Z_BY_PERIOD, Z_TOTAL, _DELTAS
 from catalog.inputs import (
     BAD,
-    DELTA_FEATURES,
     SNAP_COLUMNS,
     deltas,
     r,
@@ -105,12 +104,12 @@ def row_index(spark, d):
     return found.withColumn("row_index", F.col("row_index").cast("bigint"))
 
 
-def _lags(columns, levels, separator="", values=True):
-    return ", ".join(f"lag({c}, {k}) OVER w AS {c}_lag{separator}{k}" for c in columns for k in levels)
+def _lags(columns, levels):
+    return ", ".join(f"lag({c}, {k}) OVER w AS {c}_lag{k}" for c in columns for k in levels)
 
 
-def _changes(columns, levels, separator=""):
-    return ", ".join(f"{c} - lag({c}, {k}) OVER w AS {c}_delta{separator}{k}" for c in columns for k in levels)
+def _changes(columns, levels):
+    return ", ".join(f"{c} - lag({c}, {k}) OVER w AS {c}_delta{k}" for c in columns for k in levels)
 
 
 @query(sql("sparse", body=f"SELECT *, {_lags(['n_orders', 'm_price'], (1, 2, 3))} FROM sparse {_LAG}"))

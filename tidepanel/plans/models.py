@@ -287,8 +287,9 @@ def hyperparameter_trials(
         return done
     known = train.where(F.col("y").isNotNull())
     # Scoring needs every validation row, a fit only those with a target.
+    kept = ["id", "period", "label", "y", "w", "is_validation"]
     parts = [
-        with_vector(part.withColumn("is_validation", F.lit(flag)), features, ["id", "period", "label", "y", "w", "is_validation"])
+        with_vector(part.withColumn("is_validation", F.lit(flag)), features, kept)
         for part, flag in ((known, False), (validation, True))
     ]
     frame = materialise(reduce(DataFrame.unionByName, parts).sortWithinPartitions("id", "period"))
