@@ -30,7 +30,7 @@ VECTOR = "features"
 # Trees need a number where the value is missing; a second input per feature says that it was.
 SENTINEL = -1.0e30
 
-# Bins of the reference setting; parameter names are MLlib's.
+# Few bins, as in the published settings; parameter names are those of MLlib.
 FIXED = {"maxBins": 32, "checkpointInterval": 10}
 
 # Search space: kind, lower, upper.
