@@ -113,7 +113,8 @@ def pack(docs: DataFrame, *, targets: Mapping[str, float] | None = None) -> Data
         "queue_at", F.col("before") + F.col("at") * F.col("length")
     )
     placed = placed.join(queues.select("queue", "slots"), "queue").withColumn("k", F.floor(F.col("queue_at") / GRANULE))
-    whole = placed.where("k < slots").join(slots, ["queue", "k"])
+    # There are as many slots as granules of text: never broadcast them, however small the planner thinks they are.
+    whole = placed.where("k < slots").join(slots.hint("merge"), ["queue", "k"])
     whole = whole.withColumn("position", F.col("slot") * GRANULE + F.col("queue_at") % GRANULE)
 
     # Fewer than GRANULE tokens a source remain: by falling size again, so that they stay aligned.
