@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidepanel.llm.common import query, stored, table
 
 K = 5
-CELLS = 64
+CELLS = 256
 BLOCK = 8192
 QUERY_BLOCK = 1024
 SCALE = 256
