@@ -1,4 +1,4 @@
 """Importing this module registers every query of the package."""
 
-from tidepanel.llm import decontamination, langid, packing, pii, sharding, simhash, topk  # noqa: F401
+from tidepanel.llm import decontamination, langid, packing, pii, quality, sharding, simhash, topk, toxicity  # noqa: F401
 from tidepanel.llm.common import QUERIES, SQL  # noqa: F401
