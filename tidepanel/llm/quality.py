@@ -105,12 +105,9 @@ def assess(docs: DataFrame, labels: DataFrame, model: QualityModel, *, host: Col
     A null host or path is the empty one. Labels count as evidence for the site only, not for their own document. Null and
     empty texts are judged by their statistics, repeated rows alike; an empty table gives no rows. Columns of these names are replaced.
     """
-    names = [f"c{i}" for i in range(len(docs.columns))]  # positions: any column names are fine
-    at = docs.toDF(*names).withColumnRenamed(names[docs.columns.index("doc_id")], "doc_id")
-    at = at.withColumnRenamed(names[docs.columns.index("text")], "text")
-    inner = ["doc_id" if c == "doc_id" else "text" if c == "text" else n for c, n in zip(docs.columns, names)]
-    sites = docs.select(F.coalesce(host.cast("string"), F.lit("")).alias("host"), F.coalesce(path.cast("string"), F.lit("")).alias("path"), "*")
-    at = sites.toDF("host", "path", *inner)
+    sites = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for c, n in ((host, "_host"), (path, "_path"))]
+    inner = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)]  # any names are fine
+    at = docs.select(*sites, "*").toDF("host", "path", *inner)
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("_label"))
     scored = stored(model.evidence(at), "evidence")
     good = scored.select("doc_id", "host", "path", "p_doc").join(known, "doc_id", "left")

@@ -52,15 +52,15 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; null and empty texts have fingerprint zero."""
+    """(doc_id, tie, fp) of every row, tie being a hash of the text; null and empty texts have fingerprint zero."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in texts(batches, "text"):
             found = pa.array([fingerprint(shingle_hashes(t, width)) for t in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), found], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), found], ["doc_id", "tie", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(compute, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    return rows.mapInArrow(compute, "doc_id bigint, tie bigint, fp bigint")
 
 
 def linked_groups(values: list[int], radius: int) -> list[tuple[int, int]]:
@@ -179,6 +179,15 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _groups(docs: DataFrame, width: int, shard_limit: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and (fp, root, lowest) of the distinct ones."""
+    rows = stored(fingerprints(docs, width), "fingerprints")
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
+    roots = components(links(nodes.select("fp"), shard_limit))
+    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return rows, named.withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 3, shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -186,16 +195,34 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, shard_limit: int = SHARD
     smallest id of the rows reachable over links, null only if none of them has an id. Repeated rows share their
     component. An empty table gives no rows; other columns are ignored.
     """
-    rows = stored(fingerprints(docs, width), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
-    roots = components(links(nodes.select("fp"), shard_limit))
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rows, named = _groups(docs, width, shard_limit)
     ids = named.groupBy("root").agg(F.min("lowest").alias("component_id"))
     by_fp = named.join(ids, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(by_fp, "fp").select("doc_id", hexed, "component_id")
 
 
+def keep_one(docs: DataFrame, *, width: int = 3, shard_limit: int = SHARD_LIMIT) -> DataFrame:
+    """One row of ``docs`` for each component: the one of smallest id (null last), then of smallest text hash.
+
+    All columns stay as they are; a repeated row stays once.
+    """
+    rows, named = _groups(docs, width, shard_limit)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    # Per fingerprint first, so that a component with very many rows arrives as few.
+    best = rows.groupBy("fp").agg(F.min(rank).alias("best")).join(named.select("fp", "root"), "fp")
+    best = best.groupBy("root").agg(F.min("best").alias("best"))
+    keepers = best.select(F.col("best.none").alias("_none"), F.coalesce("best.doc_id", F.lit(0)).alias("_id"), F.col("best.tie").alias("_tie"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    renamed = docs.toDF(*names)
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    keyed = renamed.select(
+        "*", doc_id.isNull().alias("_none"), F.coalesce(doc_id.cast("bigint"), F.lit(0)).alias("_id"), F.xxhash64(text).alias("_tie")
+    )
+    kept = keyed.join(keepers, ["_none", "_id", "_tie"], "left_semi").dropDuplicates(["_none", "_id", "_tie"])
+    return kept.select(names).toDF(*docs.columns)
+
+
 @query()
 def op5_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
