@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.inputs import (
+    BUCKET_ROWS,
     CEILING,
     DELTA_FEATURES,
     FLOOR,
@@ -121,7 +122,7 @@ def score_ensemble_mean(spark, d):
     )
 )
 def mean_gain_curve(spark, d):
-    ranking = curves.ranked_profit(scores(spark, d))
+    ranking = curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS)
     return rounded(curves.mean_gain_curve(ranking, FLOOR, CEILING), 6, "mean_gain")
 
 
@@ -134,7 +135,7 @@ def mean_gain_curve(spark, d):
     )
 )
 def mean_threshold_at_k(spark, d):
-    ranking = curves.ranked_profit(scores(spark, d))
+    ranking = curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS)
     return rounded(curves.mean_best_cut(ranking, FLOOR, CEILING), 6, "gain_max", "mean_thr")
 
 
@@ -177,7 +178,7 @@ def threshold_profit(spark, d):
     )
 )
 def cutoff_score(spark, d):
-    return curves.cutoff_score(curves.ranked_profit(scores(spark, d)), TOP)
+    return curves.cutoff_score(curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS), TOP)
 
 
 @query(
@@ -198,9 +199,9 @@ def trial_summary(spark, d):
     sql(
         "labelled",
         body="""SELECT s.split, count(l.id) AS n, count(l.id) = 0 AS is_empty
-  FROM (SELECT unnest(['train', 'test', 'pred', 'empty']) AS split) s
+  FROM (SELECT unnest(['train', 'test', 'pred', 'empty', 'rest']) AS split) s
   LEFT JOIN labelled l ON s.split = CASE WHEN period <= 199912 THEN 'train' WHEN period <= 200006 THEN 'test'
-    WHEN period = 200007 THEN 'pred' END GROUP BY 1""",
+    WHEN period = 200007 THEN 'pred' ELSE 'rest' END GROUP BY 1""",
     )
 )
 def split_counts(spark, d):

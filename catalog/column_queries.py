@@ -238,8 +238,8 @@ def null_token_normalise(spark, d):
 )
 def yes_no_to_number(spark, d):
     text = profiling.normalise_null_tokens(raw_text(spark, d), ["amount_txt", "flag_txt", "fecha_txt"])
-    flags = profiling.yes_no_columns(text, ["amount_txt", "flag_txt", "fecha_txt"], order=["id"])
-    return profiling.coerce_text(text.select("id", *flags), order=["id"])
+    flags = profiling.yes_no_columns(text, ["amount_txt", "flag_txt", "fecha_txt"])
+    return profiling.coerce_text(text.select("id", *flags))
 
 
 @query(
@@ -250,12 +250,12 @@ def yes_no_to_number(spark, d):
     )
 )
 def date_to_epoch_day(spark, d):
-    return profiling.coerce_text(raw_text(spark, d).select("id", "fecha_txt"), order=["id"])
+    return profiling.coerce_text(raw_text(spark, d).select("id", "fecha_txt"))
 
 
 @query(sql("raw_text", body="SELECT id, try_cast(replace(trim(amount_txt), ',', '.') AS double) AS amount_txt FROM raw_text"))
 def decimal_comma_to_number(spark, d):
-    return profiling.coerce_text(raw_text(spark, d).select("id", "amount_txt"), order=["id"])
+    return profiling.coerce_text(raw_text(spark, d).select("id", "amount_txt"))
 
 
 @query(sql("labelled", body="SELECT id, period, label FROM labelled WHERE label IS NOT NULL"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.inputs import (
+    BUCKET_ROWS,
     CEILING,
     FLOOR,
     HALF_WIDTH,
@@ -22,7 +23,7 @@ from tidepanel.operators.ranking import rank
 
 @query(sql("ranked", body="SELECT model, id, period, score, gain::bigint AS gain, rk, cum FROM ranked"))
 def cumulative_gain(spark, d):
-    return curves.cumulative_gain(curves.ranked_profit(scores(spark, d)))
+    return curves.cumulative_gain(curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS))
 
 
 @query(
@@ -33,7 +34,7 @@ def cumulative_gain(spark, d):
     )
 )
 def gain_curve_segment(spark, d):
-    return curves.gain_curve_segment(curves.ranked_profit(scores(spark, d)), FLOOR, CEILING)
+    return curves.gain_curve_segment(curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS), FLOOR, CEILING)
 
 
 _BEST = """SELECT {keep} (rk - 1)::bigint AS k_opt, cum AS gain_max, prev AS thr_opt FROM (
@@ -45,12 +46,46 @@ _BEST = """SELECT {keep} (rk - 1)::bigint AS k_opt, cum AS gain_max, prev AS thr
     sql("ranked", body=_BEST.format(keep="model,", part="PARTITION BY model", table="ranked", lo=FLOOR, hi=CEILING))
 )
 def best_cut(spark, d):
-    return curves.best_cut(curves.ranked_profit(scores(spark, d)), FLOOR, CEILING)
+    return curves.best_cut(curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS), FLOOR, CEILING)
+
+
+_TEXT_IDS = """texts AS (SELECT model, concat('c', id) AS id, period, label, CAST(score // 100 AS decimal(12, 2)) AS score FROM base),
+text_ranked AS (SELECT *, row_number() OVER w AS rk, coalesce(lag(score) OVER w, score) AS prev,
+  CAST(sum(CASE WHEN label = 'BAJA+2' THEN 780000 ELSE -20000 END) OVER w AS bigint) AS cum
+  FROM texts WINDOW w AS (PARTITION BY model ORDER BY score DESC, id, period))"""
+
+
+def _text_sql(body: str) -> str:
+    return f"WITH base AS ({sql('scores', body='SELECT * FROM scores')}), {_TEXT_IDS} {body}"
+
+
+def _text_ids(spark, d):
+    """Text ids, and decimal scores that very many rows share."""
+    score = F.floor(F.col("score") / 100).cast("decimal(12,2)").alias("score")
+    rows = scores(spark, d).select("model", F.concat(F.lit("c"), "id").alias("id"), "period", "label", score)
+    return curves.ranked_profit(rows, rows_per_bucket=BUCKET_ROWS)
+
+
+@query(_text_sql("SELECT model, id, period, rk, cum FROM text_ranked"))
+def cumulative_gain_text_ids(spark, d):
+    return curves.cumulative_gain(_text_ids(spark, d)).select("model", "id", "period", "rk", "cum")
+
+
+@query(
+    _text_sql(
+        _BEST.format(keep="model,", part="PARTITION BY model", table="text_ranked", lo=FLOOR, hi=CEILING).replace(
+            "prev AS thr_opt", "CAST(prev AS double) AS thr_opt"
+        )
+    )
+)
+def best_cut_decimal_scores(spark, d):
+    found = curves.best_cut(_text_ids(spark, d), FLOOR, CEILING)
+    return found.withColumn("thr_opt", F.col("thr_opt").cast("double"))
 
 
 @query(sql("ranked_mean", body=_BEST.format(keep="", part="", table="ranked_mean", lo=FLOOR, hi=CEILING)))
 def ensemble_best_cut(spark, d):
-    return curves.best_cut(curves.ranked_profit(ensemble(spark, d), group=()), FLOOR, CEILING)
+    return curves.best_cut(curves.ranked_profit(ensemble(spark, d), group=(), rows_per_bucket=BUCKET_ROWS), FLOOR, CEILING)
 
 
 @query(
@@ -61,7 +96,7 @@ def ensemble_best_cut(spark, d):
     )
 )
 def max_gain_full(spark, d):
-    return curves.max_gain(curves.ranked_profit(scores(spark, d)))
+    return curves.max_gain(curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS))
 
 
 @query(
@@ -75,7 +110,7 @@ def max_gain_full(spark, d):
     )
 )
 def plateau_gain(spark, d):
-    found = curves.plateau_gain(curves.ranked_profit(scores(spark, d)), HALF_WIDTH)
+    found = curves.plateau_gain(curves.ranked_profit(scores(spark, d), rows_per_bucket=BUCKET_ROWS), HALF_WIDTH)
     return found.withColumn("plateau_gain", F.round("plateau_gain", 4) + F.lit(0.0))
 
 
@@ -87,9 +122,10 @@ def plateau_gain(spark, d):
     )
 )
 def topk_flag(spark, d):
-    return curves.topk_flag(rank(ensemble(spark, d), "score"), TOP)
+    return curves.topk_flag(rank(ensemble(spark, d), "score", rows_per_bucket=BUCKET_ROWS), TOP)
 
 
+PICKED = [1, 3, 8, 40]
 _RANKED_TRIALS = "(SELECT *, row_number() OVER (ORDER BY value DESC, trial) AS rank FROM trials)"
 
 
@@ -107,11 +143,11 @@ def trial_rank_topk(spark, d):
 )
 def trial_rank_select(spark, d):
     """Trials of hand-picked ranks, then model names filtered by the rank written in them."""
-    best = trial_tables.top_trials(trials(spark, d), 60)
+    best = trial_tables.top_trials(trials(spark, d), max(PICKED))
     name = F.concat(F.lit("top"), F.col("rank"), F.lit("_seed_"), F.col("trial")).alias("model")
     named = best.select(name, "trial", "value", "best_iter")
-    picked = trial_tables.pick_trials(trials(spark, d), [1, 3, 8, 40]).select("trial", "rank")
-    return trial_tables.pick_models(named, [1, 3, 8, 40]).join(picked, "trial").select(
+    picked = trial_tables.pick_trials(trials(spark, d), PICKED).select("trial", "rank")
+    return trial_tables.pick_models(named, PICKED).join(picked, "trial").select(
         "model", "trial", "value", "best_iter", "rank"
     )
 
@@ -123,10 +159,10 @@ def importance_topk(spark, d):
 
 @query(
     sql(
-        "summary_new",
-        body="""SELECT experiment, model, k_opt, gain_max, updated FROM summary_new
+        "summary_all",
+        body="""SELECT experiment, model, k_opt, gain_max, updated FROM summary_all
   ORDER BY gain_max DESC, experiment, model, k_opt, updated LIMIT 5""",
     )
 )
 def summary_ranked(spark, d):
-    return trial_tables.summary_ranked(summary(spark, d, "R"), 5)
+    return trial_tables.summary_ranked(summary(spark, d, "NAR"), 5)

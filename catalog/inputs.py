@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators.curves import score_ensemble_mean
 from tidepanel.operators.history import delta_features
-from tidepanel.operators.labels import churn_label_gap, join_labels
+from tidepanel.operators.labels import with_gap_label
 from tidepanel.sources.scratch import materialise
 
 MEASURES = ["n_lines", "n_orders", "q_units", "m_price", "m_returned", "n_open"]
@@ -16,6 +16,8 @@ DELTA_FEATURES = ["m_price", "q_units", "n_lines", "n_orders"]
 BAD = (199605, 199610, 199706)
 MODELS = 5
 FLOOR, CEILING, HALF_WIDTH, TOP = 100, 1000, 50, 700
+# Small buckets, so that the rankings go over many of them at every scale.
+BUCKET_ROWS = 5_000
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -70,8 +72,7 @@ def sparse(spark: SparkSession, d: str) -> DataFrame:
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
     """``snap`` with its gap label."""
-    panel = snap(spark, d)
-    return join_labels(panel, churn_label_gap(panel))
+    return with_gap_label(snap(spark, d))
 
 
 def deltas(spark: SparkSession, d: str, depth: int = 5) -> DataFrame:
@@ -130,16 +131,16 @@ def runs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def summary(spark: SparkSession, d: str, flag: str) -> DataFrame:
-    """Gain summary rows by (experiment, model); the lines of different flags share some keys."""
-    lines = table(spark, d, "lineitem").where(F.col("l_returnflag") == flag)
+def summary(spark: SparkSession, d: str, flags: str) -> DataFrame:
+    """Gain summary rows by (experiment, model) of the lines with these flags; different flags share some keys."""
+    lines = table(spark, d, "lineitem").where(F.col("l_returnflag").isin(*flags))
     return lines.groupBy(
         F.concat(F.lit("exp_"), F.col("l_linenumber").cast("string")).alias("experiment"),
         F.concat(F.lit("m_"), F.col("l_partkey").cast("string")).alias("model"),
     ).agg(
         F.count(F.lit(1)).alias("k_opt"),
         F.sum(cents("l_extendedprice")).alias("gain_max"),
-        F.lit(f"2024-01-0{1 if flag == 'A' else 2} 00:00:00").alias("updated"),
+        F.lit(f"2024-01-0{2 if flags == 'R' else 1} 00:00:00").alias("updated"),
     )
 
 
@@ -199,10 +200,10 @@ _DELTAS = "deltas AS (SELECT snap.*, {} FROM snap WINDOW w AS (PARTITION BY id O
 )
 
 
-def _summary(name: str, flag: str, stamp: str) -> str:
+def _summary(name: str, flags: str, stamp: str) -> str:
     return f"""{name} AS (SELECT concat('exp_', l_linenumber) AS experiment, concat('m_', l_partkey) AS model,
   count(*) AS k_opt, CAST(sum(CAST(round(l_extendedprice*100) AS bigint)) AS bigint) AS gain_max, '{stamp}' AS updated
-  FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY 1, 2)"""
+  FROM lineitem WHERE l_returnflag IN ({', '.join(map(repr, flags))}) GROUP BY 1, 2)"""
 
 
 _CTES = {
@@ -265,7 +266,8 @@ _CTES = {
   CAST(round(l_extendedprice*100) AS bigint) + CAST(l_quantity AS bigint) AS gain_max,
   CAST(l_suppkey*10 AS bigint) AS peak FROM lineitem)""",
     ),
-    "summary_old": ((), _summary("summary_old", "A", "2024-01-01 00:00:00")),
+    "summary_old": ((), _summary("summary_old", "NA", "2024-01-01 00:00:00")),
+    "summary_all": ((), _summary("summary_all", "NAR", "2024-01-01 00:00:00")),
     "summary_new": ((), _summary("summary_new", "R", "2024-01-02 00:00:00")),
     "raw_text": (
         (),

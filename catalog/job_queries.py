@@ -105,18 +105,26 @@ def scenario_predictions(spark, d):
     return stages.scenario_predictions(tagged, SCENARIOS, SENDS)
 
 
-_SOURCES = selection.canary_sources([*MEASURES, "s_nationkey"], 4, 42)
+CANARIES = 20
+
+
+def _uniform_word(i: int) -> str:
+    digest = f"sha256(concat_ws('|', id, period, '42:{i // 8}'))"
+    return f"(CAST('0x' || substr({digest}, {8 * (i % 8) + 1}, 8) AS bigint) / 4294967296.0::double)"
+
+
+_SOURCES = selection.canary_sources([*MEASURES, "s_nationkey"], CANARIES, 42)
 _NOISE = ", ".join(
     f"""{r(f"(SELECT min({c})::double FROM snap) + ((SELECT max({c})::double FROM snap) - (SELECT min({c})::double FROM snap))"
-           f" * {_uniform('id', 'period', chr(39) + f'42:{i}' + chr(39))}")} AS canary_{i}"""
+           f" * {_uniform_word(i)}")} AS canary_{i}"""
     for i, c in enumerate(_SOURCES)
 )
 
 
 @query(sql("snap", body=f"SELECT {', '.join(SNAP_COLUMNS)}, {_NOISE} FROM snap"))
 def add_canaries(spark, d):
-    found = selection.add_canaries(snap(spark, d), 4)
-    return rounded(found, 6, *[f"canary_{i}" for i in range(4)])
+    found = selection.add_canaries(snap(spark, d), CANARIES)
+    return rounded(found, 6, *[f"canary_{i}" for i in range(CANARIES)])
 
 
 @query(

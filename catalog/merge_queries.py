@@ -17,6 +17,7 @@ from catalog.inputs import (
 )
 from catalog.registry import query
 from tidepanel.operators import combine, drift, labels
+from tidepanel.sources.scratch import fresh_path
 
 _ALL = ", ".join(SNAP_COLUMNS)
 _DELTAS = [f"{c}_delta_{k}" for c in DELTA_FEATURES for k in range(1, 6)]
@@ -67,7 +68,7 @@ def score_target_inner_join(spark, d):
     )
 )
 def summary_upsert(spark, d):
-    return combine.upsert(summary(spark, d, "A"), summary(spark, d, "R"), KEYS, updated=F.lit(NOW))
+    return combine.upsert(summary(spark, d, "NA"), summary(spark, d, "R"), KEYS, updated=F.lit(NOW))
 
 
 @query(
@@ -80,7 +81,7 @@ def summary_upsert(spark, d):
     )
 )
 def summary_keep_last(spark, d):
-    batches = [summary(spark, d, flag).withColumn("batch", F.lit(i)) for i, flag in enumerate("AR")]
+    batches = [summary(spark, d, flag).withColumn("batch", F.lit(i)) for i, flag in enumerate(("NA", "R"))]
     return combine.keep_last(combine.union_positional(*batches), KEYS, ["batch"]).drop("batch")
 
 
@@ -99,7 +100,7 @@ def insert_if_absent(spark, d):
         path = F.concat_ws("/", "experiment", "model").alias("model_path")
         return summary(spark, d, flag).select(path, "k_opt", "gain_max")
 
-    return combine.insert_if_absent(metadata("A"), metadata("R"), ["model_path"])
+    return combine.insert_if_absent(metadata("NA"), metadata("R"), ["model_path"])
 
 
 @query(
@@ -128,8 +129,11 @@ def union_all_positional(spark, d):
 
 @query(sql("importances", body="SELECT concat('m', model) AS model, feature, gain FROM importances"))
 def concat_model_frames(spark, d):
-    rows = importances(spark, d)
-    frames = {f"m{i}": rows.where(F.col("model") == i).drop("model") for i in range(5)}
+    """One stored table per model, as many as there are models."""
+    path = fresh_path(spark, "importances")
+    importances(spark, d).write.partitionBy("model").parquet(path)
+    models = [r["model"] for r in spark.read.parquet(path).select("model").distinct().collect()]
+    frames = {f"m{i}": spark.read.parquet(f"{path}/model={i}") for i in sorted(models)}
     return combine.stack_models(frames).select("model", "feature", "gain")
 
 

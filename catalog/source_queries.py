@@ -1,8 +1,9 @@
 """Scans and sinks: every query writes to a fresh path and returns what it reads back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from catalog.inputs import SNAP_COLUMNS, TOP, ensemble, importances, snap, sql
+from catalog.inputs import BUCKET_ROWS, SNAP_COLUMNS, TOP, ensemble, importances, snap, sql
 from catalog.registry import query
 from tidepanel.operators.curves import topk_flag
 from tidepanel.operators.ranking import rank
@@ -16,12 +17,13 @@ _ALL = ", ".join(SNAP_COLUMNS)
 _TOP = f"SELECT id, CASE WHEN rk <= {TOP} THEN 1 ELSE 0 END AS flag FROM ranked_mean"
 
 
-@query(sql("snap", body=f"SELECT {_ALL} FROM snap"))
+@query(sql("snap", body=f"SELECT {_ALL}, '{', '.join(['whole'] * len(SNAP_COLUMNS))}' AS kinds FROM snap"))
 def csv_scan_inferred(spark, d):
     path = fresh_path(spark, "snap") + ".csv.gz"
     csv.write_csv(snap(spark, d), path, compression="gzip")
     read = csv.read_csv_inferred(spark, path)
-    return read.select(*[F.col(c).cast("bigint").alias(c) for c in read.columns])
+    kinds = ["whole" if isinstance(f.dataType, T.IntegralType) else f.dataType.simpleString() for f in read.schema]
+    return read.select(*[F.col(c).cast("bigint").alias(c) for c in read.columns], F.lit(", ".join(kinds)).alias("kinds"))
 
 
 @query(
@@ -34,7 +36,7 @@ def csv_scan_inferred(spark, d):
 def csv_scan_sampled_schema(spark, d):
     path = fresh_path(spark, "snap")
     csv.write_csv(snap(spark, d), path)
-    return csv.read_csv_sampled(spark, path)
+    return csv.read_csv_fitted(spark, path)
 
 
 @query(sql("snap", body=f"SELECT {_ALL} FROM snap"))
@@ -83,7 +85,7 @@ def parquet_glob_scan(spark, d):
 
 @query(sql("ranked_mean", body=f'SELECT id, CAST(flag AS bigint) AS "Predicted" FROM ({_TOP})'))
 def prediction_csv_sink(spark, d):
-    ranking = rank(ensemble(spark, d), "score")
+    ranking = rank(ensemble(spark, d), "score", rows_per_bucket=BUCKET_ROWS)
     path = csv.write_predictions(topk_flag(ranking, TOP), fresh_path(spark, "predictions"), "run", ranks=[1, 2])
     return spark.read.csv(path, header=True, schema="id bigint, Predicted bigint")
 

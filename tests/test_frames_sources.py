@@ -39,7 +39,7 @@ def test_bad_numbers_become_null(spark):
 def test_text_coercion(spark):
     rows = [(1, "S", "2021-03-04", "1,5", "k"), (2, "no", "never", "NULL", "k"), (3, " si ", None, "x", "k"), (4, "0", "", "2", "k")]
     df = spark.createDataFrame(rows, "id bigint, flag string, fecha string, amount string, label string")
-    out = profiling.coerce_text(df, order=["id"]).orderBy("id")
+    out = profiling.coerce_text(df).orderBy("id")
     assert values(out, "flag") == [1.0, 0.0, 1.0, 0.0]
     assert values(out, "fecha") == [18690.0, None, None, None]
     assert values(out, "amount") == [1.5, None, None, 2.0]
@@ -48,8 +48,13 @@ def test_text_coercion(spark):
 
 def test_yes_no_needs_more_than_four_fifths(spark):
     df = spark.createDataFrame([(i, "S" if i < 8 else "x") for i in range(10)], "id bigint, a string")
-    assert profiling.yes_no_columns(df, ["a"], order=["id"]) == []
-    assert profiling.yes_no_columns(df, ["a"], order=["id"], rows=9) == ["a"]
+    assert profiling.yes_no_columns(df, ["a"]) == []
+    assert profiling.yes_no_columns(df.where("id < 9"), ["a"]) == ["a"]
+    # The first rows mislead: 200 words, then numbers.
+    late = spark.range(1000).select("id", F.when(F.col("id") < 200, "S").otherwise(F.col("id").cast("string")).alias("a"))
+    assert profiling.yes_no_columns(late, ["a"]) == []
+    assert profiling.coerce_text(late).where("a is null").count() == 200
+    assert profiling.yes_no_columns(spark.createDataFrame([("N0",)] * 9, "a string"), ["a"]) == []
 
 
 def test_targets_without_label(spark):
@@ -97,6 +102,8 @@ def test_upsert_and_insert(spark):
     new = spark.createDataFrame([("b", None, "-"), ("c", 4, "-")], "k string, v int, at string")
     merged = combine.upsert(old, new, ["k"], at=F.lit("t1"))
     assert sorted(map(tuple, merged.collect()), key=str) == [("a", 1, "t0"), ("b", None, "t1"), ("c", 4, "t1")]
+    with pytest.raises(Exception, match="repeated key"):
+        combine.upsert(old, new.unionAll(new), ["k"]).collect()
     added = combine.insert_if_absent(old, new, ["k"])
     assert sorted(map(tuple, added.collect())) == [("a", 1, "t0"), ("b", 2, "t0"), ("c", 4, "-")]
 
@@ -124,6 +131,12 @@ def test_zscore_of_a_constant_level(spark):
     assert out["a", 1] is None and out["a", 2] == pytest.approx(-(0.5**0.5))
 
 
+def test_zscore_keeps_every_level(spark):
+    rows = [("a", 6, 1.0), ("b", 6, 3.0), ("a", None, 1.0), ("b", None, 5.0)]
+    out = drift.zscore_by_level(spark.createDataFrame(rows, "feature string, lvl bigint, value double")).collect()
+    assert sorted(round(r["z_score"], 6) for r in out) == [-0.707107, -0.707107, 0.707107, 0.707107]
+
+
 def test_undersampling_is_nested_and_keeps_churn(spark):
     label = F.when(F.col("id") % 10 == 0, "BAJA+1").when(F.col("id") % 10 == 1, None).otherwise("CONTINUA")
     df = spark.range(4000).select("id", label.alias("label"))
@@ -143,7 +156,8 @@ def test_split_overlap_and_undersampled_train(spark):
     assert sorted((r["split"], r["id"], r["period"]) for r in out.collect()) == [
         ("pred", 3, 3), ("test", 1, 2), ("test", 2, 2), ("train", 1, 1), ("train", 1, 2)
     ]
-    assert values(sampling.split_counts(out, ["train", "x"]), "is_empty") == [False, True]
+    counts = sampling.split_counts(out, ["train", "x"])
+    assert values(counts, "is_empty") == [False, True, False] and sum(values(counts, "n")) == out.count()
 
 
 def test_business_filter(spark):
@@ -182,16 +196,25 @@ def test_sampled_schema(spark):
     rows = [(i, 202001, 5, i / 2, "x", i) for i in range(40)]
     df = spark.createDataFrame(rows, "id bigint, period bigint, mcash bigint, rate double, t string, Visa_mlimit bigint")
     csv.write_csv(df.coalesce(1), path)
-    read = csv.read_csv_sampled(spark, path, types={"t": "string"})
+    read = csv.read_csv_fitted(spark, path, types={"t": "string"})
     assert [f.dataType.simpleString() for f in read.schema] == ["bigint", "bigint", "double", "double", "string", "double"]
     assert read.agg(F.sum("mcash")).first()[0] == 200.0
 
 
-def test_value_outside_the_sampled_schema_fails(spark):
+def test_a_late_value_decides_the_type(spark):
     path = fresh_path(spark, "csv")
-    csv.write_csv(spark.createDataFrame([(str(i) if i < 30 else "x",) for i in range(40)], "c string").coalesce(1), path)
+    rows = [(str(i) if i < 30 else "x", str(i) if i < 39 else "2.5") for i in range(40)]
+    csv.write_csv(spark.createDataFrame(rows, "c string, n string").coalesce(1), path)
+    read = csv.read_csv_fitted(spark, path)
+    assert [f.dataType.simpleString() for f in read.schema] == ["string", "double"] and read.count() == 40
     with pytest.raises(Exception):
-        csv.read_csv_sampled(spark, path).collect()
+        csv.read_csv_fitted(spark, path, types={"c": "bigint"}).collect()
+
+
+def test_gzip_files_are_dealt_out_whatever_the_folder_is_called(spark):
+    path = fresh_path(spark, "plain")
+    csv.write_csv(spark.range(10), path, compression="gzip")
+    assert "REBALANCE" in csv.read_csv_inferred(spark, path)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_prediction_files(spark):
@@ -199,6 +222,10 @@ def test_prediction_files(spark):
     path = fresh_path(spark, "p")
     csv.write_csv(spark.createDataFrame([(1, 1), (2, 0)], "id bigint, Predicted int"), path)
     assert {(r["id"], r["score"]) for r in csv.read_predictions(spark, path).collect()} == {(1, 1.0), (2, 0.0)}
+    bad = fresh_path(spark, "p")
+    csv.write_csv(spark.createDataFrame([("1", "0.5"), ("2", "high")], "id string, y_pred string"), bad)
+    with pytest.raises(Exception):
+        csv.read_predictions(spark, bad).collect()
     other = fresh_path(spark, "p")
     csv.write_csv(spark.createDataFrame([(1, 1)], "id bigint, s int"), other)
     with pytest.raises(ValueError):

@@ -205,3 +205,37 @@ def test_ensemble_of_copies_is_the_model(spark):
 
 def test_rank_of_an_empty_frame(spark):
     assert curves.topk_flag(rank(make(spark, []), "score", group=["model"]), 5).count() == 0
+
+
+@pytest.mark.parametrize("rows_per_bucket", [100, 10**9])
+def test_a_missing_group_is_a_group(spark, rows_per_bucket):
+    n = F.col("n")
+    rows = spark.range(2_000).withColumnRenamed("id", "n").select(
+        F.when(n % 2 == 0, "m").alias("model"),
+        n.alias("id"),
+        F.lit(1).alias("period"),
+        F.when(n % 30 < 2, "BAJA+2").alias("label"),
+        (n % 50).alias("score"),
+    )
+    ranking = curves.ranked_profit(rows, rows_per_bucket=rows_per_bucket)
+    columns = ["model", "id", "period", "rk", "cum"]
+    assert curves.cumulative_gain(ranking).select(columns).exceptAll(plain(rows).select(columns)).count() == 0
+    assert curves.cumulative_gain(ranking).count() == 2_000
+    flags = curves.topk_flag(ranking, 70).groupBy("model").agg(F.sum("predicted").alias("n"), F.count(F.lit(1)).alias("all"))
+    assert sorted(map(tuple, flags.collect()), key=str) == [("m", 70, 1000), (None, 70, 1000)]
+    for f in (curves.best_cut, curves.max_gain, curves.plateau_gain, curves.cutoff_score):
+        found = f(ranking, 10, 500) if f is curves.best_cut else f(ranking)
+        assert {r["model"] for r in found.collect()} == {"m", None}
+
+
+@pytest.mark.parametrize("score", ["cast(7 as decimal(20,2))", "9007199254740993", "'same'"])
+def test_one_shared_score_with_text_ids_is_split(spark, score):
+    rows = spark.range(1_000).select(
+        F.lit(1).alias("model"), F.concat(F.lit("id"), "id").alias("id"), F.lit(1).alias("period"),
+        F.lit(None).cast("string").alias("label"), F.expr(score).alias("score"),
+    )
+    ranking = curves.ranked_profit(rows, rows_per_bucket=100)
+    largest = ranking.df.groupBy(*ranking.bucket_key).count().agg(F.max("count")).first()[0]
+    assert largest <= 200
+    found = curves.cumulative_gain(ranking).orderBy("rk").collect()
+    assert [r["id"] for r in found] == sorted(f"id{i}" for i in range(1_000)) and found[-1]["rk"] == 1_000

@@ -41,6 +41,7 @@ NULL_TOKENS = ("", "None", "NULL", "NaN")
 # Text that stands for yes / no, compared in upper case.
 YES_TOKENS = ("S", "SI", "Y", "YES", "TRUE", "1")
 NO_TOKENS = ("N", "NO", "N0", "FALSE", "0")
+MISTYPED_NO = "N0"
 
 # Column names that hold dates, lower case.
 DATE_NAME_PATTERN = "fecha|finiciomora|date|fec|f_ini|fini"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepanel.constants import NO_TOKENS, NULL_TOKENS, YES_TOKENS
+from tidepanel.constants import MISTYPED_NO, NO_TOKENS, NULL_TOKENS, YES_TOKENS
 
 _FLOATING = ("double", "float", "float64")
 
@@ -35,7 +35,8 @@ def null_if_token(text: Column) -> Column:
 
 
 def looks_yes_no(text: Column) -> Column:
-    return F.upper(text).isin(*YES_TOKENS, *NO_TOKENS)
+    """Words that speak for a yes / no column; a mistyped no is read as one but is no evidence."""
+    return F.upper(text).isin(*YES_TOKENS, *[t for t in NO_TOKENS if t != MISTYPED_NO])
 
 
 def yes_no_number(text: Column) -> Column:

@@ -128,12 +128,8 @@ def mean_best_cut(ranking: Ranking, floor: int = CURVE_FLOOR, ceiling: int = CUR
 
 def cut_rows(ranking: Ranking, k: int = FINAL_CONTACTS) -> DataFrame:
     """The last row inside the first min(k, n) of each group: only the bucket it lies in is sorted."""
-    starts = None
-    if not ranking.one_bucket:
-        goal = F.least(F.lit(k), F.col("_n_group"))
-        starts = ranking.offsets().where(
-            (F.col("_n_before") < goal) & (F.col("_n_before") + F.col("_n") >= goal)
-        )
+    goal = F.least(F.lit(k), F.col("_n_group"))
+    starts = ranking.offsets().where((F.col("_n_before") < goal) & (F.col("_n_before") + F.col("_n") >= goal))
     inside = ranking.ranked(starts).where(F.col(RANK) <= k)
     last = inside.groupBy(*ranking.group).agg(F.max(F.struct(RANK, ranking.score, *ranking.tie)).alias("_last"))
     return last.select(
@@ -152,7 +148,7 @@ def _at_or_above_cut(ranking: Ranking) -> Column:
 
 
 def topk_flag(ranking: Ranking, k: int = FINAL_CONTACTS, name: str = "predicted") -> DataFrame:
-    """Every row with 1 for the first min(k, n) of its group, else 0. The frame itself is not shuffled."""
+    """Every row with 1 for the first min(k, n) of its group, else 0. The frame itself is not shuffled again."""
     if k <= 0:
         return ranking.df.drop("_bucket").withColumn(name, F.lit(0).cast("bigint"))
     cuts = cut_rows(ranking, k)

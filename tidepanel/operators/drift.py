@@ -42,15 +42,13 @@ def long_means(means: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     )
 
 
-def zscore_by_level(long: DataFrame, *, level: str = "lvl", value: str = "value", levels: int = LEVELS) -> DataFrame:
+def zscore_by_level(long: DataFrame, *, level: str = "lvl", value: str = "value") -> DataFrame:
     """Standard score of each value among all values of its level; NULL where the level does not vary.
 
-    Level statistics are aggregated (at most ``levels`` rows, hence broadcast) and joined back, so no level
-    is gathered in one task.
+    Every row stays; a NULL level is a level. Level statistics are aggregated and joined back, so no level is gathered in one task.
     """
-    inside = long.where(F.col(level).between(1, levels))
-    stats = inside.groupBy(level).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
-    scored = inside.join(F.broadcast(stats), level)
+    stats = long.groupBy(F.col(level).alias("_level")).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
+    scored = long.join(stats, F.col(level).eqNullSafe(F.col("_level")))
     z = F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")).alias("z_score")
     return scored.select(*long.columns, z)
 
@@ -67,7 +65,7 @@ def delta_zscore_matrix(df: DataFrame, *, by: Sequence[str] = (), levels: int =
     """Means of all delta columns, standardised per level, one row per feature (and group)."""
     columns = delta_columns(df.columns, levels)
     long = long_means(mean_of_each(df, columns, by), columns, by)
-    return pivot_levels(zscore_by_level(long, levels=levels), by=by, levels=levels)
+    return pivot_levels(zscore_by_level(long), by=by, levels=levels)
 
 
 def with_momentum(df: DataFrame, features: Sequence[str], depth: int = 3) -> DataFrame:

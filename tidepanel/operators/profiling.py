@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,34 +17,25 @@ from tidepanel.functions.casts import (
 from tidepanel.functions.names import is_date, text_columns
 
 YES_NO_SHARE = 0.8
-PROFILE_ROWS = 200
 
 
 def normalise_null_tokens(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: null_if_token(F.col(c)) for c in columns})
 
 
-def yes_no_columns(
-    df: DataFrame, columns: Sequence[str], *, order: Sequence[str], rows: int = PROFILE_ROWS
-) -> list[str]:
-    """Columns whose first ``rows`` known values, in key order, are mostly yes / no words."""
+def yes_no_columns(df: DataFrame, columns: Sequence[str], share: float = YES_NO_SHARE) -> list[str]:
+    """Columns of which more than ``share`` of all known values are yes / no words; one aggregate for all columns."""
     if not columns:
         return []
+    found = df.agg(*[F.avg(looks_yes_no(F.col(c)).cast("int")).alias(c) for c in columns]).first()
+    return [c for c, part in zip(columns, found) if part is not None and part > share]
 
-    def profile(c: str) -> DataFrame:
-        first = df.where(F.col(c).isNotNull()).orderBy(*order).limit(rows)
-        return first.agg(F.lit(c).alias("column"), F.avg(looks_yes_no(F.col(c)).cast("int")).alias("share"))
 
-    profiles = reduce(DataFrame.unionByName, [profile(c) for c in columns])
-    found = profiles.where(F.col("share") > YES_NO_SHARE).select("column").collect()
-    return [c for c in columns if c in {r["column"] for r in found}]
-
-
-def coerce_text(df: DataFrame, *, order: Sequence[str], skip: Sequence[str] = ("label",)) -> DataFrame:
+def coerce_text(df: DataFrame, *, skip: Sequence[str] = ("label",)) -> DataFrame:
     """All text columns as numbers: yes / no words, then dates by column name, then decimal numbers."""
     columns = text_columns(df, skip)
     clean = normalise_null_tokens(df, columns)
-    flags = set(yes_no_columns(clean, columns, order=order))
+    flags = set(yes_no_columns(clean, columns))
 
     def converted(c: str):
         if c in flags:

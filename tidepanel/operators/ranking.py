@@ -1,36 +1,31 @@
 """Ranks and running totals in score order without putting a whole score list into one task.
 
-Order is (score desc, tie-break columns asc) within each group; (group, tie-break columns) must be unique and
-the group columns not NULL.
+Order is (score desc, tie-break columns asc) within each group; (group, tie-break columns) must be unique. A NULL group is a
+group like any other.
 
-Two levels: a pure function of the score (and, for scores shared by very many rows, of the tie-break columns)
-puts each row into a bucket whose number follows the order. Bucket totals are a small pre-aggregated
-table; their running sums tell every bucket where it starts. Inside a bucket an ordinary window finishes the
-job. Buckets that cannot hold a wanted position are dropped before that window's shuffle.
+Two levels, at every size: rows are range-partitioned by (group, score, tie-break columns) and written once with the number of
+their partition, the bucket. Limits are tuples of any ordered types, so a score shared by very many rows is split between its
+rows. Bucket totals are a small pre-aggregated table; their running sums tell every bucket where it starts.
+Inside a bucket an ordinary window finishes the job. Buckets that cannot hold a wanted position are not read.
 
-Bucket limits come from a hashed sample and only steer the balance; every row is ranked exactly.
+The limits come from the range partitioner's sample and only steer the balance; every row is ranked exactly.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from itertools import takewhile
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from tidepanel.operators.scalars import with_scalars
-from tidepanel.sources.scratch import materialise
+from tidepanel.sources.scratch import fresh_path, materialise
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 32_768
-SAMPLES_PER_BUCKET = 30
 # Bucket tables and per-group tables are counted, broadcast up to this many rows, joined by shuffle beyond.
 BROADCAST_ROWS = 500_000
 
@@ -50,7 +45,6 @@ class Ranking:
     group: tuple[str, ...]
     tie: tuple[str, ...]
     gain: str | None
-    one_bucket: bool
     groups_are_few: bool
     _totals: list = field(default_factory=list, compare=False)
 
@@ -60,7 +54,7 @@ class Ranking:
 
     @property
     def order(self) -> list[Column]:
-        return [F.desc_nulls_last(self.score), *[F.asc(c) for c in self.tie]]
+        return [_ordered(self.df, self.score).desc_nulls_last(), *[F.asc(c) for c in self.tie]]
 
     def small(self, per_group: DataFrame) -> DataFrame:
         """A table with one row per group, broadcast if the groups were counted to be few."""
@@ -84,7 +78,7 @@ class Ranking:
                 F.min(self.score).alias("_low"),
             )
         )
-        # One row per bucket: at most a few ten thousand rows per group.
+        # One row per bucket and group.
         along = Window.partitionBy(*self.group).orderBy(BUCKET)
         before = along.rowsBetween(Window.unboundedPreceding, -1)
         whole = Window.partitionBy(*self.group)
@@ -110,13 +104,10 @@ class Ranking:
         """Rows of the given buckets (default all) with rank from 1, running gain and previous score."""
         inside = Window.partitionBy(*self.bucket_key).orderBy(*self.order)
         place, earlier = F.row_number().over(inside).cast("bigint"), F.lag(self.score).over(inside)
-        if self.one_bucket:
-            started, place_from, gain_from, before = self.df, F.lit(0), F.lit(0), F.lit(None)
-        else:
-            starts = self.offsets() if offsets is None else offsets
-            few = starts.count() <= BROADCAST_ROWS
-            started = self.df.join(F.broadcast(starts) if few else starts, self.bucket_key)
-            place_from, gain_from, before = F.col("_n_before"), F.col("_g_before"), F.col("_low_before")
+        starts = self.offsets() if offsets is None else offsets
+        few = starts.count() <= BROADCAST_ROWS
+        started = _null_safe_join(self.df, F.broadcast(starts) if few else starts, self.bucket_key)
+        place_from, gain_from, before = F.col("_n_before"), F.col("_g_before"), F.col("_low_before")
         added = {RANK: place_from + place, PREVIOUS_SCORE: F.coalesce(earlier, before, self.score)}
         if self.gain:
             running = F.sum(self.gain).over(inside.rowsBetween(Window.unboundedPreceding, 0))
@@ -131,24 +122,24 @@ class Ranking:
             wanted = wanted & (F.col(RANK) <= last)
         return self.ranked(self.overlapping(F.lit(first), F.lit(last))).where(wanted)
 
-    def overlapping(self, first: Column, last: Column, per_group: DataFrame | None = None) -> DataFrame | None:
+    def overlapping(self, first: Column, last: Column, per_group: DataFrame | None = None) -> DataFrame:
         """Offsets of the buckets that hold ranks first..last; the ends may be columns of ``per_group``."""
-        if self.one_bucket:
-            return None
         starts = self.offsets()
         if per_group is not None:
             starts = self.with_group(starts, per_group)
         reaches = F.col("_n_before") + F.col("_n") >= first
         return starts.where(reaches & F.coalesce(F.col("_n_before") < last, F.lit(True))).select(self.offsets().columns)
 
-    def holding_the_peak(self) -> DataFrame | None:
+    def holding_the_peak(self) -> DataFrame:
         """Offsets of the buckets in which the running gain may be highest: the others cannot get there even
         if all their gains came before all their losses."""
-        return None if self.one_bucket else self.offsets().where(F.col("_g_top") >= F.col("_g_reached"))
+        return self.offsets().where(F.col("_g_top") >= F.col("_g_reached"))
 
     def with_group(self, df: DataFrame, per_group: DataFrame) -> DataFrame:
         """Add the columns of a one-row-per-group table (a one-row table without groups)."""
-        return df.join(self.small(per_group), list(self.group)) if self.group else with_scalars(df, per_group)
+        if not self.group:
+            return with_scalars(df, per_group)
+        return _null_safe_join(df, self.small(per_group), self.group)
 
 
 def rank(
@@ -160,92 +151,26 @@ def rank(
     gain: str | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> Ranking:
-    """Prepare a frame for ranking. Counts the rows and, if they are many, samples the score limits."""
+    """Prepare a frame for ranking: count it, deal it out by score order, write it with its bucket numbers."""
     group, tie = tuple(group), tuple(tie)
     distinct = F.approx_count_distinct(F.struct(*group)) if group else F.lit(1)
     n, groups = df.agg(F.count(F.lit(1)), distinct).first()
-    wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
-    if wanted <= 1:
-        bucketed = df.withColumn(BUCKET, F.lit(0).cast("bigint"))
-    else:
-        bucketed = _bucketed(df, score, group, tie, n, wanted)
-    return Ranking(
-        bucketed,
-        score,
-        group,
-        tie,
-        gain,
-        one_bucket=wanted <= 1,
-        groups_are_few=groups * 1.2 <= BROADCAST_ROWS,
-    )
-
-
-def _bucketed(
-    df: DataFrame, score: str, group: tuple[str, ...], tie: tuple[str, ...], n: int, wanted: int
-) -> DataFrame:
-    """``df`` with its bucket number.
-
-    Level 0 splits by score. A score shared by very many rows is split further by the first tie-break column,
-    a value of that which is still too frequent by the next, as long as the columns are whole numbers.
-    """
-    kind = _kind(df, score)
-    whole = list(takewhile(lambda c: isinstance(df.schema[c].dataType, T.IntegralType), tie))
-    values = {"_v0": F.when(kind == 0, F.col(score).cast("double") + F.lit(0.0)).otherwise(0.0)}
-    values |= {f"_v{i}": F.coalesce(F.col(c).cast("double"), F.lit(-sys.float_info.max)) for i, c in enumerate(whole, 1)}
-    exact = [_exact_below(df.schema[c].dataType) for c in (score, *whole)]
-    spacing = max(1, n // (wanted * SAMPLES_PER_BUCKET))
-    # Keyed on the unique columns, so the sample is spread evenly whatever the scores look like.
-    chosen = F.pmod(F.xxhash64(*group, *tie), F.lit(spacing)) == 0
-    sample = df.where(chosen).select(*[v.alias(name) for name, v in values.items()])
-    sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        levels = _levels(sample, dict(zip(values, exact)), wanted)
-    finally:
-        sample.unpersist()
-
-    out, number, crowded = df.withColumns(values), (2 - kind).cast("double"), F.lit(True)
-    for i, (limits, heavy) in enumerate(levels):
-        splits = [-math.inf, *limits, math.inf]
-        out = Bucketizer(splits=splits, inputCol=f"_v{i}", outputCol=f"_no{i}").transform(out)
-        place = F.lit(float(len(limits))) - F.col("_no0") if i == 0 else F.col(f"_no{i}")
-        number = number * (len(limits) + 1) + F.when(crowded, place).otherwise(0.0)
-        crowded = crowded & F.col(f"_v{i}").isin(heavy)
-    extra = [*values, *[f"_no{i}" for i in range(len(levels))]]
-    return out.withColumn(BUCKET, number.cast("bigint")).drop(*extra)
-
-
-def _kind(df: DataFrame, score: str) -> Column:
-    """NaN, infinity, number, minus infinity, NULL as 2, 1, 0, -1, -2: their order among scores."""
-    value = F.col(score)
-    kind = F.when(value.isNull(), -2)
-    if isinstance(df.schema[score].dataType, T.FractionalType) and not isinstance(df.schema[score].dataType, T.DecimalType):
-        infinity = F.lit(math.inf)
-        kind = kind.when(F.isnan(value), 2).when(value == infinity, 1).when(value == -infinity, -1)
-    return kind.otherwise(0)
-
-
-def _exact_below(kind: T.DataType) -> float:
-    """Size up to which a double stands for one value of the type only."""
-    if isinstance(kind, T.DecimalType):
-        return 0.0
-    return 2.0**53 if isinstance(kind, T.IntegralType) else math.inf
-
-
-def _levels(sample: DataFrame, exact: dict[str, float], wanted: int) -> list[tuple[list[float], list[float]]]:
-    """Per level: the split points, and the values that fill whole buckets by themselves.
-
-    Such a value gets a bucket of its own, from itself to the next larger double, and goes on to the next level,
-    unless its double may stand for several values: their order would be lost there.
-    """
-    total, found = max(1, sample.count()), []
-    for column, below in exact.items():
-        parts = math.ceil(wanted * sample.count() / total) + 1
-        grid = [i / parts for i in range(1, parts)]
-        points = [p + 0.0 for p in sample.approxQuantile(column, grid, 1 / (20 * parts))]
-        heavy = sorted({a for a, b in zip(points, points[1:]) if a == b and abs(a) < below})
-        limits = sorted({v for p in points for v in ([p, math.nextafter(p, math.inf)] if p in heavy else [p])})
-        found.append(([v for v in limits if math.isfinite(v)], heavy))
-        if not heavy:
-            break
-        sample = sample.where(F.col(column).isin(heavy))
-    return found
+    order = [*[F.asc(c) for c in group], _ordered(df, score).desc_nulls_last(), *[F.asc(c) for c in tie]]
+    dealt = df.repartitionByRange(max(1, math.ceil(n / rows_per_bucket)), *order)
+    path = fresh_path(df.sparkSession, "ranking")
+    dealt.withColumn(BUCKET, F.spark_partition_id().cast("bigint")).write.parquet(path)
+    written = df.sparkSession.read.schema(T.StructType([*df.schema, T.StructField(BUCKET, T.LongType())])).parquet(path)
+    return Ranking(written, score, group, tie, gain, groups_are_few=groups * 1.2 <= BROADCAST_ROWS)
+
+
+def _ordered(df: DataFrame, score: str) -> Column:
+    """The score as it is compared: a negative zero equals zero."""
+    kind = df.schema[score].dataType
+    return (F.col(score) + F.lit(0.0)).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(score)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on columns in which NULL equals NULL; the key columns stay once."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(other, same).drop(*[f"_right_{k}" for k in keys])

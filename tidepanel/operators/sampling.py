@@ -17,6 +17,16 @@ def hashed_uniform(*parts: Column, steps: int = 1_000_000) -> Column:
     return (F.conv(digest, 16, 10).cast("bigint") % steps) / F.lit(float(steps))
 
 
+def hashed_uniforms(n: int, seed: int, *parts: Column) -> list[Column]:
+    """``n`` numbers in [0, 1) fixed by the parts: 32 bits each, eight from one digest."""
+    out = []
+    for i in range(n):
+        digest = F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts], F.lit(f"{seed}:{i // 8}")), 256)
+        word = F.conv(F.substring(digest, 8 * (i % 8) + 1, 8), 16, 10).cast("bigint")
+        out.append(word / F.lit(float(2**32)))
+    return out
+
+
 def hash_undersample(
     df: DataFrame, rate: float, seed: int, *, key: str = "id", label: str = "label"
 ) -> DataFrame:
@@ -86,9 +96,9 @@ def period_holdout(df: DataFrame, validation: Sequence[int], *, period: str = "p
     return df.withColumn("is_validation", F.col(period).isin(*validation))
 
 
-def split_counts(df: DataFrame, expected: Sequence[str], *, split: str = "split") -> DataFrame:
-    """Rows per expected split, 0 included, with a flag on the empty ones."""
-    counted = df.agg(
-        *[F.count(F.when(F.col(split) == s, 1)).alias(s) for s in expected]
-    ).unpivot([], list(expected), split, "n")
+def split_counts(df: DataFrame, expected: Sequence[str], *, split: str = "split", rest: str = "rest") -> DataFrame:
+    """Rows per expected split, 0 included, and of all others together, with a flag on the empty ones."""
+    listed = F.coalesce(F.col(split).isin(*expected), F.lit(False))
+    counts = [F.count(F.when(F.col(split) == s, 1)).alias(s) for s in expected]
+    counted = df.agg(*counts, F.count(F.when(~listed, 1)).alias(rest)).unpivot([], [*expected, rest], split, "n")
     return counted.withColumn("is_empty", F.col("n") == 0)

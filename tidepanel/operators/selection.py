@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.constants import CANARY
 from tidepanel.functions.names import numeric_columns
-from tidepanel.operators.sampling import hashed_uniform
+from tidepanel.operators.sampling import hashed_uniforms
 from tidepanel.operators.scalars import with_scalars
 
 
@@ -37,12 +37,10 @@ def add_canaries(
     for c in sorted(set(sources)):
         bounds += [F.min(F.col(c).cast("double")).alias(f"_lo_{c}"), F.max(F.col(c).cast("double")).alias(f"_hi_{c}")]
     with_bounds = with_scalars(df, df.agg(*bounds))
+    uniform = hashed_uniforms(n, seed, *[F.col(k) for k in keys])
     noise = [
-        (
-            F.col(f"_lo_{c}")
-            + (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) * hashed_uniform(*[F.col(k) for k in keys], F.lit(f"{seed}:{i}"))
-        ).alias(f"{CANARY}_{i}")
-        for i, c in enumerate(sources)
+        (F.col(f"_lo_{c}") + (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) * u).alias(f"{CANARY}_{i}")
+        for i, (c, u) in enumerate(zip(sources, uniform))
     ]
     return with_bounds.select(*df.columns, *noise)
 

@@ -68,7 +68,7 @@ def gain_summary(
     *,
     floor: int = CURVE_FLOOR,
     ceiling: int = CURVE_CEILING,
-    ensemble_name: str = "SOFT_VOTING_ENSEMBLE",
+    ensemble_name: str = "ensemble",
 ) -> DataFrame:
     """(experiment, model, k_opt, gain_max, thr_opt) per model and for the mean of all models."""
     single = best_cut(ranked_profit(scores), floor, ceiling)
@@ -102,7 +102,7 @@ def scenario_predictions(
     """
     wanted = [(s.name, s.period, e) for s in scenarios for e in s.experiments]
     plan = scores.sparkSession.createDataFrame(wanted, "scenario string, period bigint, experiment string")
-    chosen = scores.join(F.broadcast(plan), ["period", "experiment"])
+    chosen = scores.join(plan, ["period", "experiment"])
     mean = materialise(score_ensemble_mean(chosen, by=["scenario", *KEY]))
     options = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
     ranking = rank(mean, "score", group=["scenario"], tie=KEY, **options)

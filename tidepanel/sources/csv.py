@@ -11,12 +11,10 @@ from pyspark.sql import types as T
 from tidepanel.functions.casts import text_to_double
 from tidepanel.functions.names import is_money
 
-SCHEMA_ROWS = 10
-
 
 def _spread(df: DataFrame, path: str) -> DataFrame:
-    """A gzip file is read by one task, so its rows are dealt out before anything else happens."""
-    return df.hint("rebalance") if path.endswith(".gz") else df
+    """A gzip file is read by one task, so the rows of a folder with one are dealt out before anything else happens."""
+    return df.hint("rebalance") if any(f.endswith(".gz") for f in df.inputFiles()) else df
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -24,19 +22,12 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return _spread(spark.read.csv(path, header=True, inferSchema=True), path)
 
 
-def sampled_schema(
-    spark: SparkSession,
-    path: str,
-    *,
-    rows: int = SCHEMA_ROWS,
-    types: Mapping[str, str] | None = None,
-    period: str = "period",
+def fitting_schema(
+    spark: SparkSession, path: str, *, types: Mapping[str, str] | None = None, period: str = "period"
 ) -> T.StructType:
-    """Types from the first rows; integer money columns (by name) become double; ``types`` win over both."""
+    """Types that fit all values; integer money columns (by name) become double; ``types`` win over both."""
     types = types or {}
     text = spark.read.csv(path, header=True)
-    # take() opens as few splits as it needs; a limit below an aggregate would open all of them.
-    head = spark.createDataFrame(text.take(rows), text.schema)
 
     def fits(kind: str, value) -> F.Column:
         return F.coalesce(F.bool_and(value.isNotNull() | F.col(kind).isNull()), F.lit(True))
@@ -45,7 +36,7 @@ def sampled_schema(
     for c in text.columns:
         tests.append(fits(f"`{c}`", F.col(f"`{c}`").try_cast("bigint")))
         tests.append(fits(f"`{c}`", text_to_double(F.col(f"`{c}`"))))
-    found = head.agg(*[t.alias(str(i)) for i, t in enumerate(tests)]).first()
+    found = text.agg(*[t.alias(str(i)) for i, t in enumerate(tests)]).first()
 
     def kind(i: int, name: str) -> T.DataType:
         if name in types:
@@ -57,16 +48,11 @@ def sampled_schema(
     return T.StructType([T.StructField(c, kind(i, c)) for i, c in enumerate(text.columns)])
 
 
-def read_csv_sampled(
-    spark: SparkSession,
-    path: str,
-    *,
-    rows: int = SCHEMA_ROWS,
-    types: Mapping[str, str] | None = None,
-    period: str = "period",
+def read_csv_fitted(
+    spark: SparkSession, path: str, *, types: Mapping[str, str] | None = None, period: str = "period"
 ) -> DataFrame:
-    """CSV scanned once with the schema of its first rows; a later value that does not fit is an error."""
-    schema = sampled_schema(spark, path, rows=rows, types=types, period=period)
+    """CSV with the schema that fits all its values (one pass to find it); what does not fit ``types`` is an error."""
+    schema = fitting_schema(spark, path, types=types, period=period)
     return _spread(spark.read.csv(path, header=True, schema=schema, mode="FAILFAST"), path)
 
 
@@ -89,7 +75,7 @@ def write_predictions(
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """(id, score): the score may be stored as ``y_pred`` or ``Predicted``."""
+    """(id, score): the score may be stored as ``y_pred`` or ``Predicted``; a value that is no number is an error."""
     names = spark.read.csv(path, header=True).columns
     score = next((c for c in ("y_pred", "Predicted") if c in names), None)
     if score is None:
@@ -100,7 +86,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
             for c in names
         ]
     )
-    return spark.read.csv(path, header=True, schema=schema).select("id", F.col(score).alias("score"))
+    return spark.read.csv(path, header=True, schema=schema, mode="FAILFAST").select("id", F.col(score).alias("score"))
 
 
 def write_feature_list(features: DataFrame, path: str, *, feature: str = "feature") -> None:

@@ -1,15 +1,14 @@
-"""Where jobs may put files: the shared folder the cluster names, a temporary one only in local mode."""
+"""Where jobs put intermediate files: the shared folder the cluster or the session names, never one of their own."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach. Sets the checkpoint folder in local mode if the session has none."""
+    """Folder every executor can reach: spark.checkpoint.dir, or the session's checkpoint folder."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,10 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidepanel-"))
-    return context.getCheckpointDir()
+    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
