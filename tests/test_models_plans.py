@@ -64,6 +64,34 @@ def test_ensemble_metadata_and_reload(spark, trained):
     assert [s.name for s in models.load_scorers(metadata, FEATURES, [2])] == ["top2_seed_1", "top2_seed_2"]
     with pytest.raises(ValueError):
         models.load_scorers(metadata, FEATURES, [7])
+    gone = metadata.withColumn("model_path", F.when(F.col("seed") == 1, F.concat("model_path", F.lit("x"))).otherwise(F.col("model_path")))
+    with pytest.raises(ValueError, match="top2_seed_1x"):
+        models.load_scorers(gone, FEATURES, [2])
+    with pytest.warns(UserWarning, match="top2_seed_1x"):
+        assert [s.name for s in models.load_scorers(gone, FEATURES, [2], on_missing="skip")] == ["top2_seed_2"]
+
+
+def test_an_unreadable_model_is_an_error(spark, panel):
+    folder = fresh_path(spark, "broken")
+    spark.range(1).write.parquet(f"{folder}/top1_seed_1")
+    with pytest.raises(Exception):
+        models.train_seed_ensemble(panel, FEATURES, trials(spark, 1), [1], folder)
+
+
+def test_rounds_are_chosen_with_patience(panel, monkeypatch):
+    assert models.best_round([5, 4, 4.5, 3, 3.5], 2) == 4  # a rise, then a new low
+    assert models.best_round([5, 4, 4.5, 4.6, 3], 2) == 2
+    assert models.best_round([1, 2, 3], 200) == 1 and models.best_round([3, 2, 1], 1) == 3
+    frame = models.with_vector(panel.where("y is not null"), FEATURES, ["y", "w"]).cache()
+    losses = iter([[3.0, 2.0, 2.5, 1.0, 1.5]])
+    monkeypatch.setattr(models.GBTClassificationModel, "evaluateEachIteration", lambda self, df: next(losses))
+    assert models.fit_with_patience(frame, frame, {"maxDepth": 2}, 5, 1, 2).getNumTrees == 4
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (2.0,)], "x double")
+    found = [r[models.VECTOR].toArray().tolist() for r in models.with_vector(df, ["x"], []).collect()]
+    assert found == [[models.SENTINEL], [models.SENTINEL], [2.0]]
 
 
 def test_same_seed_same_scores(spark, panel, trained):
@@ -156,7 +184,7 @@ def test_topk_does_not_shuffle_the_scores(spark, panel):
     flagged = curves.topk_flag(curves.rank(spark.read.parquet(path), "score", group=["model"], rows_per_bucket=200), 50)
     plan = flagged._jdf.queryExecution().executedPlan().toString()
     # The large side of the last join is the bare scan.
-    assert re.search(r"BroadcastHashJoin.*\n\s+:- (\*\(\d+\) )?(Project|Filter|ColumnarToRow)", plan)
+    assert re.search(r"BroadcastHashJoin.*\n\s+:- (\*\(\d+\) )?(Project|Filter|ColumnarToRow|FileScan)", plan)
     assert flagged.agg(F.sum("predicted")).first()[0] == 50
 
 

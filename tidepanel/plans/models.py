@@ -1,6 +1,7 @@
 """Boosted-tree jobs: feature vectors, seed ensembles, scoring, canary selection, random search.
 
-Fits are distributed by MLlib over a checkpointed frame; the driver only loops over parameter sets and seeds.
+Fits are distributed by MLlib over a checkpointed frame; the driver only loops over parameter sets and seeds, a bounded number of
+them at a time.
 """
 
 from __future__ import annotations
@@ -8,12 +9,13 @@ from __future__ import annotations
 import json
 import math
 import random
-from collections.abc import Mapping, Sequence
+import warnings
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,7 +29,7 @@ from tidepanel.operators.selection import add_canaries, canary_cut
 from tidepanel.sources.scratch import materialise
 
 VECTOR = "features"
-# Trees need a number where the value is missing; a second input per feature says that it was.
+# Trees need a number where the value is missing (NULL or NaN); they can split it off as they need.
 SENTINEL = -1.0e30
 
 # Few bins, as in the published settings; parameter names are those of MLlib.
@@ -58,12 +60,10 @@ def _training_rows(df: DataFrame, features: Sequence[str], keys: Sequence[str])
 
 
 def with_vector(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """``keep`` plus the feature vector: values with a sentinel for NULL, then one missing flag per feature."""
+    """``keep`` plus the feature vector: values with a sentinel for NULL and NaN."""
     values = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(SENTINEL)).alias(f"_v_{c}") for c in features]
-    flags = [F.col(c).isNull().cast("double").alias(f"_m_{c}") for c in features]
-    wide = df.select(*keep, *values, *flags)
-    inputs = [f"_v_{c}" for c in features] + [f"_m_{c}" for c in features]
-    return VectorAssembler(inputCols=inputs, outputCol=VECTOR).transform(wide).select(*keep, VECTOR)
+    wide = df.select(*keep, *values)
+    return VectorAssembler(inputCols=[f"_v_{c}" for c in features], outputCol=VECTOR).transform(wide).select(*keep, VECTOR)
 
 
 def classifier(params: Mapping[str, object], rounds: int, seed: int, **extra) -> GBTClassifier:
@@ -82,10 +82,8 @@ def classifier(params: Mapping[str, object], rounds: int, seed: int, **extra) ->
 
 
 def importances(model: GBTClassificationModel, features: Sequence[str], spark: SparkSession) -> DataFrame:
-    """(feature, gain): a feature's value and missing flag count together."""
-    raw = model.featureImportances.toArray()
-    n = len(features)
-    rows = [(f, float(raw[i] + raw[n + i])) for i, f in enumerate(features)]
+    """(feature, gain) of every feature."""
+    rows = [(f, float(gain)) for f, gain in zip(features, model.featureImportances.toArray())]
     return spark.createDataFrame(rows, "feature string, gain double")
 
 
@@ -169,11 +167,20 @@ def canary_selection(
     return canary_cut(importances(model, inputs, df.sparkSession))
 
 
-def _saved(path: str) -> GBTClassificationModel | None:
-    try:
-        return GBTClassificationModel.load(path)
-    except (AnalysisException, Py4JJavaError):
-        return None
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _saved(spark: SparkSession, path: str) -> GBTClassificationModel | None:
+    """The model under a path, None if nothing is there; what cannot be read is an error."""
+    return GBTClassificationModel.load(path) if _exists(spark, path) else None
+
+
+def _each(action: Callable, items: Iterable, parallelism: int) -> list:
+    """Results of an action for all items, at most ``parallelism`` at a time."""
+    with ThreadPool(processes=max(1, parallelism)) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(action), list(items))
 
 
 def train_seed_ensemble(
@@ -185,34 +192,41 @@ def train_seed_ensemble(
     *,
     metadata: DataFrame | None = None,
     keys: Sequence[str] = ("id", "period"),
+    parallelism: int = 1,
 ) -> tuple[list[Scorer], DataFrame]:
     """One model per chosen trial and seed; returns the scorers and the metadata table.
 
     ``trials`` has rank, trial, value, best_iter and params (JSON), a handful of rows. A model that is already
-    under ``folder`` is loaded instead of trained. Metadata rows are added where their path is new.
+    under ``folder`` is loaded instead of trained; one that cannot be read is an error. Metadata rows are added where their path is new.
     """
     spark = df.sparkSession
     known = df.where(F.col("y").isNotNull())
-    frame, scorers, rows = None, [], []
-    for t in trials.orderBy("rank").collect():
-        params = json.loads(t["params"])
-        rounds = max(1, int(t["best_iter"]))
-        for seed in seeds:
-            name = f"top{t['rank']}_seed_{seed}"
-            path = f"{folder.rstrip('/')}/{name}"
-            model = _saved(path)
-            if model is None:
-                if frame is None:
-                    frame = _training_rows(known, features, keys)
-                model = classifier(params, rounds, seed).fit(frame)
-                model.write().overwrite().save(path)
-            scorers.append(Scorer(name, model, tuple(features)))
-            used = json.dumps({**FIXED, **params, "seed": seed}, sort_keys=True)
-            rows.append((t["rank"], t["trial"], float(t["value"]), rounds, seed, path, used))
+    wanted = [(t, seed, f"top{t['rank']}_seed_{seed}") for t in trials.orderBy("rank").collect() for seed in seeds]
+    place = {name: f"{folder.rstrip('/')}/{name}" for *_, name in wanted}
+    missing = any(not _exists(spark, path) for path in place.values())
+    frame = _training_rows(known, features, keys) if missing else None
+
+    def fitted(task) -> GBTClassificationModel:
+        t, seed, name = task
+        model = _saved(spark, place[name])
+        if model is None:
+            model = classifier(json.loads(t["params"]), _rounds(t), seed).fit(frame)
+            model.write().save(place[name])
+        return model
+
+    scorers, rows = [], []
+    for (t, seed, name), model in zip(wanted, _each(fitted, wanted, parallelism)):
+        scorers.append(Scorer(name, model, tuple(features)))
+        used = json.dumps({**FIXED, **json.loads(t["params"]), "seed": seed}, sort_keys=True)
+        rows.append((t["rank"], t["trial"], float(t["value"]), _rounds(t), seed, place[name], used))
     fresh = spark.createDataFrame(rows, MODELS_SCHEMA)
     return scorers, fresh if metadata is None else insert_if_absent(metadata, fresh, ["model_path"])
 
 
+def _rounds(trial) -> int:
+    return max(1, int(trial["best_iter"]))
+
+
 def train_final_model(
     df: DataFrame,
     features: Sequence[str],
@@ -228,16 +242,28 @@ def train_final_model(
     return Scorer(f"final_seed_{seed}", classifier(settings, best_iter, seed).fit(frame), tuple(features))
 
 
-def load_scorers(metadata: DataFrame, features: Sequence[str], ranks: Sequence[int] = ()) -> list[Scorer]:
-    """Models listed in a metadata table, all or those of the given ranks; unreadable ones are left out."""
+def load_scorers(
+    metadata: DataFrame, features: Sequence[str], ranks: Sequence[int] = (), *, on_missing: str = "raise"
+) -> list[Scorer]:
+    """Models listed in a metadata table, all or those of the given ranks.
+
+    One that is not there is an error, or (skip) left out with a warning that names it; one that cannot be read is an error.
+    """
+    spark, absent = metadata.sparkSession, []
     chosen = metadata.where(F.col("top_rank").isin(*ranks)) if ranks else metadata
     found = []
     for r in chosen.select("model_path").orderBy("model_path").collect():
-        model = _saved(r["model_path"])
-        if model is not None:
+        model = _saved(spark, r["model_path"])
+        if model is None:
+            absent.append(r["model_path"])
+        else:
             found.append(Scorer(r["model_path"].rstrip("/").rsplit("/", 1)[-1], model, tuple(features)))
+    if absent and on_missing != "skip":
+        raise ValueError(f"models not found: {absent}")
+    if absent:
+        warnings.warn(f"models left out: {absent}", stacklevel=2)
     if not found:
-        raise ValueError("no readable models" + (f" of ranks {list(ranks)}" if ranks else ""))
+        raise ValueError("no models" + (f" of ranks {list(ranks)}" if ranks else ""))
     return found
 
 
@@ -260,6 +286,28 @@ def sample_params(trial: int, seed: int, space: Mapping[str, tuple] = SEARCH_SPA
     return out
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the lowest loss; the search for it ends after ``patience`` rounds without a lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_with_patience(train: DataFrame, holdout: DataFrame, params: Mapping[str, object], rounds: int, seed: int, patience: int):
+    """A model with the number of rounds that is best on the holdout.
+
+    All rounds are fitted once and the loss after each is read from the holdout; the first trees of a shorter fit with the same seed are
+    the same trees.
+    """
+    model = classifier(params, rounds, seed).fit(train)
+    best = best_round(model.evaluateEachIteration(holdout), patience)
+    return model if best == rounds else classifier(params, best, seed).fit(train)
+
+
 def hyperparameter_trials(
     train: DataFrame,
     validation: DataFrame,
@@ -268,7 +316,8 @@ def hyperparameter_trials(
     n_trials: int,
     seeds: Sequence[int],
     rounds: int = 1000,
-    tolerance: float = 0.0,
+    patience: int = 200,
+    parallelism: int = 1,
     seed: int = 0,
     half_width: int = 500,
     path: str | None = None,
@@ -276,7 +325,7 @@ def hyperparameter_trials(
 ) -> DataFrame:
     """Random search: per trial a seed ensemble on the holdout, scored by the plateau gain.
 
-    Each fit stops when the validation loss no longer improves; its number of trees is the best iteration.
+    Each fit keeps the rounds up to the lowest validation loss, see ``fit_with_patience``.
     With ``path``, finished trials are appended there and a later call only runs those that are missing.
     """
     spark = train.sparkSession
@@ -293,15 +342,13 @@ def hyperparameter_trials(
         for part, flag in ((known, False), (validation, True))
     ]
     frame = materialise(reduce(DataFrame.unionByName, parts).sortWithinPartitions("id", "period"))
-    fitted, held_out = frame.where(F.col("y").isNotNull()), frame.where("is_validation")
+    fitted, held_out = frame.where(~F.col("is_validation")), frame.where("is_validation")
+    judged = held_out.where(F.col("y").isNotNull())
 
     rows = []
     for number in missing:
         params = sample_params(number, seed, space)
-        models = [
-            classifier(params, rounds, s, validationIndicatorCol="is_validation", validationTol=tolerance).fit(fitted)
-            for s in seeds
-        ]
+        models = _each(lambda s: fit_with_patience(fitted, judged, params, rounds, s, patience), seeds, parallelism)
         scored, columns = held_out, [f"_s{i}" for i in range(len(models))]
         for model, column in zip(models, columns):
             scored = _add_score(scored, model, VECTOR, column)
@@ -327,9 +374,6 @@ def hyperparameter_trials(
 
 
 def _read_trials(spark: SparkSession, path: str | None) -> DataFrame | None:
-    if path is None:
-        return None
-    try:
-        return spark.read.schema(TRIALS_SCHEMA).parquet(path)
-    except AnalysisException:
+    if path is None or not _exists(spark, path):
         return None
+    return spark.read.schema(TRIALS_SCHEMA).parquet(path)
