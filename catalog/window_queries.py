@@ -197,6 +197,27 @@ def historical_features(spark, d):
     return _round_all(history.historical_features(_panel(spark, d), HISTORY), HISTORY, _EXPRESSIONS)
 
 
+WIDE = [f"c{i}" for i in range(77)]
+_MIXES = ", ".join(f"m_price * {i + 1} + q_units AS {c}" for i, c in enumerate(WIDE))
+_WIDE_LAGS = ", ".join(
+    f"lag({c}, {k})  OVER w AS {c}_lag{k}, {c} - lag({c}, {k}) OVER w AS {c}_delta{k}" for c in WIDE for k in (1, 2)
+)
+
+
+@query(
+    sql(
+        "snap",
+        body=f"""SELECT id, period, {', '.join(WIDE)}, {_WIDE_LAGS}, {_rolled(WIDE, _EXPRESSIONS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY period) AS rn FROM (SELECT id, period, {_MIXES} FROM snap)) {_SIX}""",
+    )
+)
+def history_of_77_columns(spark, d):
+    """The full width of the monthly job: 77 columns in, 770 features out."""
+    mixes = [(F.col("m_price") * (i + 1) + F.col("q_units")).alias(c) for i, c in enumerate(WIDE)]
+    wide = snap(spark, d).select("id", "period", *mixes)
+    return _round_all(history.historical_features(wide, WIDE), WIDE, _EXPRESSIONS)
+
+
 @query(sql("deltas", body=f"SELECT period, feature, lvl, {r('value')} AS value, {r('z', 4)} AS z_score FROM {Z_BY_PERIOD}"))
 def zscore_by_level(spark, d):
     means = drift.mean_of_each(deltas(spark, d), _DELTAS, ["period"])
