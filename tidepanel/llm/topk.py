@@ -36,7 +36,7 @@ def integer_vectors(df: DataFrame) -> DataFrame:
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
 def _by_dimension(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray, pa.RecordBatch]]:
@@ -51,19 +51,20 @@ def _by_dimension(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tupl
 
 
 def _blocks(df: DataFrame, id_column: str, size: int, low: int, width: float) -> DataFrame:
-    """Blocks of up to ``size`` rows: ids, and the cells (``width`` > 0) or the exact components as bytes."""
+    """Blocks of up to ``size`` rows: ids, who they stand for if for one id only, and the cells (``width`` > 0) or the exact components."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
         for dim, vectors, rows in _by_dimension(batches, size):
             body = np.minimum((vectors - low) / width, CELLS - 1).astype(np.uint8) if width else vectors
             ids = rows.column(id_column).to_numpy(zero_copy_only=False).astype(np.int64)
-            alone = rows.column("alone").to_numpy(zero_copy_only=False) if width else np.ones(len(ids), bool)
-            columns = [[task << 24 | n], [dim], [ids.tobytes()], [alone.tobytes()], [body.tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "dim", "ids", "alone", "body"])
+            own = rows.column("own").to_numpy(zero_copy_only=False).astype(np.int64)
+            alone = rows.column("alone").to_numpy(zero_copy_only=False).astype(bool)
+            columns = [[task << 24 | n], [dim], [ids.tobytes()], [own.tobytes()], [alone.tobytes()], [body.tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "dim", "ids", "own", "alone", "body"])
             n += 1
 
-    return df.mapInArrow(pack, "block bigint, dim bigint, ids binary, alone binary, body binary")
+    return df.mapInArrow(pack, "block bigint, dim bigint, ids binary, own binary, alone binary, body binary")
 
 
 def _scan(k: int, low: int, width: float):
@@ -76,14 +77,14 @@ def _scan(k: int, low: int, width: float):
                 query_ids, reps = (np.frombuffer(row[c], np.int64) for c in ("q_ids", "ids"))
                 queries = np.frombuffer(row["q_body"], np.int64).reshape(len(query_ids), dim).astype(float)
                 cells = np.frombuffer(row["body"], np.uint8).reshape(len(reps), dim)
-                alone = np.frombuffer(row["alone"], bool)
+                own, alone = np.frombuffer(row["own"], np.int64), np.frombuffer(row["alone"], bool)
                 centres = low + (cells + 0.5) * width
                 for at in range(0, len(queries), 128):
                     q, ids = queries[at : at + 128], query_ids[at : at + 128]
                     middle = q @ centres.T
                     slack = np.abs(q).sum(axis=1, keepdims=True) * width / 2
                     slack = slack + 1 + 1e-9 * (np.abs(middle).max(initial=0) + slack)  # rounding
-                    middle[alone & (reps == ids[:, None])] = -np.inf  # nobody but the query itself
+                    middle[alone & (own == ids[:, None])] = -np.inf  # nobody but the query itself
                     kth = np.partition(middle, -k, axis=1)[:, -k] if middle.shape[1] > k else np.full(len(q), -np.inf)
                     of, rep = np.nonzero((middle + slack >= (kth - slack[:, 0])[:, None]) & (middle > -np.inf))
                     bounds = middle[of, rep]
@@ -143,12 +144,13 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 def _search(asked: DataFrame, reps: DataFrame, approximations: DataFrame, k: int, low: int, width: float) -> DataFrame:
     files = stored(approximations, "approximations")
     numbered = files.select("block", "dim").distinct()
-    blocks = _blocks(asked, "query_id", QUERY_BLOCK, 0, 0.0).select(
+    asking = asked.withColumns({"own": F.col("query_id"), "alone": F.lit(True)})
+    blocks = _blocks(asking, "query_id", QUERY_BLOCK, 0, 0.0).select(
         F.col("dim"), F.col("ids").alias("q_ids"), F.col("body").alias("q_body")
     )
     # Each query block goes to every block of approximations of its dimension, dealt out by block.
     pairs = blocks.join(numbered, "dim").repartition("block").join(files.drop("dim"), "block")
-    found = pairs.select("dim", "q_ids", "q_body", "ids", "alone", "body").mapInArrow(
+    found = pairs.select("dim", "q_ids", "q_body", "ids", "own", "alone", "body").mapInArrow(
         _scan(k, low, width), "query_id bigint, rep bigint, lower double, upper double"
     )
     found = stored(found, "candidates")
