@@ -193,7 +193,7 @@ def test_gain_summary_and_scenarios(spark, panel):
         F.explode(F.array(F.lit("m1"), F.lit("m2"))).alias("model"), "id", "period", "label", (1 - F.col("signal")).alias("score")
     )
     summary = stages.gain_summary(scores, "exp", floor=10, ceiling=500).collect()
-    assert sorted(r["model"] for r in summary) == ["SOFT_VOTING_ENSEMBLE", "m1", "m2"]
+    assert sorted(r["model"] for r in summary) == ["ensemble", "m1", "m2"]
     assert len({(r["k_opt"], r["gain_max"]) for r in summary}) == 1
     tagged = scores.withColumn("experiment", F.when(F.col("model") == "m1", "e1").otherwise("e2"))
     plan = [stages.Scenario("s1", 202005, ("e1",)), stages.Scenario("s2", 202006, ("e1", "e2"))]
