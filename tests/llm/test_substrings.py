@@ -2,6 +2,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidepanel.llm import substrings
@@ -39,36 +40,50 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize(("spread", "slice_bytes", "shard_bytes"), [(2000, 2**21, 2**21), (2000, 500, 3000), (3, 4000, 2**21), (0, 2**21, 2**21)])
-def test_same_as_brute_force(spark, monkeypatch, spread, slice_bytes, shard_bytes):
+@pytest.mark.parametrize(("spread", "slice_bytes", "bucket_bytes"), [(500, 2**20, 2**25), (500, 4000, 20_000), (2, 4000, 20_000), (0, 2**20, 2**25)])
+def test_same_as_brute_force(spark, monkeypatch, spread, slice_bytes, bucket_bytes):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    if slice_bytes != 2**21:  # shipped with the functions by value only if they are not found by name
-        monkeypatch.setattr(substrings, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(substrings, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(substrings, "BYTES_PER_BUCKET", bucket_bytes)
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(df, spread).collect()}
     assert found == brute(rows)
 
 
 def test_shards_of_any_size(monkeypatch):
-    import pyarrow as pa
-
     docs = [(i, t or "") for i, t in sorted(corpus())]
-    for slice_bytes, shard_bytes in ((500, 3000), (2**21, 2**21)):
-        monkeypatch.setattr(substrings, "SLICE_BYTES", slice_bytes)
+    ids = [i for i, _ in docs]
+    wanted = brute(docs)
+    for shard_bytes in (300, 3000, 2**20):
         monkeypatch.setattr(substrings, "SHARD_BYTES", shard_bytes)
-        every = [np.unique(anchors([t.encode()])[4].view(np.int64)).tolist() for _, t in docs]
-        ids = [i for i, _ in docs]
-        batch = pa.RecordBatch.from_pydict({"doc": ids, "tie": ids, "text": [t for _, t in docs], "hashes": pa.array(every, pa.list_(pa.int64()))})
-        rows = [r for b in substrings._contexts(iter([batch])) for r in b.to_pylist()]
-        dealt = pa.RecordBatch.from_pylist(sorted((r for r in rows if r["context"] is not None), key=lambda r: r["h"]))
-        found = [r for b in substrings._search_shards(iter([dealt])) for r in b.to_pylist()]
+        rows, slices = [], []
+        for part in (docs[:50], docs[50:90], docs[90:]):
+            own = [i for i, _ in part]
+            every = substrings._packed(np.unique(anchors([t.encode() for _, t in part])[4]))
+            table = pa.table({"doc": own, "tie": own, "text": [t for _, t in part]})
+            replies = pa.table({"usual": pa.array([every], pa.binary()), "common": pa.array([b""], pa.binary())})
+            slices.append((table.append_column("slice", pa.array([len(slices)] * len(own))), replies))
+        claims = pa.concat_tables([substrings._claims(7)(*s) for s in slices]).sort_by("bucket").to_pylist()
+        told = []
+        for bucket in range(7):
+            held = pa.Table.from_pylist([r for r in claims if r["bucket"] == bucket])
+            told += substrings._answers(held).to_pylist() if held.num_rows else []
+        for n, (table, replies) in enumerate(slices):
+            answers = [r for r in told if r["slice"] == n] + [{"bucket": None, "answers": None, **r} for r in replies.to_pylist()]
+            rows += substrings._contexts(7)(table, pa.Table.from_pylist(answers)).to_pylist()
+        dealt = pa.RecordBatch.from_pylist(sorted(rows, key=lambda r: r["h"]))
         ranges = {}
-        for r in [*found, *(r for r in rows if r["context"] is None)]:
-            ranges.setdefault(r["doc"], set()).update(range(r["a"], r["b"]))
-        wanted = brute(docs)
+        for b in substrings._search_shards(iter([dealt])):
+            for r in b.to_pylist():
+                ranges.setdefault(r["doc"], set()).update(range(r["a"], r["b"]))
         assert {i: len(ranges.get(i, ())) for i in ids} == {i: wanted[i][1] for i in ids}
 
 
+def test_packed_hashes_come_back():
+    h = np.array([0, 1, 255, 2**39, 2**40 - 1])
+    assert substrings._unpacked(substrings._packed(h)).tolist() == h.tolist() and substrings._unpacked(b"").tolist() == []
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(1)
     for text in ["banana" * 9, "a" * 50, "".join(rng.choice("ab") for _ in range(300)), "x"]:

@@ -4,14 +4,16 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts ea
 Every such string has an anchor: the rightmost of its ``GRAM``-byte pieces with the smallest hash. Equal strings have
 equal anchors at the same place, so
 
-1. anchors of all documents are counted by hash, and only strings whose anchor occurs more than once go on;
-2. their bytes (an anchor's context: the union of the strings it stands for) are dealt out by anchor hash. A shard sorts the suffixes
-   of its contexts by Larsson-Sadakane refinement, Kasai's method gives the common prefixes of neighbours, and suffixes
+1. every slice of documents reports the hashes of its anchors, packed, and is told which of them other slices have as well; only
+   strings whose anchor occurs more than once go on;
+2. of each anchor's context (the union of the strings it stands for) the slice sends a digest and hears whether it is a copy of an earlier
+   one, as within exact copies, or one of several different ones. The bytes of these, one holder each, are dealt out by anchor hash.
+   A shard sorts the suffixes of its contexts by Larsson-Sadakane refinement, Kasai's method gives the common prefixes of neighbours, and suffixes
    with ``LENGTH`` common bytes form a class, whose first member stays;
-3. an anchor that occurs in very many documents is spread over shards by document. Each shard then sends the first member of its
-   classes, and each class finds its place in the sorted list of all shards' strings.
+3. an anchor that very many slices have is spread: each of its strings is dealt out by its own digest.
 
 Suffix arrays over everything would compare every shard with every other; dealt by anchor, equal strings meet in one shard.
+Documents are shuffled once, by slice; the steps that read their bytes share that exchange.
 """
 
 from __future__ import annotations
@@ -24,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import query, stored, table
+from tidepanel.llm.common import n_bytes, query, table
 
 LENGTH = 100
-GRAM = 32
-SPREAD_FROM = 2000  # documents with an anchor, from which on it is spread over shards
-SLICE_BYTES = 2 * 2**20
-SHARD_BYTES = 2 * 2**20
+GRAM = 50  # long enough that texts do not share one by chance, which would grow faster than the input
+SPREAD_FROM = 500  # slices with an anchor, from which on its strings are dealt out one by one
+SLICE_BYTES = 2**20
+SHARD_BYTES = 2**20
+BYTES_PER_BUCKET = 32 * 2**20  # of text for each bucket of anchor hashes, about a million of them
+HASH_BYTES = 5  # of an anchor hash; a chance collision costs work, not correctness
 _FACTOR = 0x9E3779B97F4A7C15
 _CODE = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
 _CODE ^= _CODE >> np.uint64(31)
@@ -54,7 +58,7 @@ def anchors(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     n = len(raw)
     none = np.empty(0, np.int64)
     if n < LENGTH:
-        return none, none, none, none, np.empty(0, np.uint64)
+        return none, none, none, none, none
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_CODE[raw] * up[:n], out=total[1:])
@@ -73,11 +77,12 @@ def anchors(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     starts = np.arange(len(owner)) + np.repeat(begins[:-1] - np.r_[0, np.cumsum(np.maximum(sizes - LENGTH + 1, 0))][:-1], np.maximum(sizes - LENGTH + 1, 0))
     place = (low - (least[starts] & low)).astype(np.int64)
     if not len(place):
-        return none, none, none, none, np.empty(0, np.uint64)
+        return none, none, none, none, none
     first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])])
     last = np.r_[first[1:], len(place)] - 1
     doc, at = owner[first], place[first]
-    return doc, at - begins[doc], starts[first] - begins[doc], starts[last] - begins[doc], grams[at]
+    h = (grams[at] >> np.uint64(64 - 8 * HASH_BYTES)).astype(np.int64)
+    return doc, at - begins[doc], starts[first] - begins[doc], starts[last] - begins[doc], h
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,52 +180,153 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.r_[0, cuts + 1]].tolist(), (starts[np.r_[cuts, len(starts) - 1]] + LENGTH).tolist()))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of the batches of about SLICE_BYTES of text, or one document."""
-    for batch in batches:
-        sizes = np.cumsum([len(t.as_py() or "") for t in batch.column("text")]) // SLICE_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
+def _packed(h: np.ndarray) -> bytes:
+    return h.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BYTES :].tobytes()
 
 
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, doc, tie) of every anchor, once a document."""
-    for part in _slices(batches):
-        doc, _, _, _, h = anchors([(t or "").encode() for t in part.column("text").to_pylist()])
-        pairs = np.unique(np.rec.fromarrays([doc, h.view(np.int64)], names="doc,h"))
-        columns = [pa.array(pairs.h), part.column("doc").take(pa.array(pairs.doc)), part.column("tie").take(pa.array(pairs.doc))]
-        yield pa.RecordBatch.from_arrays(columns, ["h", "doc", "tie"])
+def _unpacked(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // HASH_BYTES, 8), np.uint8)
+    wide[:, 8 - HASH_BYTES :] = np.frombuffer(packed, np.uint8).reshape(-1, HASH_BYTES)
+    return wide.view(">i8").ravel().astype(np.int64)
 
 
-CONTEXTS = "h bigint, doc bigint, tie bigint, a bigint, b bigint, context binary"
+def _documents(table: pa.Table) -> tuple[list[tuple[int, int]], list[bytes]]:
+    ids = list(zip(table.column("doc").to_pylist(), table.column("tie").to_pylist()))
+    return ids, [(t or "").encode() for t in table.column("text").to_pylist()]
+
+
+REPORTS = "bucket bigint, slice bigint, hashes binary, several binary"
+
+
+def _reports(buckets: int):
+    def report(docs: pa.Table) -> pa.Table:
+        """A slice's anchor hashes by bucket, each once, and whether it has them several times."""
+        h, times = np.unique(anchors(_documents(docs)[1])[4], return_counts=True)
+        slice_ = docs.column("slice")[0].as_py()
+        rows = [(int(b), h[h % buckets == b], times[h % buckets == b] > 1) for b in np.unique(h % buckets)]
+        columns = [[b for b, *_ in rows], [slice_] * len(rows), [_packed(x) for _, x, _ in rows], [t.tobytes() for *_, t in rows]]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["bucket", "slice", "hashes", "several"])
+
+    return report
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts of the documents' repeated anchors.
+REPLIES = "slice bigint, usual binary, common binary"
 
-    A context equal to an earlier one of the same slice is known to be a copy: it goes on without its bytes.
+
+def _replies(spread_from: int):
+    def reply(reports: pa.Table) -> pa.Table:
+        """For each slice, which of its hashes are repeated anywhere, and which of those are in very many slices."""
+        slices = reports.column("slice").to_pylist()
+        own = [_unpacked(x) for x in reports.column("hashes").to_pylist()]
+        several = np.concatenate([np.frombuffer(x, bool) for x in reports.column("several").to_pylist()])
+        h, place, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        twice = times > 1
+        twice[place[several]] = True
+        ends = np.cumsum([len(x) for x in own])
+        found = [place[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
+        usual = [_packed(h[f[twice[f] & (times[f] <= spread_from)]]) for f in found]
+        common = [_packed(h[f[twice[f] & (times[f] > spread_from)]]) for f in found]
+        return pa.Table.from_arrays(
+            [pa.array(slices, pa.int64()), pa.array(usual, pa.binary()), pa.array(common, pa.binary())], names=["slice", "usual", "common"]
+        )
+
+    return reply
+
+
+def _repeated(docs: pa.Table, replies: pa.Table) -> Iterator[tuple[bool, int, tuple[int, int], int, int, bytes]]:
+    """A slice's repeated anchors in document order: spread or not, key, owner, byte range, context.
+
+    The key of a spread anchor's string is its digest, else that of an anchor is its hash.
     """
-    for part in _slices(batches):
-        docs = [(t or "").encode() for t in part.column("text").to_pylist()]
-        ids = list(zip(part.column("doc").to_pylist(), part.column("tie").to_pylist()))
-        wanted = [np.array(x, np.int64) for x in part.column("hashes").to_pylist()]
-        rows, firsts = [], {}
-        doc, at, low, high, h = anchors(docs)
-        h = h.view(np.int64)
-        edges = np.searchsorted(doc, np.arange(len(docs) + 1))
-        for d in sorted(range(len(docs)), key=ids.__getitem__):
-            mine = np.arange(edges[d], edges[d + 1])
-            for i in mine[np.isin(h[mine], wanted[d])].tolist():
-                a, b = int(low[i]), int(high[i]) + LENGTH
-                context = docs[d][a:b]
-                key = (int(h[i]), int(at[i]) - a, context)
-                origin = firsts.setdefault(key, (*ids[d], a))
-                rows.append((key[0], *ids[d], a, b, context if origin == (*ids[d], a) else None))
-        kinds = [*[pa.int64()] * 5, pa.binary()]
+    ids, texts = _documents(docs)
+    usual, common = (_unpacked(b"".join(x or b"" for x in replies.column(c).to_pylist())) for c in ("usual", "common"))
+    doc, at, low, high, h = anchors(texts)
+    edges = np.searchsorted(doc, np.arange(len(texts) + 1))
+    repeated, spread = np.isin(h, np.concatenate([usual, common])), np.isin(h, common)
+    for d in sorted(range(len(texts)), key=ids.__getitem__):
+        mine = np.arange(edges[d], edges[d + 1])
+        for i in mine[repeated[mine]].tolist():
+            a, b = int(low[i]), int(high[i]) + LENGTH
+            if not spread[i]:
+                yield False, int(h[i]), ids[d], a, b, texts[d][a:b]
+                continue
+            for p in range(a, b - LENGTH + 1):
+                digest = hashlib.blake2b(texts[d][p : p + LENGTH], digest_size=16).digest()
+                yield True, int.from_bytes(digest[:8], "big", signed=True), ids[d], p, p + LENGTH, digest
+
+
+CLAIMS = "bucket bigint, slice bigint, claims binary"
+_CLAIM = np.dtype([("h", "<i8"), ("context", "<i8"), ("doc", "<i8"), ("tie", "<i8"), ("a", "<i8")])
+
+
+def _claims(buckets: int):
+    def claim(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        """By bucket of anchor hashes: the first holder in the slice of every context, known by its digest."""
+        first, rows = set(), {}
+        for spread, h, owner, a, _, context in _repeated(docs, replies):
+            if not spread and (h, context) not in first:
+                first.add((h, context))
+                digest = hashlib.blake2b(context, digest_size=8).digest()
+                rows.setdefault(h % buckets, []).append((h, int.from_bytes(digest, "big", signed=True), *owner, a))
+        slice_ = docs.column("slice")[0].as_py() if docs.num_rows else 0
+        packed = [np.array(r, _CLAIM).tobytes() for r in rows.values()]
+        columns = [pa.array(list(rows), pa.int64()), pa.array([slice_] * len(rows), pa.int64()), pa.array(packed, pa.binary())]
+        return pa.Table.from_arrays(columns, names=["bucket", "slice", "claims"])
+
+    return claim
+
+
+ANSWERS = "slice bigint, usual binary, common binary, bucket bigint, answers binary"
+_ALONE, _COPY, _SEVERAL = 0, 1, 2
+
+
+def _answers(claims: pa.Table) -> pa.Table:
+    """For each claim: a copy of an earlier context, the first of one of several contexts of its anchor, or of the only one."""
+    parts = [np.frombuffer(x, _CLAIM) for x in claims.column("claims").to_pylist()]
+    every = np.concatenate(parts)
+    order = np.lexsort([every[c] for c in ("a", "tie", "doc", "context", "h")])
+    h, context = every["h"][order], every["context"][order]
+    new_h = np.r_[True, h[1:] != h[:-1]]
+    new = new_h | np.r_[True, context[1:] != context[:-1]]
+    group = np.cumsum(new_h) - 1
+    contexts = np.bincount(group, weights=new)[group]
+    answer = np.empty(len(every), np.uint8)
+    answer[order] = np.where(~new, _COPY, np.where(contexts > 1, _SEVERAL, _ALONE))
+    ends = np.cumsum([len(x) for x in parts])
+    packed = [answer[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
+    none = pa.nulls(len(packed), pa.binary())
+    columns = [claims.column("slice"), none, none, claims.column("bucket"), pa.array(packed, pa.binary())]
+    return pa.Table.from_arrays(columns, names=["slice", "usual", "common", "bucket", "answers"])
+
+
+CONTEXTS = "h bigint, doc bigint, tie bigint, a bigint, b bigint, context binary"
+
+
+def _contexts(buckets: int):
+    def send(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        """Contexts that have to be compared, strings of spread anchors as digests, and copies without their bytes.
+
+        What equals something earlier is known to be a copy: it goes on under any key.
+        """
+        told = {b: iter(x) for b, x in zip(*[answers.column(c).to_pylist() for c in ("bucket", "answers")]) if x is not None}
+        first, rows = {}, []
+        for spread, h, owner, a, b, context in _repeated(docs, answers):
+            answer, holder = _COPY, first.get((h, context))
+            if holder is None:
+                first[h, context] = (*owner, a)
+                answer = _SEVERAL if spread else next(told[h % buckets])
+            elif holder == (*owner, a):
+                continue  # a repeated row
+            if answer == _COPY:
+                rows.append((hash((*owner, a)), *owner, a, b, None))
+            elif answer == _SEVERAL:
+                rows.append((h, *owner, a, b, context))
         columns = list(zip(*rows)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [c.split()[0] for c in CONTEXTS.split(", ")])
+        kinds = [*[pa.int64()] * 5, pa.binary()]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in CONTEXTS.split(", ")])
+
+    return send
 
 
 def _first_rows(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
@@ -236,12 +342,15 @@ def _first_rows(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     return kept, copies
 
 
-def _by_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows sorted by h in pieces of whole hashes of about SHARD_BYTES of context."""
+def _by_hash(batches: Iterator[pa.RecordBatch], copies: list[tuple]) -> Iterator[list[tuple]]:
+    """Rows sorted by h in pieces of whole hashes of about SHARD_BYTES of context; known copies are put aside."""
     held: list[tuple] = []
     size = 0
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if row[5] is None:
+                copies.append(row[1:5])
+                continue
             if size >= SHARD_BYTES and row[0] != held[-1][0]:
                 yield held
                 held, size = [], 0
@@ -257,13 +366,16 @@ def _ranges(found: list[tuple]) -> pa.RecordBatch:
 
 
 def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte ranges (doc, tie, a, b) of strings that occur earlier in their shard."""
-    for rows in _by_hash(batches):
+    """Byte ranges (doc, tie, a, b) of strings that occur earlier."""
+    copies: list[tuple] = []
+    for rows in _by_hash(batches, copies):
         kept, found = _first_rows(rows)
-        several = {}
+        found += copies
+        copies.clear()
+        several: dict[int, int] = {}
         for r in kept:
             several[r[0]] = several.get(r[0], 0) + 1
-        kept = [r for r in kept if several[r[0]] > 1]
+        kept = [r for r in kept if several[r[0]] > 1 and len(r[5]) >= LENGTH]
         if kept:
             which, starts, first = later_copies([r[5] for r in kept])
             edges = np.searchsorted(which, np.arange(len(kept) + 1))
@@ -271,108 +383,64 @@ def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 mine = slice(edges[i], edges[i + 1])
                 found += [(r[1], r[2], r[3] + a, r[3] + b) for a, b in _runs(starts[mine][~first[mine]])]
         yield _ranges(found)
+    yield _ranges(copies)
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, doc, tie, a) of the strings of contexts."""
-    for batch in batches:
-        digests, docs, ties, places = [], [], [], []
-        for _, doc, tie, a, b, context in zip(*[c.to_pylist() for c in batch.columns]):
-            for o in range(len(context) - LENGTH + 1):
-                digests.append(hashlib.blake2b(context[o : o + LENGTH], digest_size=16).digest())
-                docs.append(doc)
-                ties.append(tie)
-                places.append(a + o)
-        columns = [pa.array(digests, pa.binary()), *[pa.array(x, pa.int64()) for x in (docs, ties, places)]]
-        yield pa.RecordBatch.from_arrays(columns, ["digest", "doc", "tie", "a"])
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What stays of each document after its ranges are removed."""
-    for part in _slices(batches):
-        sizes, removed, spans, digests, texts = [], [], [], [], []
-        for text, ranges in zip(part.column("text").to_pylist(), part.column("ranges").to_pylist()):
-            data = (text or "").encode()
+CUT = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+
+
+def _cut(keep: bool):
+    def cut(docs: pa.Table, ranges: pa.Table) -> pa.Table:
+        """What stays of each document of a slice after its ranges are removed."""
+        own: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for doc, tie, a, b in zip(*[ranges.column(c).to_pylist() for c in ("doc", "tie", "a", "b")]):
+            own.setdefault((doc, tie), []).append((a, b))
+        rows = []
+        for (doc, tie), data in zip(*_documents(docs)):
             union: list[list[int]] = []
-            for r in sorted((r["a"], r["b"]) for r in ranges or ()):
-                if union and r[0] <= union[-1][1]:
-                    union[-1][1] = max(union[-1][1], r[1])
+            for a, b in sorted(own.get((doc, tie), ())):
+                if union and a <= union[-1][1]:
+                    union[-1][1] = max(union[-1][1], b)
                 else:
-                    union.append(list(r))
-            kept, at = [], 0
-            for a, b in union:
-                kept.append(data[at:a])
-                at = b
-            rest = b"".join([*kept, data[at:]])
-            sizes.append(len(data))
-            removed.append(len(data) - len(rest))
-            spans.append(len(union))
-            digests.append(hashlib.sha256(rest).hexdigest())
-            texts.append(rest)
-        columns = [part.column("doc_id"), *[pa.array(x, pa.int64()) for x in (sizes, removed, spans)], pa.array(digests), pa.array(texts, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-
-def repeated_ranges(docs: DataFrame, spread_from: int = SPREAD_FROM) -> DataFrame:
-    """(doc, tie, a, b): byte ranges of ``docs`` (doc, tie, text) made of strings that start earlier elsewhere."""
-    found = docs.select("doc", "tie", "text").mapInArrow(_hashes, "h bigint, doc bigint, tie bigint")
-    repeated = stored(_repeated(docs), "repeated_anchors")
-    # Only the counts of anchors with company matter; anchors themselves are found again rather than stored.
-    known = found.join(repeated, "h")
-    by_doc = known.groupBy("doc", "tie")
-    usual = by_doc.agg(F.collect_set(F.when(F.col("n") <= spread_from, F.col("h"))).alias("hashes"))
-    common = known.where(F.col("n") > spread_from).groupBy("doc", "tie").agg(F.collect_set("h").alias("hashes"))
-
-    def contexts(hashes: DataFrame) -> DataFrame:
-        joined = docs.join(hashes.where(F.size("hashes") > 0), ["doc", "tie"])
-        return joined.select("doc", "tie", "text", "hashes").mapInArrow(_contexts, CONTEXTS)
-
-    usual = contexts(usual)
-    dealt = usual.where("context IS NOT NULL").repartition("h").sortWithinPartitions("h")
-    ranges = dealt.mapInArrow(_search_shards, "doc bigint, tie bigint, a bigint, b bigint")
-    copies = usual.where("context IS NULL").select("doc", "tie", "a", "b")
-
-    common = contexts(common)
-    strings = common.where("context IS NOT NULL").mapInArrow(_strings, "digest binary, doc bigint, tie bigint, a bigint")
-    first = strings.groupBy("digest").agg(F.min(F.struct("doc", "tie", "a")).alias("first"))
-    later = strings.join(first, "digest").where(F.struct("doc", "tie", "a") > F.col("first"))
-    later = later.select("doc", "tie", "a", (F.col("a") + LENGTH).alias("b"))
-    return ranges.unionByName(copies).unionByName(later).unionByName(common.where("context IS NULL").select("doc", "tie", "a", "b"))
-
-
-def _repeated(docs: DataFrame) -> DataFrame:
-    """(h, n) of anchors that occur in several documents, or several times in one."""
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            doc, _, _, _, h = anchors([(t or "").encode() for t in part.column("text").to_pylist()])
-            values, times = np.unique(h.view(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(times)], ["h", "n"])
-
-    each = docs.select("text").mapInArrow(counted, "h bigint, n bigint")
-    return each.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-
-
-def remove_repeats(docs: DataFrame, spread_from: int = SPREAD_FROM) -> DataFrame:
+                    union.append([a, b])
+            edges = [0, *[x for ab in union for x in ab], len(data)]
+            rest = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+            digest = hashlib.sha256(rest).hexdigest()
+            rows.append((doc, len(data), len(data) - len(rest), len(union), digest, rest if keep else None))
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.binary()]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in CUT.split(", ")])
+
+    return cut
+
+
+def remove_repeats(docs: DataFrame, spread_from: int = SPREAD_FROM, *, keep: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of ``docs`` (doc_id, text).
 
-    Texts are UTF-8 bytes, so what is kept is bytes as well. A null text is empty; a null id comes before all others. Rows of
-    one id and text are one document; different texts of one id are ordered by hash. An empty table gives no rows,
+    Texts are UTF-8 bytes, so what is kept is bytes as well (null unless ``keep``). A null text is empty; a null id comes before all others.
+    Rows of one id and text are one document; different texts of one id are ordered by hash. An empty table gives no rows,
     other columns are ignored.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit("-9223372036854775808").cast("bigint")).alias("doc"),
-        F.xxhash64("text").alias("tie"),
-        "text",
-    )
-    found = repeated_ranges(rows.select("doc", "tie", "text"), spread_from)
-    ranges = found.groupBy("doc", "tie").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
-    joined = rows.join(ranges, ["doc", "tie"], "left").select("doc_id", "text", "ranges")
-    kinds = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
-    return joined.mapInArrow(_cut, kinds)
+    total = docs.agg(F.sum(n_bytes())).first()[0] or 0
+    slices, buckets = total // SLICE_BYTES + 1, total // BYTES_PER_BUCKET + 1
+    of = F.pmod(F.xxhash64("doc"), F.lit(slices)).alias("slice")
+    none = F.lit("-9223372036854775808").cast("bigint")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), none).alias("doc"), F.xxhash64("text").alias("tie"), "text")
+    rows = rows.select(of, "doc", "tie", "text")
+    by_slice = rows.groupBy("slice")
+    reports = by_slice.applyInArrow(_reports(buckets), REPORTS)
+    replies = reports.groupBy("bucket").applyInArrow(_replies(spread_from), REPLIES)
+    claims = by_slice.cogroup(replies.groupBy("slice")).applyInArrow(_claims(buckets), CLAIMS)
+    answers = claims.groupBy("bucket").applyInArrow(_answers, ANSWERS)
+    answers = answers.unionByName(replies, allowMissingColumns=True)
+    contexts = by_slice.cogroup(answers.groupBy("slice")).applyInArrow(_contexts(buckets), CONTEXTS)
+    ranges = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_search_shards, "doc bigint, tie bigint, a bigint, b bigint")
+    found = by_slice.cogroup(ranges.select(of, "doc", "tie", "a", "b").groupBy("slice")).applyInArrow(_cut(keep), CUT)
+    doc_id = F.when(F.col("doc") != none, F.col("doc")).alias("doc_id")
+    return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
 @query()
 def op7_repeated_substrings(spark: SparkSession, d: str) -> DataFrame:
     """What removing all repeated 100-byte strings leaves of every document."""
-    return remove_repeats(table(spark, d, "documents")).drop("kept")
+    return remove_repeats(table(spark, d, "documents"), keep=False).drop("kept")
