@@ -307,10 +307,10 @@ def _contexts(buckets: int):
     def send(docs: pa.Table, answers: pa.Table) -> pa.Table:
         """Contexts that have to be compared, strings of spread anchors as digests, and copies without their bytes.
 
-        What equals something earlier is known to be a copy: it goes on under any key.
+        What equals something earlier is known to be a copy: such ranges go on under any key, joined where they touch.
         """
         told = {b: iter(x) for b, x in zip(*[answers.column(c).to_pylist() for c in ("bucket", "answers")]) if x is not None}
-        first, rows = {}, []
+        first, rows, copies = {}, [], []
         for spread, h, owner, a, b, context in _repeated(docs, answers):
             answer, holder = _COPY, first.get((h, context))
             if holder is None:
@@ -319,9 +319,13 @@ def _contexts(buckets: int):
             elif holder == (*owner, a):
                 continue  # a repeated row
             if answer == _COPY:
-                rows.append((hash((*owner, a)), *owner, a, b, None))
+                if copies and copies[-1][:2] == owner and a <= copies[-1][3]:
+                    copies[-1] = (*owner, copies[-1][2], b)
+                else:
+                    copies.append((*owner, a, b))
             elif answer == _SEVERAL:
                 rows.append((h, *owner, a, b, context))
+        rows += [(hash(c), *c, None) for c in copies]
         columns = list(zip(*rows)) or [()] * 6
         kinds = [*[pa.int64()] * 5, pa.binary()]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in CONTEXTS.split(", ")])
