@@ -202,27 +202,6 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, shard_limit: int = SHARD
     return rows.join(by_fp, "fp").select("doc_id", hexed, "component_id")
 
 
-def keep_one(docs: DataFrame, *, width: int = 3, shard_limit: int = SHARD_LIMIT) -> DataFrame:
-    """One row of ``docs`` for each component: the one of smallest id (null last), then of smallest text hash.
-
-    All columns stay as they are; a repeated row stays once.
-    """
-    rows, named = _groups(docs, width, shard_limit)
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    # Per fingerprint first, so that a component with very many rows arrives as few.
-    best = rows.groupBy("fp").agg(F.min(rank).alias("best")).join(named.select("fp", "root"), "fp")
-    best = best.groupBy("root").agg(F.min("best").alias("best"))
-    keepers = best.select(F.col("best.none").alias("_none"), F.coalesce("best.doc_id", F.lit(0)).alias("_id"), F.col("best.tie").alias("_tie"))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    renamed = docs.toDF(*names)
-    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
-    keyed = renamed.select(
-        "*", doc_id.isNull().alias("_none"), F.coalesce(doc_id.cast("bigint"), F.lit(0)).alias("_id"), F.xxhash64(text).alias("_tie")
-    )
-    kept = keyed.join(keepers, ["_none", "_id", "_tie"], "left_semi").dropDuplicates(["_none", "_id", "_tie"])
-    return kept.select(names).toDF(*docs.columns)
-
-
 @query()
 def op5_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
