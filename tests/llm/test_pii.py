@@ -99,3 +99,27 @@ def test_linked_across_documents(spark):
     assert by[4].text == "long " * 50_000 + new and by[4].n == {"card": 1}
     assert by[3].text is None and by[None].text == "" and by[3].counts == 2 and by[2].n == {"card": 2, "email": 1}
     assert pseudonymise(df.limit(0), b"key").columns == df.columns and pseudonymise(df.limit(0), b"key").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "before", "after"),
+    [
+        ("card", "4111 1111 1111 1111", "", " 123"),
+        ("card", "4111 1111 1111 1111", "25 ", ""),
+        ("card", "4111 1111 1111 1111", "25 ", " 123"),
+        ("card", "4041894974608795", "25 ", " 12"),
+        ("iban", "BE68 5390 0754 7034", "", " ON"),
+        ("iban", "BE68539007547034", "", " OR"),
+        ("iban", "GB82 WEST 1234 5698 7654 32", "AB12 3456 7890 ", " ABC"),
+        ("phone", "+49 30 1234567", "", " 15"),
+        ("phone", "+33 1 23 45 67 89", "", " 15"),
+        ("phone", "+1 (988) 555-2485", "", " 12"),
+        ("phone", "415-555-0132", "", " 123"),
+        ("day", "2024-01-15", "", "T10:00"),
+        ("day", "2024-01-15", "", "T10:00:00Z"),
+    ],
+)
+def test_values_beside_other_tokens(kind, value, before, after):
+    """The same pseudonym as alone, and nothing else changed."""
+    text, counts = Pseudonyms(b"one").apply(f"x {before}{value}{after} y")
+    assert text == f"x {before}{KINDS[kind][1](F1, value)}{after} y" and counts == {kind: 1}

@@ -212,15 +212,88 @@ KINDS: dict[str, tuple[str, Callable[..., str | None]]] = {
     "access_key": (r"\bAKIA[A-Z0-9]{16}\b", access_key),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
     "address": (r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)", address),
-    "day": (r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?\.\d\d?\.\d{4}|\d\d?/\d\d?/\d{4}|\d\d-\d\d-\d{4})(?![\w/-]|\.\d)", day),
+    "day": (r"(?<![\w./-])(?:\d{4}-\d\d-\d\d(?=T\d\d)|(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?\.\d\d?\.\d{4}|\d\d?/\d\d?/\d{4}|\d\d-\d\d-\d{4})(?![\w/-]|\.\d))", day),
     "social": (r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])", social),
     "card": (r"(?<![\w+])\d(?:[ -]?\d){12,18}(?![\w])", card),
     "phone": (r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])", phone),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
+_EACH = {k: re.compile(p) for k, (p, _) in KINDS.items()}
 # Every pattern needs one of these.
 _HINT = re.compile(r"[0-9@]|(?i:password|passwd|token|secret|api_?key)\s*[=:]")
 
+# Characters of an IBAN by country, from the registry.
+_IBAN_LENGTHS = {
+    k: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 33: "RU", 32: "LC",
+    }.items()
+    for k in countries.split()
+}
+# Digits after the country code where all numbers of the country have as many.
+_PHONE_LENGTHS = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "61": 9, "86": 11, "91": 10, "351": 9}
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))}
+
+
+def _shorter_ends(text: str) -> list[str]:
+    """``text`` up to each of its tokens, longest first, the whole left out."""
+    return [text[: m.end()] for m in list(re.finditer(r"[A-Za-z0-9]+\)?", text))[-2::-1]]
+
+
+def _iban_ends(text: str) -> list[str]:
+    length = _IBAN_LENGTHS.get(text[:2])
+    if length is None:
+        return [text, *_shorter_ends(text)]
+    at = 0
+    for n, c in enumerate(text):
+        at += not c.isspace()
+        if at == length:
+            # The country's length comes first; inside a token it is no end.
+            return [text[: n + 1], text] if n + 1 < len(text) and text[n + 1].isspace() else [text]
+    return [text]
+
+
+def _groups(text: str) -> tuple[int, ...]:
+    return tuple(map(len, re.findall(r"\d+", text)))
+
+
+def _card_ends(text: str) -> list[str]:
+    """The whole, then shorter ends; of these only common groupings if a card of such grouping begins later in ``text``."""
+    ends = [e for e in _shorter_ends(text) if sum(_groups(e)) >= 13 and min(_groups(e)) >= 3]
+    usual = [e for e in ends if _groups(e) in _CARD_GROUPS]
+    later = [text[m.start() :] for m in re.finditer(r"(?<=[ -])\d", text)]
+    inner = (e for t in later for e in (t, *_shorter_ends(t)) if _groups(e) in _CARD_GROUPS)
+    if len(ends) > len(usual) and any(_is_card(e) for e in inner):
+        return [text, *usual]
+    return [text, *usual, *(e for e in ends if e not in usual)]
+
+
+def _is_card(text: str) -> bool:
+    digits = re.sub(r"\D", "", text)
+    return luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1
+
+
+def _phone_ends(text: str) -> list[str]:
+    """Where the number ends by its country's length, or after six digits without a gap; then the whole and what is shorter."""
+    ends = _shorter_ends(text)
+    if not text.startswith("+"):
+        return [text]
+    digits = re.sub(r"\D", "", text)
+    code = next((c for c in (digits[:n] for n in (1, 2, 3)) if c in _PHONE_LENGTHS), None)
+    if code:
+        wanted = len(code) + _PHONE_LENGTHS[code]
+        fit = [e for e in (text, *ends) if len(re.sub(r"\(0\)|\D", "", e)) == wanted]
+    else:
+        m = re.match(r"\+\d{1,3}(?!\d).*?(?<!\d)\d{6,}(?![\d-])", text)
+        fit = [m[0]] if m else []
+    return list(dict.fromkeys([*fit, text, *ends]))
+
+
+_ENDS: dict[str, Callable[[str], list[str]]] = {"iban": _iban_ends, "card": _card_ends, "phone": _phone_ends}
+
 
 class Pseudonyms:
     """Replaces personal values in texts; values met before are remembered up to a bounded number."""
@@ -229,19 +302,32 @@ class Pseudonyms:
         feistel = Feistel(key)
         self.value = functools.lru_cache(100_000)(lambda kind, text: KINDS[kind][1](feistel, text))
 
+    def _at(self, text: str, first: re.Match) -> tuple[str, int, str] | None:
+        """Kind, end and pseudonym of a valid value where ``first`` begins: of its kind or a later one, whole or with a shorter end."""
+        kinds = list(KINDS)
+        for kind in kinds[kinds.index(first.lastgroup) :]:
+            m = first if kind == first.lastgroup else _EACH[kind].match(text, first.start())
+            if m:
+                for value in _ENDS[kind](m[0]) if kind in _ENDS else [m[0]]:
+                    if (new := self.value(kind, value)) is not None:
+                        return kind, m.start() + len(value), new
+        return None
+
     def apply(self, text: str) -> tuple[str, Counter]:
         counts: Counter = Counter()
         if not _HINT.search(text):
             return text, counts
-
-        def put(m: re.Match) -> str:
-            new = self.value(m.lastgroup, m[0])
-            if new is None:
-                return m[0]
-            counts[m.lastgroup] += 1
-            return new
-
-        return _ANY.sub(put, text), counts
+        out, done, at = [], 0, 0
+        while m := _ANY.search(text, at):
+            found = self._at(text, m)
+            if found is None:
+                at = m.start() + 1  # a valid value can begin inside; the patterns see to it that it does so at a token
+                continue
+            kind, end, new = found
+            out += [text[done : m.start()], new]
+            done = at = end
+            counts[kind] += 1
+        return "".join([*out, text[done:]]), counts
 
 
 def pseudonymise(docs: DataFrame, key: bytes, *, column: str = "text", counts: str | None = None) -> DataFrame:
