@@ -86,3 +86,14 @@ def test_query_on_the_smallest_table(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in found)
     held = [r for r in found if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_copies_do_not_crowd_out_a_language(spark, monkeypatch):
+    """A language of very many copies of one text is learned from its other texts too, each of them once."""
+    rows = [t for t in sample(120) if t[2] != "cc"] + [(900, "lha que nho", "cc")] * 3000 + [t for t in sample(60) if t[2] == "cc"]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for least in (1, 5):  # five centroids need as many different texts
+        model = fit(df, centroids=least, sample=5)
+        assert Counter(model.languages) == {"aa": least, "bb": least, "cc": least}
+        found = np.unique(model.centres.round(4), axis=0)
+        assert len(found) == 3 * least

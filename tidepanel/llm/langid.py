@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepanel.llm.common import query, table, texts
@@ -85,8 +85,8 @@ def fit(
 ) -> Centroids:
     """Model of (text, lang) rows. Rows without a language or without a letter do not count.
 
-    Document frequencies are counted over all rows; ``sample`` bounds the expected number of rows a language gives to clustering.
-    Which rows is a hash of the text, so it does not depend on order or size.
+    Document frequencies are counted over all rows; ``sample`` bounds the number of distinct texts a language gives to clustering.
+    They are those of smallest hash, so they do not depend on order, size or copies, and every language gives at least one.
     """
     rows = train.where(F.col("lang").isNotNull() & has_letter("text")).select("text", "lang")
 
@@ -106,8 +106,13 @@ def fit(
     if not sizes:
         return Centroids(idf, [], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
 
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003
+    # Copies count once: the texts of smallest hash in each language, whatever their number. Ranks are cut before the exchange.
+    key = F.xxhash64("text")
+    distinct = rows.select("lang", key.alias("key")).distinct()
+    ranked = distinct.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key"))).where(F.col("place") <= sample)
+    last = {r.lang: r.key for r in ranked.groupBy("lang").agg(F.max("key").alias("key")).collect()}  # one row a language
+    chosen = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])
+    drawn = rows.withColumn("key", key).where(F.col("key") <= chosen[F.col("lang")]).groupBy("lang", "key").agg(F.min("text").alias("text"))
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, docs in texts(batches, "text"):
@@ -122,8 +127,8 @@ def fit(
         least = [float(np.quantile(o, rejected)) * 0.5 if len(o) else 0.0 for o in own]
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "v": [c.astype(np.float32).tobytes() for c in centres], "least": least})
 
-    # At most about ``sample`` vectors a language come together.
-    sampled = rows.where(drawn).mapInArrow(vectorise, "lang string, v binary")
+    # At most ``sample`` vectors a language come together.
+    sampled = drawn.select("text", "lang").mapInArrow(vectorise, "lang string, v binary")
     found = sampled.groupBy("lang").applyInPandas(group, "lang string, v binary, least double").collect()
     found = sorted(found, key=lambda r: (r.lang, bytes(r.v)))
     centres = np.array([np.frombuffer(r.v, np.float32) for r in found], np.float32).reshape(-1, BUCKETS)
