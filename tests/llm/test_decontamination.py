@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from tidepanel.llm import decontamination
 from tidepanel.llm.decontamination import contamination, decontaminate, words_of
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -73,3 +74,13 @@ def test_removal_keeps_columns_and_handles_empty(spark):
     hit = spark.createDataFrame([(1, "b")], "item_id bigint, text string")
     assert [r.item_id for r in decontaminate(d, hit).collect()] == [2]
     assert contamination(spark.createDataFrame([], schema), hit).count() == 0
+
+
+def test_copies_of_an_item_are_read_once_in_bounded_blocks(spark, monkeypatch):
+    tests = [(1, "p q r s t u v w x y z")] * 500 + [(i, f"one{i} two three four five six seven eight nine ten") for i in range(2, 60)]
+    sizes, build = [], decontamination.build_index
+    monkeypatch.setattr(decontamination, "build_index", lambda rows, window: sizes.append(sum(len(t) + 64 for _, t in rows)) or build(rows, window))
+    d = spark.createDataFrame([(1, "a p q r s t u v w x y z"), (2, "none")], "doc_id bigint, text string")
+    found = contamination(d, spark.createDataFrame(tests, "item_id bigint, text string"), block_bytes=3000).collect()
+    assert {r.doc_id: r["items"] for r in found} == {1: ["1"], 2: []}
+    assert len(sizes) > 1 and max(sizes) <= 6000 and sum(sizes) == sum(len(t) + 64 for _, t in set(tests))

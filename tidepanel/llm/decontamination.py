@@ -220,6 +220,21 @@ def _longest(index: TestIndex, places: np.ndarray, windows: np.ndarray) -> int:
     return best
 
 
+def _dealt(items: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """``items``, all different, with their _block, and the number of blocks.
+
+    A block has at most twice ``block_bytes``, or that and the longest item: more blocks are tried until all do.
+    """
+    size = n_bytes() + 64
+    total, longest = items.agg(F.sum(size), F.max(size)).first()
+    blocks = -(-(total or 0) // block_bytes) or 1
+    while True:
+        dealt = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+        if blocks == 1 or dealt.groupBy("_block").agg(F.sum(size).alias("n")).agg(F.max("n")).first()[0] <= block_bytes + max(block_bytes, longest):
+            return dealt, blocks
+        blocks *= 2
+
+
 def contamination(docs: DataFrame, tests: DataFrame, *, keep: list[str] | None = None, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Columns ``keep`` (default doc_id) of every row of ``docs`` with what it shares with ``tests`` (item_id, text).
 
@@ -230,9 +245,7 @@ def contamination(docs: DataFrame, tests: DataFrame, *, keep: list[str] | None =
     """
     keep = ["doc_id"] if keep is None else keep
     items = tests.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    total = items.agg(F.sum(n_bytes() + 64)).first()[0] or 0
-    blocks = -(-total // block_bytes) or 1
-    items = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    items, blocks = _dealt(stored(items.dropDuplicates(["item_id", "text"]), "test_items"), block_bytes)
     others = list(dict.fromkeys([*keep, "text"]))
     rows = docs.select(others).withColumn("_found", F.lit(None).cast(MATCHES))
     for b in range(blocks):
