@@ -84,3 +84,13 @@ def test_copies_of_an_item_are_read_once_in_bounded_blocks(spark, monkeypatch):
     found = contamination(d, spark.createDataFrame(tests, "item_id bigint, text string"), block_bytes=3000).collect()
     assert {r.doc_id: r["items"] for r in found} == {1: ["1"], 2: []}
     assert len(sizes) > 1 and max(sizes) <= 6000 and sum(sizes) == sum(len(t) + 64 for _, t in set(tests))
+
+
+def test_short_items_are_reported_not_removed(spark):
+    tests = spark.createDataFrame([(1, "Paris"), (2, "in 1984, naïve"), (3, "a b c d e f g H"), (4, None), (5, "...")], "item_id bigint, text string")
+    docs = [(1, "from paris " * 9), (2, "In 1984 naïve too"), (3, "x A B C D E F G H y"), (4, "a b c d e f g")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    with pytest.warns(UserWarning, match="2 test items of fewer than 8 words"):
+        assert sorted(r.doc_id for r in decontaminate(d, tests, least_words=8).collect()) == [1, 2, 4]
+    assert [r.doc_id for r in decontaminate(d, tests).collect()] == [4]
+    assert {r.doc_id: r["items"] for r in contamination(d, tests).collect()} == {1: ["1"], 2: ["2"], 3: ["3"], 4: []}

@@ -10,6 +10,7 @@ The test table is measured first and goes to the tasks in blocks of bounded size
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from tidepanel.llm.common import n_bytes, query, stored, table, texts
 
 WINDOW = 10
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BLOCK_BYTES = 16 * 2**20
 _FACTOR = 0x9E3779B97F4A7C15  # odd, so it can be inverted modulo 2^64
 _LETTER = np.zeros(256, np.uint8)
@@ -259,8 +261,26 @@ def contamination(docs: DataFrame, tests: DataFrame, *, keep: list[str] | None =
     return rows.withColumns(added).select(*[c for c in keep if c not in added], *added)
 
 
-def decontaminate(docs: DataFrame, tests: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that share no window with ``tests``, with all their columns."""
+def short_items(tests: DataFrame, least_words: int) -> DataFrame:
+    """Rows of ``tests`` whose text has words, but fewer than ``least_words``."""
+    n = F.size(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))
+    return tests.where((n > 0) & (n < least_words))
+
+
+def decontaminate(docs: DataFrame, tests: DataFrame, *, least_words: int = 1) -> DataFrame:
+    """Rows of ``docs`` that share a window of ``least_words`` words (at most the window's length) with no item of ``tests``, with all their columns.
+
+    Shorter items remove nothing; a warning names their number, and ``contamination`` reports the documents that have them.
+    """
+    if least_words > WINDOW:
+        raise ValueError(f"a window has {WINDOW} words")
+    if least_words > 1:
+        short = short_items(tests, least_words)
+        if n := short.count():
+            names = [str(r.item_id) for r in short.select("item_id").limit(10).collect()]
+            warnings.warn(f"{n} test items of fewer than {least_words} words remove no documents: {', '.join(names)}", stacklevel=2)
+        n_words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))), F.lit(0))
+        tests = tests.where(n_words >= least_words)
     named = docs.toDF(*[f"c{i}_{c}" for i, c in enumerate(docs.columns)])
     text = named.columns[docs.columns.index("text")]
     found = contamination(named.withColumn("text", F.col(text)), tests, keep=named.columns)
