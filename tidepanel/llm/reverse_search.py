@@ -28,6 +28,7 @@ BEST = 10
 BLOCK_BYTES = 4 * 2**20  # of item texts in an index
 MERGE_GROUPS = 64  # groups of tasks whose heaps are merged first
 _PIECE = 2**20
+_NULL_ID = 2**63 - 1
 _SCORES = 2**21  # scores and postings held at once
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 _BETWEEN = re.compile(rb"[^0-9a-z\x80-\xff]")
@@ -82,7 +83,7 @@ class Heaps:
 
     def __init__(self, items: int, best: int):
         self.best, self.held = best, [[] for _ in range(items)]
-        self.score, self.key = np.zeros(items, np.int64), np.full(items, np.inf)  # of the last of a full heap
+        self.score, self.key = np.zeros(items, np.int64), np.full(items, _NULL_ID)  # of the last of a full heap
 
     def offer(self, items: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
         """Documents of positive scores, one for each place; ids as keys, null as the largest number."""
@@ -97,9 +98,6 @@ class Heaps:
                 self.score[i], self.key[i] = heap[0][0], -heap[0][1]
 
 
-_NULL_ID = 2**63 - 1
-
-
 def score_batch(index: ItemIndex, weights: np.ndarray, lengths: np.ndarray, firsts: np.ndarray, terms: np.ndarray, tf: np.ndarray, n: int, total: int) -> np.ndarray:
     """Scores (documents x items) of documents whose term numbers and counts lie at ``firsts[i]:firsts[i + 1]``."""
     items = len(index.item_ids)
