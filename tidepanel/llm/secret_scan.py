@@ -282,6 +282,10 @@ def scan(docs: DataFrame, words: DataFrame, *, keep: list[str] | None = None, le
     return docs.select(columns).mapInArrow(search, schema)
 
 
+def _of_kinds(spans: Column, *kinds: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -292,6 +296,6 @@ def op12_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     found = scan(docs, common_words(docs))
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE]
-    base = _listed(F.filter(spans, lambda s: s["kind"].isin(*BASE)))
+    counts = [F.size(_of_kinds(spans, k)).cast("bigint").alias(f"n_{k}") for k in BASE]
+    base = _listed(_of_kinds(spans, *BASE))
     return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), _listed(spans).alias("spans"))
