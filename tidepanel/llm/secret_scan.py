@@ -18,11 +18,11 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepanel.llm.common import query, table, texts
+from tidepanel.llm.common import query, stored, table, texts
 
 BASE, KINDS = ("assign", "access", "hex"), ("assign", "access", "hex", "guess")
 LEAST_COST = 8.0  # decimal digits of guesses
@@ -249,7 +249,12 @@ def common_words(docs: DataFrame, n: int = WORDS) -> DataFrame:
             yield out()
 
     counted = docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.orderBy(F.desc("n"), "word").limit(n)
+    counted = stored(counted, "word_counts")
+    # The count that the last word of the list has: one row for each different count is summed up, not one for each word.
+    more = F.sum("words").over(Window.orderBy(F.desc("n")))
+    steps = counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).select("n", "words", more.alias("so_far"))
+    least = steps.where(F.col("so_far") - F.col("words") < n).agg(F.min("n")).first()[0] or 0
+    return stored(counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(n), "common_words")
 
 
 SPANS = T.ArrayType(
