@@ -16,8 +16,6 @@ DELTA_FEATURES = ["m_price", "q_units", "n_lines", "n_orders"]
 BAD = (199605, 199610, 199706)
 MODELS = 5
 FLOOR, CEILING, HALF_WIDTH, TOP = 100, 1000, 50, 700
-# Small buckets, so that the rankings go over many of them at every scale.
-BUCKET_ROWS = 5_000
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from tidepanel.operators import trials as trial_tables
 from tidepanel.operators.scalars import with_scalars
 from tidepanel.plans import models, stages
 from tidepanel.sources import tables
-from tidepanel.sources.scratch import fresh_path
+from tidepanel.sources.scratch import fresh_path, materialise
 
 SEED, RATE = 7, 0.2
 TRAIN = [y * 100 + m for y in range(1995, 2000) for m in range(1, 13)]
@@ -141,8 +141,9 @@ def canary_cut(spark, d):
 
 
 FEATURES = [*MEASURES, "s_nationkey", "m_price_lag1", "m_price_delta1", "q_units_lag1", "q_units_delta1"]
-SEARCH = {"maxDepth": ("int", 2, 3), "stepSize": ("log", 0.05, 0.3), "subsamplingRate": ("float", 0.5, 1.0)}
-TRIALS, SEEDS, ROUNDS = 2, [1, 2], 6
+# All five parameters, and rounds enough for patience to act; depth and leaf size fit the small panel.
+SEARCH = models.SEARCH_SPACE | {"maxDepth": ("int", 2, 4), "minInstancesPerNode": ("int", 5, 50), "stepSize": ("log", 0.05, 0.5)}
+TRIALS, SEEDS, ROUNDS, PATIENCE = 2, [1, 2], 24, 3
 _TRAINED = f"period IN ({', '.join(map(str, TRAIN))}) AND label IS NOT NULL"
 
 
@@ -164,6 +165,7 @@ def _search(spark, d):
         n_trials=TRIALS,
         seeds=SEEDS,
         rounds=ROUNDS,
+        patience=PATIENCE,
         half_width=50,
         space=SEARCH,
         parallelism=2,
@@ -248,3 +250,34 @@ def hyperparameter_trials(spark, d):
         (F.col("value") <= F.col("gain_max")).alias("plateau_below_peak"),
         F.col("peak").between(0, F.col("n") - 1).alias("peak_in_list"),
     )
+
+
+@query()
+def search_values(spark, d):
+    """The search itself: value, rounds, profit and parameters of every trial."""
+    return _search(spark, d)
+
+
+@query()
+def round_profits(spark, d):
+    """Highest profit and plateau on the test months after every round of one fit."""
+    frame = _training_frame(spark, d)
+    kept = ["id", "period", "label", "y", "w"]
+    train = models.with_vector(frame.where(F.col("period").isin([m for m in TRAIN if m not in TEST]) & F.col("y").isNotNull()), FEATURES, kept)
+    held = materialise(models.with_vector(frame.where(F.col("period").isin(TEST)), FEATURES, kept))
+    model = models.classifier(models.sample_params(0, 0, SEARCH), ROUNDS, SEEDS[0]).fit(materialise(train.select("y", "w", models.VECTOR)))
+    return models.round_profits(held, model, half_width=50)
+
+
+@query()
+def ensemble_scores(spark, d):
+    """Scores of the test months by every model of the trained ensemble."""
+    scorers, _ = _ensemble(spark, d, SEEDS)
+    return models.score_models(_training_frame(spark, d).where(F.col("period").isin(TEST)), scorers)
+
+
+@query()
+def selected_features(spark, d):
+    """Features that rank above every canary, with their gain."""
+    columns = [*FEATURES, "planted"]
+    return models.canary_selection(_training_frame(spark, d).select("id", "period", *columns, "y", "w"), columns, n=CANARIES, rounds=150)

@@ -15,8 +15,9 @@ from catalog.inputs import (
     sql,
     summary,
 )
-from catalog.registry import query
+from catalog.registry import SQL, query
 from tidepanel.operators import combine, drift, labels
+from tidepanel.sources import stored
 from tidepanel.sources.scratch import fresh_path
 
 _ALL = ", ".join(SNAP_COLUMNS)
@@ -164,3 +165,23 @@ def unpivot_columns(spark, d):
 def parse_feature_name(spark, d):
     means = drift.mean_of_each(deltas(spark, d), _DELTAS, ["period"])
     return rounded(drift.long_means(means, _DELTAS, ["period"]), 6, "value")
+
+
+@query(SQL["summary_upsert"])
+def summary_upsert_stored(spark, d):
+    """The table is kept as files and merged twice; the second time changes nothing."""
+    path = fresh_path(spark, "summary")
+    stored.upsert_stored(summary(spark, d, "NA"), path, KEYS, partition="experiment")
+    for _ in range(2):
+        stored.upsert_stored(summary(spark, d, "R").withColumn("updated", F.lit(NOW)), path, KEYS, partition="experiment")
+    return stored.read_stored(summary(spark, d, "R"), path)
+
+
+@query(sql("summary_old", "summary_new", body="""SELECT experiment, model, k_opt, gain_max, updated FROM summary_old UNION ALL
+  SELECT experiment, model, k_opt, gain_max, updated FROM summary_new n WHERE NOT EXISTS (
+    SELECT 1 FROM summary_old o WHERE o.experiment = n.experiment AND o.model = n.model)"""))
+def insert_if_absent_stored(spark, d):
+    path = fresh_path(spark, "summary")
+    for flags in ("NA", "R", "NA"):
+        stored.insert_stored(summary(spark, d, flags), path, KEYS, partition="experiment")
+    return stored.read_stored(summary(spark, d, "R"), path)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.inputs import BUCKET_ROWS, SNAP_COLUMNS, TOP, ensemble, importances, snap, sql
+from catalog.inputs import SNAP_COLUMNS, TOP, ensemble, importances, snap, sql
 from catalog.registry import query
 from tidepanel.operators.curves import topk_flag
 from tidepanel.operators.ranking import rank
@@ -61,6 +61,15 @@ def scan_periods(spark, d):
     return tables.read_periods(spark, path, MONTHS, columns=SNAP_COLUMNS)
 
 
+@query(sql("snap", body=f"SELECT {_ALL} FROM snap WHERE period IN {_MONTHS}"))
+def scan_periods_of_calendar(spark, d):
+    """The months come from a table, known only when the query runs."""
+    path = fresh_path(spark, "snap")
+    tables.write_period_table(snap(spark, d), path)
+    calendar = snap(spark, d).select("period").where(F.col("period").isin(*MONTHS)).distinct()
+    return tables.read_periods(spark, path, calendar, columns=SNAP_COLUMNS)
+
+
 @query(sql("snap", body=f"SELECT id, period, m_price, m_returned FROM snap WHERE period IN {_MONTHS}"))
 def scan_periods_pruned_cols(spark, d):
     path = fresh_path(spark, "snap")
@@ -85,7 +94,7 @@ def parquet_glob_scan(spark, d):
 
 @query(sql("ranked_mean", body=f'SELECT id, CAST(flag AS bigint) AS "Predicted" FROM ({_TOP})'))
 def prediction_csv_sink(spark, d):
-    ranking = rank(ensemble(spark, d), "score", rows_per_bucket=BUCKET_ROWS)
+    ranking = rank(ensemble(spark, d), "score")
     path = csv.write_predictions(topk_flag(ranking, TOP), fresh_path(spark, "predictions"), "run", ranks=[1, 2])
     return spark.read.csv(path, header=True, schema="id bigint, Predicted bigint")
 

@@ -13,8 +13,10 @@ from catalog.inputs import (
     sparse,
     sql,
 )
-from catalog.registry import query
+from catalog.registry import SQL, query
 from tidepanel.operators import drift, frames, history, labels
+from tidepanel.sources import tables
+from tidepanel.sources.scratch import fresh_path, materialise
 
 _ALL = ", ".join(SNAP_COLUMNS)
 # Row windows run on the panel without the bad months, so a lag can span two of them.
@@ -243,3 +245,57 @@ def delta_zscore_matrix_by_period(spark, d):
 )
 def ordered_output(spark, d):
     return rounded(drift.delta_zscore_matrix(deltas(spark, d), by=["period"]), 4, *_CELLS).orderBy("period", "feature")
+
+
+def _by_entity(spark, df):
+    """The frame as a table bucketed by entity."""
+    path = fresh_path(spark, "entities")
+    return tables.write_entity_table(df, path.rsplit("/", 1)[-1].replace("-", "_"), path, buckets=16)
+
+
+@query(SQL["historical_features"])
+def entity_table_history(spark, d):
+    found = history.historical_features(_by_entity(spark, _panel(spark, d)), HISTORY)
+    return _round_all(found, HISTORY, _EXPRESSIONS)
+
+
+@query(SQL["churn_label_gap"])
+def entity_table_labels(spark, d):
+    return labels.churn_label_gap(_by_entity(spark, snap(spark, d)))
+
+
+@query(sql("labelled", body=f"SELECT {_ALL}, label FROM labelled"))
+def entity_table_label_join(spark, d):
+    panel = _by_entity(spark, snap(spark, d))
+    return labels.join_labels(panel, labels.churn_label_gap(panel))
+
+
+_LATE = "period >= 199805"
+
+
+@query(SQL["historical_features"].replace(f"SELECT {_ALL},", f"SELECT * FROM (SELECT {_ALL},", 1) + f") WHERE {_LATE}")
+def history_by_month(spark, d):
+    """The panel up to a month as one batch, then every later month from the state alone."""
+    panel = materialise(_panel(spark, d))
+    state = materialise(history.history_state(panel.where(f"NOT {_LATE}"), HISTORY))
+    out = []
+    for r_ in panel.where(_LATE).select("period").distinct().orderBy("period").collect():  # a row for each month
+        features, state = history.history_step(state, panel.where(F.col("period") == r_["period"]), HISTORY)
+        out.append(features)
+        state = materialise(state)
+    found = out[0]
+    for features in out[1:]:
+        found = found.unionByName(features)
+    return _round_all(found, HISTORY, _EXPRESSIONS)
+
+
+@query(sql("labels", body="SELECT id, period, label FROM labels"))
+def labels_by_month(spark, d):
+    """Labels of the panel up to a month, then those that every later month settles, and what is open at the end."""
+    panel = materialise(snap(spark, d).select("id", "period"))
+    first = labels.churn_label_gap(panel.where(f"NOT {_LATE}")).select("id", "period", "label")
+    found, still = first.where("label IS NOT NULL"), materialise(first.where("label IS NULL"))
+    for r_ in panel.where(_LATE).select("period").distinct().orderBy("period").collect():  # a row for each month
+        settled, still = labels.label_step(still, panel.where(F.col("period") == r_["period"]))
+        found, still = found.unionByName(settled), materialise(still)
+    return found.unionByName(still)

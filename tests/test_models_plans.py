@@ -1,5 +1,6 @@
 """Model jobs on a small planted signal, staged runs, shape of the physical plans."""
 
+import itertools
 import json
 import re
 
@@ -82,10 +83,54 @@ def test_rounds_are_chosen_with_patience(panel, monkeypatch):
     assert models.best_round([5, 4, 4.5, 3, 3.5], 2) == 4  # a rise, then a new low
     assert models.best_round([5, 4, 4.5, 4.6, 3], 2) == 2
     assert models.best_round([1, 2, 3], 200) == 1 and models.best_round([3, 2, 1], 1) == 3
-    frame = models.with_vector(panel.where("y is not null"), FEATURES, ["y", "w"]).cache()
-    losses = iter([[3.0, 2.0, 2.5, 1.0, 1.5]])
-    monkeypatch.setattr(models.GBTClassificationModel, "evaluateEachIteration", lambda self, df: next(losses))
-    assert models.fit_with_patience(frame, frame, {"maxDepth": 2}, 5, 1, 2).getNumTrees == 4
+
+
+@pytest.fixture(scope="module")
+def vectors(panel):
+    frame = models.with_vector(panel.where("y is not null"), FEATURES, ["id", "period", "label", "y", "w"])
+    return frame.where("period < 202004").cache(), frame.where("period >= 202004").cache()
+
+
+def brute_profits(holdout, fits, half_width):
+    """(round, plateau, peak, best) from MLlib's own probabilities of separate fits."""
+    out = []
+    for n, model in enumerate(fits, 1):
+        rows = model.transform(holdout).select("id", "period", "label", "rawPrediction").collect()
+        rows.sort(key=lambda r: (-r["rawPrediction"][1], r["id"], r["period"]))
+        curve = list(itertools.accumulate(780000 if r["label"] == "BAJA+2" else -20000 for r in rows))
+        peak = curve.index(max(curve))
+        near = curve[max(0, peak - half_width) : peak + half_width]
+        out.append((n, pytest.approx(sum(near) / len(near)), peak, max(curve)))
+    return out
+
+
+def test_profit_after_every_round_equals_separate_fits(vectors):
+    train, holdout = vectors
+    params = {"maxDepth": 3, "stepSize": 0.4, "subsamplingRate": 0.6, "featureShare": 0.7}
+    fits = [models.classifier(params, n, 7).fit(train) for n in range(1, 7)]
+    found = [tuple(r) for r in models.round_profits(holdout, fits[-1], half_width=15).orderBy("round").collect()]
+    assert found == brute_profits(holdout, fits, 15)
+    # Margins are MLlib's, and a cut model scores as the shorter fit does.
+    short = {(r["id"], r["period"]): r["probability"][1] for r in fits[2].transform(holdout).collect()}
+    cut = models.score_at_rounds(holdout, [(fits[-1], 3), (fits[-1], 3)], ["id", "period"]).collect()
+    assert all(r["score"] == pytest.approx(short[r["id"], r["period"]], abs=1e-12) for r in cut) and len(cut) == len(short)
+    later = models.staged_scores(holdout, fits[-1], ["id"], range(3, 5)).collect()
+    assert {r["round"] for r in later} == {3, 4} and len(later) == 2 * len(short)
+
+
+def test_patience_is_by_profit(vectors, monkeypatch):
+    train, holdout = vectors
+    params = {"maxDepth": 2, "stepSize": 0.5, "subsamplingRate": 0.7}
+    profits = [p for *_, p in brute_profits(holdout, [models.classifier(params, n, 3).fit(train) for n in range(1, 9)], 500)]
+    grown = []
+    real = models.classifier
+    monkeypatch.setattr(models, "classifier", lambda p, n, s: grown.append(n) or real(p, n, s))
+    for patience in (1, 2, 8):
+        grown.clear()
+        model, best = models.fit_with_patience(train, holdout, params, 8, 3, patience)
+        assert best == models.best_round([-p for p in profits], patience)
+        assert grown == [n for n in (2 * patience, 4 * patience, 8 * patience) if n < 8 and n < 2 * (best + patience)] + [8] * (grown[-1] == 8)
+        assert model.getNumTrees == grown[-1] >= best
 
 
 def test_nan_is_missing(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions.casts import safe_cast
@@ -40,10 +40,12 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], **stamp: Column)
     A key that ``new`` has more than once is an error: say first which row counts, with ``keep_last``. ``stamp`` sets columns on the rows that come from ``new`` (a timestamp, say). The result is a new frame:
     write it to a path other than the one ``old`` was read from.
     """
-    times = new.withColumn("_times", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    # Counted by a partial aggregation, so that a key with very many rows does not gather anywhere to be refused.
+    repeated = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").limit(1)
     message = F.concat(F.lit("repeated key in the new rows: "), F.to_json(F.struct(*keys)))
-    new = times.where(F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(True)).drop("_times")
-    fresh = new.withColumns(stamp) if stamp else new
+    refused = repeated.select(F.raise_error(message).cast("boolean").alias("_refused"))
+    checked = new.withColumn("_refused", refused.scalar()).where(F.col("_refused").isNull()).drop("_refused")
+    fresh = checked.withColumns(stamp) if stamp else checked
     return old.join(new.select(*keys), list(keys), "left_anti").select(*old.columns).unionByName(fresh)
 
 

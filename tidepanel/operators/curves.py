@@ -20,7 +20,9 @@ from tidepanel.constants import (
     SCORE_THRESHOLD,
 )
 from tidepanel.functions.features import confusion_profit, contact_profit, hit_target
-from tidepanel.operators.ranking import CUMULATIVE, PREVIOUS_SCORE, RANK, ROWS_PER_BUCKET, Ranking, rank
+from tidepanel.operators.ranking import BROADCAST_ROWS, CUMULATIVE, PREVIOUS_SCORE, RANK, Ranking, null_safe_join, rank
+from tidepanel.operators.scalars import with_scalars
+from tidepanel.sources.scratch import materialise
 
 KEY = ("id", "period")
 
@@ -32,7 +34,7 @@ def ranked_profit(
     label: str = "label",
     group: Sequence[str] = ("model",),
     tie: Sequence[str] = KEY,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> Ranking:
     """Scores with the profit of each row, ready for the curve operators below."""
     profit = df.select(*group, *tie, F.col(score).alias("score"), contact_profit(F.col(label)).alias("gain"))
@@ -74,13 +76,10 @@ def max_gain(ranking: Ranking) -> DataFrame:
 
 
 def _peaks(ranking: Ranking) -> DataFrame:
-    top = F.max(F.struct(F.col(CUMULATIVE), -F.col(RANK)))
-    found = ranking.ranked(ranking.holding_the_peak()).groupBy(*ranking.group).agg(top.alias("top"))
-    return found.select(
-        *ranking.group,
-        (-F.col("top").getField("col2") - 1).alias("peak"),
-        F.col(f"top.{CUMULATIVE}").alias("gain_max"),
-    )
+    """The largest prefix sum of each group, from the buckets' sums and largest prefixes: no row is read again."""
+    place = F.col("_n_before") + F.col("_peak_place")
+    found = ranking.offsets().groupBy(*ranking.group).agg(F.max(F.struct(F.col("_g_top").alias("gain"), (-place).alias("place"))).alias("top"))
+    return found.select(*ranking.group, (-F.col("top.place") - 1).alias("peak"), F.col("top.gain").alias("gain_max"))
 
 
 def plateau_gain(ranking: Ranking, half_width: int = PLATEAU_HALF_WIDTH) -> DataFrame:
@@ -116,7 +115,7 @@ def mean_best_cut(ranking: Ranking, floor: int = CURVE_FLOOR, ceiling: int = CUR
     The mean score is carried along each position, so the segment is ranked once.
     """
     points = _segment(ranking, floor, ceiling).groupBy("k").agg(
-        F.avg(CUMULATIVE).alias("mean_gain"), F.avg(PREVIOUS_SCORE).alias("mean_thr")
+        F.avg(CUMULATIVE).alias("mean_gain"), _steady_mean(PREVIOUS_SCORE).alias("mean_thr")
     )
     top = F.max(F.struct(F.col("mean_gain"), -F.col("k"), F.col("mean_thr"))).alias("top")
     return points.agg(top).select(
@@ -126,20 +125,31 @@ def mean_best_cut(ranking: Ranking, floor: int = CURVE_FLOOR, ceiling: int = CUR
     )
 
 
+def _steady_mean(c: str) -> Column:
+    """Mean whose last digit does not depend on the order of the rows; for a handful of values (one a model)."""
+    values = F.array_sort(F.collect_list(F.col(c).cast("double")))
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x, lambda total: total / F.nullif(F.size(values), F.lit(0)))
+
+
 def cut_rows(ranking: Ranking, k: int = FINAL_CONTACTS) -> DataFrame:
-    """The last row inside the first min(k, n) of each group: only the bucket it lies in is sorted."""
-    goal = F.least(F.lit(k), F.col("_n_group"))
-    starts = ranking.offsets().where((F.col("_n_before") < goal) & (F.col("_n_before") + F.col("_n") >= goal))
-    inside = ranking.ranked(starts).where(F.col(RANK) <= k)
-    last = inside.groupBy(*ranking.group).agg(F.max(F.struct(RANK, ranking.score, *ranking.tie)).alias("_last"))
+    """The last row inside the first min(k, n) of each group. Only rows inside the cut are sorted together; none is written."""
+    last = ranking.first(k).groupBy(*ranking.group).agg(F.max(F.struct(RANK, ranking.score, *ranking.tie)).alias("_last"))
     return last.select(
         *ranking.group,
         F.col(f"_last.{ranking.score}").alias("_cut_score"),
         *[F.col(f"_last.{c}").alias(f"_cut_{c}") for c in ranking.tie],
-        F.col(f"_last.{RANK}").alias("_cut_rank"),
+        F.col(f"_last.{RANK}").cast("bigint").alias("_cut_rank"),
     )
 
 
+def _with_cuts(df: DataFrame, ranking: Ranking, cuts: DataFrame) -> DataFrame:
+    """``df`` with the columns of its group's cut, broadcast if the groups are few."""
+    if not ranking.group:
+        return with_scalars(df, cuts)
+    cuts = materialise(cuts)
+    return null_safe_join(df, F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts, ranking.group)
+
+
 def _at_or_above_cut(ranking: Ranking) -> Column:
     """Lexicographic comparison with the cut row; NULL scores rank last."""
     ties = [F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in ranking.tie]) for prefix in ("", "_cut_")]
@@ -148,22 +158,22 @@ def _at_or_above_cut(ranking: Ranking) -> Column:
 
 
 def topk_flag(ranking: Ranking, k: int = FINAL_CONTACTS, name: str = "predicted") -> DataFrame:
-    """Every row with 1 for the first min(k, n) of its group, else 0. The frame itself is not shuffled again."""
+    """Every row with 1 for the first min(k, n) of its group, else 0. The frame itself is neither shuffled nor written."""
     if k <= 0:
-        return ranking.df.drop("_bucket").withColumn(name, F.lit(0).cast("bigint"))
-    cuts = cut_rows(ranking, k)
-    marked = ranking.with_group(ranking.df.drop("_bucket"), cuts)
+        return ranking.source.withColumn(name, F.lit(0).cast("bigint"))
+    marked = _with_cuts(ranking.source, ranking, cut_rows(ranking, k))
     flagged = marked.withColumn(name, F.when(_at_or_above_cut(ranking), 1).otherwise(0).cast("bigint"))
     return flagged.drop("_cut_score", "_cut_rank", *[f"_cut_{c}" for c in ranking.tie])
 
 
 def cutoff_score(ranking: Ranking, k: int = FINAL_CONTACTS) -> DataFrame:
     """Per group: rows inside the cut, highest score, score of the last row inside."""
-    best = ranking.df.groupBy(*ranking.group).agg(F.max(ranking.score).alias("score_max"))
-    cuts = cut_rows(ranking, k).select(
-        *ranking.group, F.col("_cut_rank").alias("k"), F.col("_cut_score").alias("score_cut")
+    inside = ranking.first(k).groupBy(*ranking.group)
+    last = F.max(F.struct(RANK, ranking.score)).alias("_last")
+    found = inside.agg(F.max(ranking.score).alias("score_max"), last)
+    return found.select(
+        *ranking.group, "score_max", F.col(f"_last.{RANK}").cast("bigint").alias("k"), F.col(f"_last.{ranking.score}").alias("score_cut")
     )
-    return ranking.with_group(best, cuts)
 
 
 def score_ensemble_mean(

@@ -84,8 +84,7 @@ def historical_features(
     usual call makes close to a thousand of them. Casts come after the window, so the exchange carries the
     input columns and nothing else.
     """
-    levels = list(range(1, lags + 1)) if isinstance(lags, int) else list(lags)
-    reach = max([0, *levels, window - 1 if statistics else 0])
+    levels, reach = _levels(lags), _reach(lags, window, statistics)
     over = f"over (partition by `{key}` order by `{period}`)"
 
     def at(c: str, k: int) -> str:
@@ -167,3 +166,56 @@ def rolling(
     return historical_features(
         df, columns, window=window, lags=[], statistics=statistics, key=key, period=period
     )
+
+
+def _levels(lags: int | Sequence[int]) -> list[int]:
+    return list(range(1, lags + 1)) if isinstance(lags, int) else list(lags)
+
+
+def _reach(lags: int | Sequence[int], window: int, statistics: Sequence[str]) -> int:
+    """How many earlier rows a feature can look at."""
+    return max([0, *_levels(lags), window - 1 if statistics else 0])
+
+
+def history_state(
+    df: DataFrame,
+    columns: Sequence[str],
+    *,
+    window: int = 6,
+    lags: int | Sequence[int] = 2,
+    statistics: Sequence[str] = STATISTICS,
+    key: str = "id",
+    period: str = "period",
+) -> DataFrame:
+    """The last rows of every entity that features of a later month can look at: key, period and columns."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(period)))
+    placed = df.select(key, period, *columns).withColumn("_place", place)
+    return placed.where(F.col("_place") <= _reach(lags, window, statistics)).drop("_place")
+
+
+def history_step(
+    state: DataFrame | None,
+    month: DataFrame,
+    columns: Sequence[str],
+    *,
+    window: int = 6,
+    lags: int | Sequence[int] = 2,
+    statistics: Sequence[str] = STATISTICS,
+    key: str = "id",
+    period: str = "period",
+) -> tuple[DataFrame, DataFrame]:
+    """Features of one new month, and the state for the next.
+
+    ``state`` is what ``history_state`` or the step before returned (None at first); ``month`` has the rows of one later month. A month
+    costs one month and the state, not the history; month by month the features are those of ``historical_features`` over all months.
+    """
+    options = {"window": window, "lags": lags, "statistics": statistics, "key": key, "period": period}
+    rows = month.withColumn("_new", F.lit(True))
+    held = month.select(key, period, *columns)
+    if state is not None:
+        # Entities that are not in the month stay in the state only.
+        earlier = state.join(month.select(key), key, "left_semi").select(key, period, *columns)
+        rows = rows.unionByName(earlier.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+        held = state.select(key, period, *columns).unionByName(held)
+    features = historical_features(rows, columns, **options)
+    return features.where("_new").drop("_new"), history_state(held, columns, **options)

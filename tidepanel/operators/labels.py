@@ -92,3 +92,15 @@ def join_labels(
     """Panel LEFT JOIN labels on (period, id); the label becomes the last column."""
     found = labels.select(period, key, label)
     return df.join(found, [period, key], "left").select(*df.columns, label)
+
+
+def label_step(open_rows: DataFrame | None, month: DataFrame, *, key: str = "id", period: str = "period") -> tuple[DataFrame, DataFrame]:
+    """Labels that one new month settles, and the rows that are still open: each (id, period, label).
+
+    ``open_rows`` is what the step before returned (None at first), at most the rows of two months; ``month`` has the rows of one later
+    month. Labels of all steps together with the last open rows are those of ``churn_label_gap`` over the whole table.
+    """
+    fresh = month.select(key, period)
+    rows = fresh if open_rows is None else open_rows.select(key, period).unionByName(fresh)
+    labels = churn_label_gap(rows, key=key, period=period).select(key, period, "label")
+    return labels.where(F.col("label").isNotNull()), labels.where(F.col("label").isNull())

@@ -9,19 +9,24 @@ from __future__ import annotations
 import json
 import math
 import random
+import re
 import warnings
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidepanel.constants import PLATEAU_HALF_WIDTH
 from tidepanel.functions.names import numeric_columns
 from tidepanel.operators.combine import insert_if_absent
 from tidepanel.operators.curves import mean_of_columns, plateau_gain, ranked_profit
@@ -297,15 +302,113 @@ def best_round(losses: Sequence[float], patience: int) -> int:
     return best + 1
 
 
-def fit_with_patience(train: DataFrame, holdout: DataFrame, params: Mapping[str, object], rounds: int, seed: int, patience: int):
-    """A model with the number of rounds that is best on the holdout.
+def _leaf_values(model: GBTClassificationModel) -> list[np.ndarray]:
+    """What each leaf of each tree adds to the margin; leaves are numbered from left to right, the order in which trees are printed."""
+    return [
+        weight * np.array([float(v) for v in re.findall(r"Predict: (\S+)", tree.toDebugString)])
+        for tree, weight in zip(model.trees, model.treeWeights)
+    ]
+
+
+def _with_leaves(df: DataFrame, model: GBTClassificationModel, name: str) -> DataFrame:
+    """``df`` with the leaf of each tree that a row falls into."""
+    named = model.copy().setFeaturesCol(VECTOR).setPredictionCol("").setRawPredictionCol("").setProbabilityCol("").setLeafCol(f"{name}_v")
+    return named.transform(df).withColumn(name, vector_to_array(f"{name}_v").cast("array<int>")).drop(f"{name}_v")
+
+
+def _margins(leaves: pa.ListArray, values: Sequence[np.ndarray], last: int) -> np.ndarray:
+    """Running margin (rows x rounds) after each of the first ``last`` rounds."""
+    at = leaves.flatten().to_numpy().reshape(len(leaves), -1)
+    added = np.empty((len(leaves), last))
+    for i in range(last):
+        added[:, i] = values[i][at[:, i]]
+    return np.cumsum(added, axis=1)
+
+
+def staged_scores(df: DataFrame, model: GBTClassificationModel, keep: Sequence[str], rounds: range | None = None) -> DataFrame:
+    """(keep.., round, score): every row's margin after each of the rounds (from 1; default all), in one pass over the trees.
+
+    ``df`` has the feature vector. The margin orders rows as the probability does.
+    """
+    rounds = rounds or range(1, model.getNumTrees + 1)
+    values, first, last = _leaf_values(model), rounds[0], rounds[-1]
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                margins = _margins(part.column("_leaf"), values, last)[:, first - 1 :]
+                rows = np.repeat(np.arange(part.num_rows), margins.shape[1])
+                columns = [part.column(c).take(pa.array(rows)) for c in keep]
+                numbers = np.tile(np.arange(first, last + 1), part.num_rows)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers), pa.array(margins.ravel())], [*keep, "round", "score"])
+
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("round", T.LongType()), T.StructField("score", T.DoubleType())])
+    return _with_leaves(df, model, "_leaf").select(*keep, "_leaf").mapInArrow(stage, schema)
+
+
+def round_profits(
+    holdout: DataFrame,
+    model: GBTClassificationModel,
+    *,
+    half_width: int = PLATEAU_HALF_WIDTH,
+    rounds: range | None = None,
+    keys: Sequence[str] = ("id", "period"),
+    label: str = "label",
+) -> DataFrame:
+    """(round, plateau_gain, peak, gain_max) of the model cut after each of its rounds.
+
+    ``holdout`` has keys, label and feature vector. All rounds are ranked by one job: the round is the ranking's group.
+    """
+    staged = staged_scores(holdout, model, [*keys, label], rounds)
+    return plateau_gain(ranked_profit(staged, label=label, group=["round"], tie=keys), half_width)
+
+
+def fit_with_patience(
+    train: DataFrame,
+    holdout: DataFrame,
+    params: Mapping[str, object],
+    rounds: int,
+    seed: int,
+    patience: int,
+    *,
+    half_width: int = PLATEAU_HALF_WIDTH,
+) -> tuple[GBTClassificationModel, int]:
+    """A model, and the number of its rounds with the highest profit on the holdout.
 
-    All rounds are fitted once and the loss after each is read from the holdout; the first trees of a shorter fit with the same seed are
-    the same trees.
+    The search for that number ends after ``patience`` rounds without a higher profit. A fit starts with twice the patience and is
+    doubled until that is so or all rounds are there; its first trees are those of a shorter fit with the same seed, so profits are read
+    for new rounds only, and the work is at most about twice that of the rounds needed.
     """
-    model = classifier(params, rounds, seed).fit(train)
-    best = best_round(model.evaluateEachIteration(holdout), patience)
-    return model if best == rounds else classifier(params, best, seed).fit(train)
+    profits: list[int] = []
+    n = min(rounds, max(2 * patience, 1))
+    while True:
+        model = classifier(params, n, seed).fit(train)
+        found = round_profits(holdout, model, half_width=half_width, rounds=range(len(profits) + 1, n + 1))
+        profits += [r["gain_max"] for r in found.orderBy("round").collect()]  # a row for each round
+        best = best_round([-p for p in profits], patience)
+        if n == rounds or len(profits) - best >= patience:
+            return model, best
+        n = min(rounds, 2 * n)
+
+
+def score_at_rounds(df: DataFrame, models: Sequence[tuple[GBTClassificationModel, int]], keep: Sequence[str]) -> DataFrame:
+    """(keep.., score): mean probability of models that are each cut after their number of rounds; one pass over the rows."""
+    held = [(_leaf_values(model), last) for model, last in models]
+    out = df
+    for i, (model, _) in enumerate(models):
+        out = _with_leaves(out, model, f"_leaf{i}")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                margins = [_margins(part.column(f"_leaf{i}"), values, last)[:, -1] for i, (values, last) in enumerate(held)]
+                mean = np.mean([1 / (1 + np.exp(-2 * m)) for m in margins], axis=0)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(mean)], [*keep, "score"])
+
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("score", T.DoubleType())])
+    return out.select(*keep, *[f"_leaf{i}" for i in range(len(models))]).mapInArrow(score, schema)
 
 
 def hyperparameter_trials(
@@ -319,13 +422,13 @@ def hyperparameter_trials(
     patience: int = 200,
     parallelism: int = 1,
     seed: int = 0,
-    half_width: int = 500,
+    half_width: int = PLATEAU_HALF_WIDTH,
     path: str | None = None,
     space: Mapping[str, tuple] = SEARCH_SPACE,
 ) -> DataFrame:
     """Random search: per trial a seed ensemble on the holdout, scored by the plateau gain.
 
-    Each fit keeps the rounds up to the lowest validation loss, see ``fit_with_patience``.
+    Each fit counts up to its most profitable round on the holdout, see ``fit_with_patience``.
     With ``path``, finished trials are appended there and a later call only runs those that are missing.
     """
     spark = train.sparkSession
@@ -343,19 +446,15 @@ def hyperparameter_trials(
     ]
     frame = materialise(reduce(DataFrame.unionByName, parts).sortWithinPartitions("id", "period"))
     fitted, held_out = frame.where(~F.col("is_validation")), frame.where("is_validation")
-    judged = held_out.where(F.col("y").isNotNull())
 
     rows = []
     for number in missing:
         params = sample_params(number, seed, space)
-        models = _each(lambda s: fit_with_patience(fitted, judged, params, rounds, s, patience), seeds, parallelism)
-        scored, columns = held_out, [f"_s{i}" for i in range(len(models))]
-        for model, column in zip(models, columns):
-            scored = _add_score(scored, model, VECTOR, column)
+        models = _each(lambda s: fit_with_patience(fitted, held_out, params, rounds, s, patience, half_width=half_width), seeds, parallelism)
         # Written once: the curve reads it several times and would otherwise score again each time.
-        ensemble = materialise(scored.select("id", "period", "label", mean_of_columns(columns).alias("score")))
+        ensemble = materialise(score_at_rounds(held_out, models, ["id", "period", "label"]))
         result = plateau_gain(ranked_profit(ensemble, group=()), half_width).first()
-        best_iter = sum(m.getNumTrees for m in models) / len(models)
+        best_iter = sum(n for _, n in models) / len(models)
         row = (
             number,
             float(result["plateau_gain"]) if result else None,

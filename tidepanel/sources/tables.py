@@ -26,17 +26,38 @@ def write_period_table(
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(period).parquet(path)
 
 
+def write_entity_table(df: DataFrame, name: str, path: str, *, buckets: int, key: str = "id", period: str = "period") -> DataFrame:
+    """Replace a table bucketed by entity and sorted by month, and read it.
+
+    One exchange at writing: windows over the entity's rows then need none, and joins on (entity, month) need none where the session sets
+    ``spark.sql.requireAllClusterKeysForCoPartition`` to false. ``buckets`` fixes how many tasks such a window has, so
+    choose it for the table's final size. The table is known to the session's catalog by ``name``, its files lie under ``path``.
+    """
+    dealt = df.repartition(buckets, F.col(key))
+    writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key, period)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_periods(
     spark: SparkSession,
     path: str,
-    periods: Sequence[int] | None = None,
+    periods: Sequence[int] | DataFrame | None = None,
     *,
     columns: Sequence[str] | None = None,
     period: str = "period",
 ) -> DataFrame:
-    """Listed months (and columns) of a month-partitioned table; the other month folders are not opened."""
+    """Listed months (and columns) of a month-partitioned table; the other month folders are not opened.
+
+    The months may come from a table with a month column (a calendar, scenarios): they are then found at run time, and pruned all the same.
+    """
     table = spark.read.parquet(path)
-    if periods is not None:
+    if isinstance(periods, DataFrame):
+        # The months of a table are few: one row a month. Spark prunes by a joined table only if that is filtered.
+        kind = table.schema[period].dataType
+        months = periods.select(F.col(period).cast(kind).alias(period)).where(F.col(period) > 0).distinct()
+        table = table.join(F.broadcast(months), period, "left_semi")
+    elif periods is not None:
         table = table.where(F.col(period).isin(*[int(p) for p in periods]))
     table = table.withColumn(period, F.col(period).cast("bigint"))
     return table.select(*columns) if columns else table
