@@ -270,7 +270,7 @@ def entity_table_label_join(spark, d):
     return labels.join_labels(panel, labels.churn_label_gap(panel))
 
 
-_LATE = "period >= 199805"
+_LATE = "period >= 200105"
 
 
 @query(SQL["historical_features"].replace(f"SELECT {_ALL},", f"SELECT * FROM (SELECT {_ALL},", 1) + f") WHERE {_LATE}")

@@ -1,11 +1,14 @@
 """Ranks, curves and cuts: few large buckets, many small ones and a plain window must agree."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidepanel.operators import curves
 from tidepanel.operators.ranking import rank
+from tidepanel.sources.scratch import fresh_path
 
 
 def make(spark, rows):
@@ -239,3 +242,70 @@ def test_one_shared_score_with_text_ids_is_split(spark, score):
     assert largest <= 200
     found = curves.cumulative_gain(ranking).orderBy("rk").collect()
     assert [r["id"] for r in found] == sorted(f"id{i}" for i in range(1_000)) and found[-1]["rk"] == 1_000
+
+
+def stored_scores(spark, skewed):
+    path = fresh_path(spark, "scores")
+    skewed.repartition(6).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("group", [("model",), ()])
+def test_top_k_is_limited_before_its_exchange_and_writes_nothing(spark, skewed, monkeypatch, group):
+    scores = stored_scores(spark, skewed)
+    monkeypatch.setattr("tidepanel.operators.ranking.fresh_path", lambda *a: pytest.fail("scores are written"))
+    ranking = curves.ranked_profit(scores, group=group, tie=("id", "period"))
+    cut = final_plan(ranking.first(2500))
+    # Limits stand on both sides of the first exchange, and of the second one where there are groups; without, Spark takes the first of all parts.
+    assert cut.count("WindowGroupLimit") == (4 if group else 2) and len(re.findall(r"\bExchange ", cut)) == (2 if group else 1)
+    flagged = curves.topk_flag(ranking, 2500)
+    assert flagged.count() == 20_000
+    k = curves.cutoff_score(ranking, 2500).collect()
+    assert {r["k"] for r in k} == ({300, 2500} if group else {2500})
+
+
+def test_curves_exchange_the_rows_once(spark, skewed, monkeypatch):
+    """The plan that deals the rows has one exchange; the one that ranks them has none but a broadcast of the buckets."""
+    scores, plans = stored_scores(spark, skewed), []
+    real = spark.range(1).write.__class__.parquet
+    monkeypatch.setattr(spark.range(1).write.__class__, "parquet", lambda self, path, **k: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or real(self, path, **k))
+    ranking = curves.ranked_profit(scores)
+    curve = curves.cumulative_gain(ranking)
+    dealt = [p for p in plans if "MapInArrow" in p]
+    assert len(dealt) == 1 and len(re.findall(r"\bExchange ", dealt[0])) == 1 and "Window" not in dealt[0]
+    ranked = final_plan(curve)
+    assert "Window" not in ranked and not re.findall(r"\bExchange ", ranked) and "BroadcastExchange" in ranked
+
+
+@pytest.mark.parametrize("rows_per_bucket", [None, 70])
+def test_peaks_read_no_rows(spark, skewed, rows_per_bucket):
+    """The largest prefix sum comes from the buckets' sums alone."""
+    ranking = curves.ranked_profit(stored_scores(spark, skewed), rows_per_bucket=rows_per_bucket)
+    best = plain(skewed).groupBy("model").agg(F.max(F.struct(F.col("cum"), -F.col("rk"))).alias("t"))
+    expected = {(r["model"], -r["t"][1], r["t"][0]) for r in best.collect()}
+    peaks = curves.max_gain(ranking)
+    assert {tuple(r) for r in peaks.collect()} == expected
+    assert "FileScan" not in final_plan(peaks)
+
+
+@pytest.mark.parametrize("batch", ["1", "3", "10000"])
+def test_groups_and_batches_meet_anywhere(spark, batch):
+    """Groups of one to four rows, NULL and NaN groups, over Arrow batches of any size."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        n = F.col("n")
+        group = F.when(n % 11 == 0, None).when(n % 13 == 0, float("nan")).otherwise(F.floor(n / 3) / 4)
+        label = F.when(n % 5 == 0, "BAJA+2").otherwise("x")
+        rows = spark.range(200).withColumnRenamed("id", "n").select(
+            group.alias("model"), n.alias("id"), F.lit(1).alias("period"), label.alias("label"), (n * 7 % 10).alias("score")
+        )
+        found = curves.cumulative_gain(curves.ranked_profit(rows, rows_per_bucket=40)).select("id", "rk", "cum")
+        assert sorted(found.collect()) == sorted(plain(rows).select("id", "rk", "cum").collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
