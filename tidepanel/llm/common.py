@@ -31,13 +31,23 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: later steps restart from files."""
+def stored(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later steps restart from files. The path is noted in ``made``."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, made: list[str]) -> None:
+    """Delete intermediate files that nothing reads any more."""
+    for path in made:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    made.clear()
+
+
 def n_bytes(text: str = "text") -> Column:
     """Length of a text in UTF-8 bytes, 0 for null."""
     return F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("bigint")

@@ -99,17 +99,18 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
     return joined.select("host", "path", "host_posterior", shrunk.alias("path_posterior")), mean
 
 
-def assess(docs: DataFrame, labels: DataFrame, model: QualityModel, *, host: Column, path: Column, site_weight: float = SITE_WEIGHT) -> DataFrame:
+def assess(docs: DataFrame, labels: DataFrame, model: QualityModel, *, host: Column, path: Column, site_weight: float = SITE_WEIGHT, store: bool = True) -> DataFrame:
     """``docs`` with p_doc, host_posterior, path_posterior, quality (combined probability) and keep.
 
     A null host or path is the empty one. Labels count as evidence for the site only, not for their own document. Null and
-    empty texts are judged by their statistics, repeated rows alike; an empty table gives no rows. Columns of these names are replaced.
+    empty texts are judged by their statistics, repeated rows alike, texts of any length whole; an empty table gives no rows. Columns of
+    these names are replaced. The texts with their evidence are written once, or, without ``store``, judged twice instead.
     """
     sites = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for c, n in ((host, "_host"), (path, "_path"))]
     inner = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)]  # any names are fine
     at = docs.select(*sites, "*").toDF("host", "path", *inner)
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("_label"))
-    scored = stored(model.evidence(at), "evidence")
+    scored = stored(model.evidence(at), "evidence") if store else model.evidence(at)
     good = scored.select("doc_id", "host", "path", "p_doc").join(known, "doc_id", "left")
     posteriors, mean = site_posteriors(good.select("host", "path", F.coalesce("_label", "p_doc").alias("good")))
     out = scored.join(posteriors, ["host", "path"])
