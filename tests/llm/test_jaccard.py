@@ -76,11 +76,11 @@ def test_near_copies_many_bits_apart_are_one(spark):
 
 
 def test_stage_of_the_pipeline(spark):
-    import corpus_pipeline
+    from tidepanel.llm import pipeline
 
     d = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, d).select("doc_id").collect()}
+    kept = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, d).select("doc_id").collect()}
     # The later ones of the pairs found by comparing all.
     assert kept.isdisjoint({56, 255, 770, 875, 944}) and len(kept) == 922
 
