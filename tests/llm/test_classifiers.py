@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -144,3 +145,73 @@ def test_a_site_moves_its_documents(spark):
     low = {r.quality for r in found if r.host == "bad"}
     high = {r.quality for r in found if r.host == "good"}
     assert max(low) < 0.5 < min(high)
+
+
+def sigmoid(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def log_odds(p):
+    p = min(max(p, 1e-6), 1 - 1e-6)
+    return math.log(p / (1 - p))
+
+
+def plain_chain(chain, text):
+    """Probabilities of every link, word by word."""
+    words = set(re.findall(r"[^\W_]+", text.lower()))
+    held = words | {w[:4] + "*" for w in words}
+    at, earlier, out = {w: i for i, w in enumerate(chain.words.vocabulary)}, [], []
+    for model in chain.models:
+        weights = model.coefficients.toArray()
+        x = model.intercept + sum(weights[at[w]] for w in held if w in at) + sum(a * b for a, b in zip(weights[len(at) :], earlier))
+        out.append(sigmoid(x))
+        earlier.append(log_odds(out[-1]))
+    return out
+
+
+def test_chain_scores_word_by_word(spark, toxic_corpus, chain):
+    docs, _ = toxic_corpus
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = toxicity.score(docs, chain).collect()
+    for r in found:
+        assert [r.p_insult, r.p_threat] == pytest.approx(plain_chain(chain, texts[r.doc_id]), abs=1e-9)
+        assert (r.is_insult, r.is_threat) == (r.p_insult >= 0.5, r.p_threat >= 0.5)
+
+
+def test_vocabulary_is_that_of_highest_chi_square(spark, toxic_corpus, chain):
+    docs, labels = toxic_corpus
+    known = {r.doc_id: (r.insult, r.threat) for r in labels.where("doc_id < 400").collect()}
+    rows = [(set(re.findall(r"[^\W_]+", r.text.lower())), known[r.doc_id]) for r in docs.where("doc_id < 400").collect()]
+    rows = [(w | {x[:4] + "*" for x in w}, y) for w, y in rows]
+    tokens = {t for w, _ in rows for t in w}
+    tokens = {t for t in tokens if sum(t in w for w, _ in rows) >= toxicity.LEAST_DOCUMENTS}
+    wanted = set()
+    for c in (0, 1):
+        total, ones = len(rows), sum(y[c] for _, y in rows)
+        scored = []
+        for t in tokens:
+            n, both = sum(t in w for w, _ in rows), sum(y[c] for w, y in rows if t in w)
+            gap = both * (total - ones) - (n - both) * ones
+            scored.append((-total * gap * gap / max(n * (total - n) * ones * (total - ones), 1), t))
+        wanted |= {t for x, t in sorted(scored)[: toxicity.TOKENS_PER_CATEGORY] if x < 0}
+    assert set(chain.words.vocabulary) == wanted
+
+
+def test_combined_quality_as_by_hand(spark):
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = quality.fit(docs, labels)
+    p = {r.doc_id: r.p_doc for r in model.evidence(docs, "p_doc").select("doc_id", "p_doc").collect()}
+    rows = docs.collect()
+    label = {r.doc_id: float(r.quality) for r in labels.collect()}
+    sites = {r.doc_id: (r.source or "", "/".join(x for x in (r.source, r.lang) if x is not None)) for r in rows}
+    good = [(*sites[r.doc_id], label.get(r.doc_id, p[r.doc_id])) for r in rows]
+    posterior, mean = brute_sites(good), sum(g for *_, g in good) / len(good)
+    for store in (True, False):
+        found = assess(docs, labels, model, host=F.col("source"), path=F.concat_ws("/", "source", "lang"), store=store).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            host, path = posterior[sites[r.doc_id]]
+            wanted = sigmoid(log_odds(p[r.doc_id]) + quality.SITE_WEIGHT * (log_odds(path) - log_odds(mean)))
+            assert (r.host_posterior, r.path_posterior, r.quality) == pytest.approx((host, path, wanted), abs=1e-9)
+            assert r.keep == (r.quality >= quality.KEEP_FROM)
