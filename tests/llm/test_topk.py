@@ -59,3 +59,19 @@ def test_other_k_and_few_rows(spark):
 def test_components_are_floored(spark):
     rows = [(0, [1.0]), (1, [-0.001]), (2, [0.0039]), (3, [0.0079])]
     assert search(spark, rows) == [(0, 1, 3, 512), (0, 2, 2, 0), (0, 3, 1, -256)]
+
+
+def test_components_too_large_are_an_error(spark):
+    with pytest.raises(Exception, match="too large"):
+        search(spark, [(0, [1e30]), (1, [2.0])])
+    assert search(spark, [(0, [2.0**20]), (1, [-(2.0**20)])]) == [(0, 1, 1, -(2**56))]
+
+
+def test_empty_table_and_clashing_columns(spark, tmp_path):
+    schema = "vec_id bigint, embedding array<float>, v int, dim string, own int, block int, score int, query_id int"
+    rows = [(50 * i, [float(i), 1.0], 1, "x", 2, 3, 4, 5) for i in range(4)]
+    for name, some in (("full", rows), ("empty", [])):
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{name}/embeddings.parquet")
+    found = sorted(tuple(r) for r in topk.op8_exact_topk(spark, f"{tmp_path}/full").collect())
+    assert found == brute([(i, v) for i, v, *_ in rows])
+    assert topk.op8_exact_topk(spark, f"{tmp_path}/empty").collect() == []

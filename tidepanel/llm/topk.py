@@ -28,11 +28,18 @@ SCALE = 256
 
 
 def integer_vectors(df: DataFrame) -> DataFrame:
-    """(vec_id, v): floor(256 x) of every component; vectors that are null or hold null or non-finite ones go."""
+    """(vec_id, v): floor(256 x) of every component; vectors that are null or hold null or non-finite ones go.
+
+    Components so large that a score might not fit a long are an error.
+    """
     x = F.col("embedding").cast("array<double>")
     finite = F.forall(x, lambda c: F.coalesce((F.abs(c) < float("inf")), F.lit(False)) & ~F.isnan(c))
     rows = df.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
-    return rows.select("vec_id", F.transform(x, lambda c: F.floor(c * SCALE)).alias("v")).distinct()
+    largest = F.coalesce(F.array_max(F.transform(x, lambda c: F.abs(c * SCALE) + 1)), F.lit(0.0))
+    fits = F.size(x) * largest * largest < 2.0**62
+    refused = F.raise_error(F.concat(F.lit("components too large for exact scores: vec_id "), F.col("vec_id").cast("string")))
+    v = F.when(fits, F.transform(x, lambda c: F.floor(c * SCALE))).otherwise(refused.cast("array<bigint>"))
+    return rows.select("vec_id", v.alias("v")).distinct()
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
