@@ -10,7 +10,7 @@ equal anchors at the same place, so
    one, as within exact copies, or one of several different ones. The bytes of these, one holder each, are dealt out by anchor hash.
    A shard sorts the suffixes of its contexts by Larsson-Sadakane refinement, Kasai's method gives the common prefixes of neighbours, and suffixes
    with ``LENGTH`` common bytes form a class, whose first member stays;
-3. an anchor that very many slices have is spread: each of its strings is dealt out by its own digest.
+3. an anchor with more different contexts than a shard should hold is spread: each of its strings is dealt out by its own digest.
 
 Suffix arrays over everything would compare every shard with every other; dealt by anchor, equal strings meet in one shard.
 Documents are shuffled once, by slice; the steps that read their bytes share that exchange.
@@ -19,6 +19,7 @@ Documents are shuffled once, by slice; the steps that read their bytes share tha
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from tidepanel.llm.common import n_bytes, query, table
 
 LENGTH = 100
 GRAM = 50  # long enough that texts do not share one by chance, which would grow faster than the input
-SPREAD_FROM = 500  # slices with an anchor, from which on its strings are dealt out one by one
+SPREAD_FROM = 2**17  # different contexts of an anchor that one shard holds, about 20 MB; beyond that its strings are dealt out one by one
 SLICE_BYTES = 2**20
 SHARD_BYTES = 2**20
 BYTES_PER_BUCKET = 32 * 2**20  # of text for each bucket of anchor hashes, about a million of them
@@ -211,49 +212,35 @@ def _reports(buckets: int):
     return report
 
 
-REPLIES = "slice bigint, usual binary, common binary"
+REPLIES = "slice bigint, usual binary"
 
 
-def _replies(spread_from: int):
-    def reply(reports: pa.Table) -> pa.Table:
-        """For each slice, which of its hashes are repeated anywhere, and which of those are in very many slices."""
-        slices = reports.column("slice").to_pylist()
-        own = [_unpacked(x) for x in reports.column("hashes").to_pylist()]
-        several = np.concatenate([np.frombuffer(x, bool) for x in reports.column("several").to_pylist()])
-        h, place, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-        twice = times > 1
-        twice[place[several]] = True
-        ends = np.cumsum([len(x) for x in own])
-        found = [place[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
-        usual = [_packed(h[f[twice[f] & (times[f] <= spread_from)]]) for f in found]
-        common = [_packed(h[f[twice[f] & (times[f] > spread_from)]]) for f in found]
-        return pa.Table.from_arrays(
-            [pa.array(slices, pa.int64()), pa.array(usual, pa.binary()), pa.array(common, pa.binary())], names=["slice", "usual", "common"]
-        )
+def _replies(reports: pa.Table) -> pa.Table:
+    """For each slice, which of its hashes are repeated anywhere."""
+    slices = reports.column("slice").to_pylist()
+    own = [_unpacked(x) for x in reports.column("hashes").to_pylist()]
+    several = np.concatenate([np.frombuffer(x, bool) for x in reports.column("several").to_pylist()])
+    h, place, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    twice = times > 1
+    twice[place[several]] = True
+    ends = np.cumsum([len(x) for x in own])
+    found = [place[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
+    usual = [_packed(h[f[twice[f]]]) for f in found]
+    return pa.Table.from_arrays([pa.array(slices, pa.int64()), pa.array(usual, pa.binary())], names=["slice", "usual"])
 
-    return reply
 
-
-def _repeated(docs: pa.Table, replies: pa.Table) -> Iterator[tuple[bool, int, tuple[int, int], int, int, bytes]]:
-    """A slice's repeated anchors in document order: spread or not, key, owner, byte range, context.
-
-    The key of a spread anchor's string is its digest, else that of an anchor is its hash.
-    """
+def _repeated(docs: pa.Table, replies: pa.Table) -> Iterator[tuple[int, tuple[int, int], int, int, bytes]]:
+    """A slice's repeated anchors in document order: hash, owner, byte range, context."""
     ids, texts = _documents(docs)
-    usual, common = (_unpacked(b"".join(x or b"" for x in replies.column(c).to_pylist())) for c in ("usual", "common"))
+    usual = _unpacked(b"".join(x or b"" for x in replies.column("usual").to_pylist()))
     doc, at, low, high, h = anchors(texts)
     edges = np.searchsorted(doc, np.arange(len(texts) + 1))
-    repeated, spread = np.isin(h, np.concatenate([usual, common])), np.isin(h, common)
+    repeated = np.isin(h, usual)
     for d in sorted(range(len(texts)), key=ids.__getitem__):
         mine = np.arange(edges[d], edges[d + 1])
         for i in mine[repeated[mine]].tolist():
             a, b = int(low[i]), int(high[i]) + LENGTH
-            if not spread[i]:
-                yield False, int(h[i]), ids[d], a, b, texts[d][a:b]
-                continue
-            for p in range(a, b - LENGTH + 1):
-                digest = hashlib.blake2b(texts[d][p : p + LENGTH], digest_size=16).digest()
-                yield True, int.from_bytes(digest[:8], "big", signed=True), ids[d], p, p + LENGTH, digest
+            yield int(h[i]), ids[d], a, b, texts[d][a:b]
 
 
 CLAIMS = "bucket bigint, slice bigint, claims binary"
@@ -264,8 +251,8 @@ def _claims(buckets: int):
     def claim(docs: pa.Table, replies: pa.Table) -> pa.Table:
         """By bucket of anchor hashes: the first holder in the slice of every context, known by its digest."""
         first, rows = set(), {}
-        for spread, h, owner, a, _, context in _repeated(docs, replies):
-            if not spread and (h, context) not in first:
+        for h, owner, a, _, context in _repeated(docs, replies):
+            if (h, context) not in first:
                 first.add((h, context))
                 digest = hashlib.blake2b(context, digest_size=8).digest()
                 rows.setdefault(h % buckets, []).append((h, int.from_bytes(digest, "big", signed=True), *owner, a))
@@ -277,27 +264,33 @@ def _claims(buckets: int):
     return claim
 
 
-ANSWERS = "slice bigint, usual binary, common binary, bucket bigint, answers binary"
-_ALONE, _COPY, _SEVERAL = 0, 1, 2
+ANSWERS = "slice bigint, usual binary, bucket bigint, answers binary"
+_ALONE, _COPY, _SEVERAL, _SPREAD = 0, 1, 2, 3
+
 
+def _answering(spread_from: int):
+    def answer(claims: pa.Table) -> pa.Table:
+        """For each claim: a copy of an earlier context, the first of one of several (or very many) contexts of its anchor, or of the only one."""
+        parts = [np.frombuffer(x, _CLAIM) for x in claims.column("claims").to_pylist()]
+        every = np.concatenate(parts)
+        order = np.lexsort([every[c] for c in ("a", "tie", "doc", "context", "h")])
+        h, context = every["h"][order], every["context"][order]
+        new_h = np.r_[True, h[1:] != h[:-1]]
+        new = new_h | np.r_[True, context[1:] != context[:-1]]
+        group = np.cumsum(new_h) - 1
+        contexts = np.bincount(group, weights=new)[group]
+        found = np.empty(len(every), np.uint8)
+        several = np.where(contexts > max(spread_from, 1), _SPREAD, np.where(contexts > 1, _SEVERAL, _ALONE))
+        found[order] = np.where(~new, _COPY, several)
+        ends = np.cumsum([len(x) for x in parts])
+        packed = [found[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
+        columns = [claims.column("slice"), pa.nulls(len(packed), pa.binary()), claims.column("bucket"), pa.array(packed, pa.binary())]
+        return pa.Table.from_arrays(columns, names=["slice", "usual", "bucket", "answers"])
 
-def _answers(claims: pa.Table) -> pa.Table:
-    """For each claim: a copy of an earlier context, the first of one of several contexts of its anchor, or of the only one."""
-    parts = [np.frombuffer(x, _CLAIM) for x in claims.column("claims").to_pylist()]
-    every = np.concatenate(parts)
-    order = np.lexsort([every[c] for c in ("a", "tie", "doc", "context", "h")])
-    h, context = every["h"][order], every["context"][order]
-    new_h = np.r_[True, h[1:] != h[:-1]]
-    new = new_h | np.r_[True, context[1:] != context[:-1]]
-    group = np.cumsum(new_h) - 1
-    contexts = np.bincount(group, weights=new)[group]
-    answer = np.empty(len(every), np.uint8)
-    answer[order] = np.where(~new, _COPY, np.where(contexts > 1, _SEVERAL, _ALONE))
-    ends = np.cumsum([len(x) for x in parts])
-    packed = [answer[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
-    none = pa.nulls(len(packed), pa.binary())
-    columns = [claims.column("slice"), none, none, claims.column("bucket"), pa.array(packed, pa.binary())]
-    return pa.Table.from_arrays(columns, names=["slice", "usual", "common", "bucket", "answers"])
+    return answer
+
+
+_answers = _answering(SPREAD_FROM)
 
 
 CONTEXTS = "h bigint, doc bigint, tie bigint, a bigint, b bigint, context binary"
@@ -310,21 +303,32 @@ def _contexts(buckets: int):
         What equals something earlier is known to be a copy: such ranges go on under any key, joined where they touch.
         """
         told = {b: iter(x) for b, x in zip(*[answers.column(c).to_pylist() for c in ("bucket", "answers")]) if x is not None}
-        first, rows, copies = {}, [], []
-        for spread, h, owner, a, b, context in _repeated(docs, answers):
+        first, strings, rows, copies = {}, {}, [], []
+
+        def copy(owner: tuple[int, int], a: int, b: int) -> None:
+            if copies and copies[-1][:2] == owner and a <= copies[-1][3]:
+                copies[-1] = (*owner, copies[-1][2], max(b, copies[-1][3]))
+            else:
+                copies.append((*owner, a, b))
+
+        for h, owner, a, b, context in _repeated(docs, answers):
             answer, holder = _COPY, first.get((h, context))
             if holder is None:
                 first[h, context] = (*owner, a)
-                answer = _SEVERAL if spread else next(told[h % buckets])
+                answer = next(told[h % buckets])
             elif holder == (*owner, a):
                 continue  # a repeated row
             if answer == _COPY:
-                if copies and copies[-1][:2] == owner and a <= copies[-1][3]:
-                    copies[-1] = (*owner, copies[-1][2], b)
-                else:
-                    copies.append((*owner, a, b))
+                copy(owner, a, b)
             elif answer == _SEVERAL:
                 rows.append((h, *owner, a, b, context))
+            elif answer == _SPREAD:
+                for p in range(a, b - LENGTH + 1):
+                    digest = hashlib.blake2b(context[p - a : p - a + LENGTH], digest_size=16).digest()
+                    if strings.setdefault(digest, (*owner, p)) == (*owner, p):
+                        rows.append((int.from_bytes(digest[:8], "big", signed=True), *owner, p, p + LENGTH, digest))
+                    else:
+                        copy(owner, p, p + LENGTH)
         rows += [(hash(c), *c, None) for c in copies]
         columns = list(zip(*rows)) or [()] * 6
         kinds = [*[pa.int64()] * 5, pa.binary()]
@@ -333,33 +337,30 @@ def _contexts(buckets: int):
     return send
 
 
-def _first_rows(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """Contexts (h, doc, tie, a, b, bytes) in order, each once; and the ranges of later equal ones."""
-    rows = sorted(set(rows), key=lambda r: r[1:4])
-    kept, copies, seen = [], [], set()
-    for r in rows:
-        if (r[0], r[5]) in seen:
-            copies.append((r[1], r[2], r[3], r[4]))
-        else:
-            seen.add((r[0], r[5]))
-            kept.append(r)
-    return kept, copies
-
-
 def _by_hash(batches: Iterator[pa.RecordBatch], copies: list[tuple]) -> Iterator[list[tuple]]:
-    """Rows sorted by h in pieces of whole hashes of about SHARD_BYTES of context; known copies are put aside."""
+    """Rows (h, doc, tie, a, b, bytes) in pieces of whole hashes of about SHARD_BYTES of context, the first holder of each context only.
+
+    Rows come sorted by all but b. Ranges of known copies and of later holders are put aside, so that a context of any number of
+    documents is held once.
+    """
     held: list[tuple] = []
-    size = 0
+    size, last = 0, None
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns]):
             if row[5] is None:
                 copies.append(row[1:5])
-                continue
-            if size >= SHARD_BYTES and row[0] != held[-1][0]:
-                yield held
-                held, size = [], 0
-            held.append(row)
-            size += len(row[5])
+            elif last is not None and (row[0], row[5]) == (last[0], last[5]):
+                if row[1:4] != last[1:4]:
+                    copies.append(row[1:5])
+            else:
+                if size >= SHARD_BYTES and row[0] != held[-1][0]:
+                    yield held
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[5])
+                last = row
+        if len(copies) > 100_000:
+            yield []
     if held:
         yield held
 
@@ -373,13 +374,10 @@ def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Byte ranges (doc, tie, a, b) of strings that occur earlier."""
     copies: list[tuple] = []
     for rows in _by_hash(batches, copies):
-        kept, found = _first_rows(rows)
-        found += copies
+        found = list(copies)
         copies.clear()
-        several: dict[int, int] = {}
-        for r in kept:
-            several[r[0]] = several.get(r[0], 0) + 1
-        kept = [r for r in kept if several[r[0]] > 1 and len(r[5]) >= LENGTH]
+        several = Counter(r[0] for r in rows)
+        kept = sorted((r for r in rows if several[r[0]] > 1 and len(r[5]) >= LENGTH), key=lambda r: r[1:4])
         if kept:
             which, starts, first = later_copies([r[5] for r in kept])
             edges = np.searchsorted(which, np.arange(len(kept) + 1))
@@ -433,12 +431,13 @@ def remove_repeats(docs: DataFrame, spread_from: int = SPREAD_FROM, *, keep: boo
     rows = rows.select(of, "doc", "tie", "text")
     by_slice = rows.groupBy("slice")
     reports = by_slice.applyInArrow(_reports(buckets), REPORTS)
-    replies = reports.groupBy("bucket").applyInArrow(_replies(spread_from), REPLIES)
+    replies = reports.groupBy("bucket").applyInArrow(_replies, REPLIES)
     claims = by_slice.cogroup(replies.groupBy("slice")).applyInArrow(_claims(buckets), CLAIMS)
-    answers = claims.groupBy("bucket").applyInArrow(_answers, ANSWERS)
+    answers = claims.groupBy("bucket").applyInArrow(_answering(spread_from), ANSWERS)
     answers = answers.unionByName(replies, allowMissingColumns=True)
     contexts = by_slice.cogroup(answers.groupBy("slice")).applyInArrow(_contexts(buckets), CONTEXTS)
-    ranges = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_search_shards, "doc bigint, tie bigint, a bigint, b bigint")
+    dealt = contexts.repartition("h").sortWithinPartitions("h", "context", "doc", "tie", "a")
+    ranges = dealt.mapInArrow(_search_shards, "doc bigint, tie bigint, a bigint, b bigint")
     found = by_slice.cogroup(ranges.select(of, "doc", "tie", "a", "b").groupBy("slice")).applyInArrow(_cut(keep), CUT)
     doc_id = F.when(F.col("doc") != none, F.col("doc")).alias("doc_id")
     return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
