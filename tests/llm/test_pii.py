@@ -1,10 +1,13 @@
+import datetime
 import re
+import time
 from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidepanel.llm import pii
 from tidepanel.llm.pii import KINDS, Feistel, Pseudonyms, luhn_digit, pseudonymise
 
 F1 = Feistel(b"one")
@@ -123,3 +126,72 @@ def test_values_beside_other_tokens(kind, value, before, after):
     """The same pseudonym as alone, and nothing else changed."""
     text, counts = Pseudonyms(b"one").apply(f"x {before}{value}{after} y")
     assert text == f"x {before}{KINDS[kind][1](F1, value)}{after} y" and counts == {kind: 1}
+
+
+@pytest.mark.parametrize(
+    ("text", "new"),
+    [("5/3/2021", r"[1-9]/[1-9]/\d{4}"), ("1.2.1990", r"[1-9]\.[1-9]\.\d{4}"), ("25/3/2020", r"(1[3-9]|2\d|3[01])/[1-9]/\d{4}"), ("9/25/2020", r"[1-9]/(1[3-9]|2\d|3[01])/\d{4}"), ("12.5.2001", r"\d\d\.[1-9]\.\d{4}"), ("03.5.2001", r"\d\d\.[1-9]\.\d{4}")],
+)
+def test_dates_keep_their_width(text, new):
+    found = KINDS["day"][1](F1, text)
+    assert re.fullmatch(new, found) and len(found) == len(text) and KINDS["day"][1](F1, found, back=True) == text
+    assert Pseudonyms(b"one").apply(f"on {text}, then")[0] == f"on {found}, then"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dates(min_value=datetime.date(1900, 1, 1), max_value=datetime.date(2099, 12, 31)), st.sampled_from(["{d}.{m}.{y}", "{m}/{d}/{y}", "{d}/{m}/{y}", "{d:02d}.{m}.{y}", "{m:02d}/{d}/{y}"]))
+def test_dates_of_any_width_come_back(d, form):
+    text = form.format(d=d.day, m=d.month, y=d.year)
+    new = KINDS["day"][1](F1, text)
+    assert KINDS["day"][1](F1, new, back=True) == text and [len(p) for p in re.split("[./]", new)] == [len(p) for p in re.split("[./]", text)]
+
+
+def test_long_secrets_keep_their_format():
+    for value in ("f3" * 500, "Zx9-" * 40 + "k", "a1B2" * 16 + "q"):
+        text = f"token={value}"
+        new = KINDS["secret"][1](F1, text)
+        assert KINDS["secret"][1](F1, new, back=True) == text and len(new) == len(text) and new != text
+        assert [c.isdigit() for c in new] == [c.isdigit() for c in text] or set(value) <= set("0123456789abcdef")
+        assert KINDS["secret"][1](F1, text[:-1] + "7") != new[:-1] + "7"
+
+
+RUNS = ["0123456789abcdef", "1", "1 ", "a.", "a@b-b-", "abcdefghij1", "a@", "+1", "11-", "1.", "password ", "DE89 3704 ", "x" * 99 + "1 "]
+
+
+@pytest.mark.parametrize("run", RUNS)
+def test_long_runs_take_linear_time(run):
+    text = run * (10**6 // len(run))
+    began = time.process_time()
+    Pseudonyms(b"one").apply(text)
+    assert time.process_time() - began < 5
+
+
+def plain_pseudonyms(text):
+    """Place by place and kind by kind, without the joined pattern and the hint."""
+    value = Pseudonyms(b"one").value
+    patterns = {k: re.compile(p) for k, (p, _) in KINDS.items()}
+    out, at, counts = [], 0, Counter()
+    while at < len(text):
+        for kind, pattern in patterns.items():
+            m = pattern.match(text, at)
+            ends = pii._ENDS.get(kind, lambda t: [t])(m[0]) if m else []
+            new = next((n for e in ends if (n := (e, value(kind, e)))[1] is not None), None)
+            if new:
+                out.append(new[1])
+                counts[kind] += 1
+                at += len(new[0])
+                break
+        else:
+            out.append(text[at])
+            at += 1
+    return "".join(out), counts
+
+
+def test_same_as_place_by_place(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r.text]
+    pseudonyms, total = Pseudonyms(b"one"), Counter()
+    for text in texts:
+        found = pseudonyms.apply(text)
+        assert found == plain_pseudonyms(text)
+        total += found[1]
+    assert len(total) >= 4

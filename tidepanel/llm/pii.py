@@ -80,10 +80,22 @@ def refill(template: str, symbols: str) -> str:
 
 _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _HEX = "0123456789abcdef"
+_PIECE = 64
 
 
 def permute_symbols(f: Feistel, text: str, purpose: str, classes: tuple[str, ...] = _CLASSES, back: bool = False) -> str:
-    """Permutes text among all texts whose symbols have the same classes; other characters stay."""
+    """Permutes text among all texts whose symbols have the same classes; other characters stay.
+
+    Long texts go in pieces, each by a permutation of its own that the pseudonym of the piece before chooses: linear in the length.
+    """
+    if len(text) > _PIECE:
+        out, before = [], ""
+        for i in range(0, len(text), _PIECE):
+            piece = text[i : i + _PIECE]
+            new = permute_symbols(f, piece, f"{purpose}/{i}/{before}", classes, back)
+            out.append(new)
+            before = piece if back else new
+        return "".join(out)
     held = [next((k for k in classes if c in k), c) for c in text]
     value, size = 0, 1
     for c, k in zip(text, held):
@@ -161,8 +173,9 @@ def email(f: Feistel, text: str, back: bool = False) -> str | None:
 
 
 def day(f: Feistel, text: str, back: bool = False) -> str | None:
-    a, b, c = (int(p) for p in re.split(r"[-./]", text))
-    year_first = len(re.split(r"[-./]", text)[0]) == 4
+    parts = re.split(r"[-./]", text)
+    a, b, c = (int(p) for p in parts)
+    year_first = len(parts[0]) == 4
     # Day first with points or if there is no such month, month first with slashes and hyphens.
     day_first = not year_first and ("." in text or a > 12)
     y, m, d = (a, b, c) if year_first else (c, b, a) if day_first else (c, a, b)
@@ -172,28 +185,24 @@ def day(f: Feistel, text: str, back: bool = False) -> str | None:
         return None
     if not FIRST_DAY <= number <= LAST_DAY:
         return None
-    size = LAST_DAY - FIRST_DAY + 1
     # Month-first dates must not become readable as day-first: they keep to days up to the twelfth or beyond alike.
-    if not year_first and "." not in text:
-        alike = _days(d <= 12)
-        new = datetime.date.fromordinal(alike[f.permute(bisect_left(alike, number), len(alike), f"day{d <= 12}", back)])
-    else:
-        new = datetime.date.fromordinal(FIRST_DAY + f.permute(number - FIRST_DAY, size, "day", back))
+    early = None if year_first or "." in text else d <= 12
+    # Days and months written with one digit keep one.
+    one_day, one_month = (False, False) if year_first else (len(parts[not day_first]) == 1, len(parts[day_first]) == 1)
+    alike = _days(early, one_day, one_month)
+    purpose = "day" + ("" if early is None else str(early)) + "d" * one_day + "m" * one_month
+    new = datetime.date.fromordinal(alike[f.permute(bisect_left(alike, number), len(alike), purpose, back)])
     order = (new.year, new.month, new.day) if year_first else (new.day, new.month, new.year) if day_first else (new.month, new.day, new.year)
-    return refill_numbers(text, order)
+    first, second, third = (f"{n:0{len(p)}d}" for n, p in zip(order, parts))
+    separators = re.findall(r"[-./]", text)
+    return f"{first}{separators[0]}{second}{separators[1]}{third}"
 
 
 @functools.cache
-def _days(early: bool) -> list[int]:
-    """Days up to the twelfth of their month, or those beyond."""
-    return [n for n in range(FIRST_DAY, LAST_DAY + 1) if (datetime.date.fromordinal(n).day <= 12) == early]
-
-
-def refill_numbers(template: str, numbers: tuple[int, ...]) -> str:
-    """Numbers with the template's separators; two places each, four for the year."""
-    separators = re.findall(r"[-./]", template)
-    first, second, third = (f"{n:04d}" if n > 99 else f"{n:02d}" for n in numbers)
-    return f"{first}{separators[0]}{second}{separators[1]}{third}"
+def _days(early: bool | None, one_day: bool, one_month: bool) -> list[int]:
+    """Days up to the twelfth of their month or beyond (None: all), with a day or month of one digit where that is asked for."""
+    every = ((n, datetime.date.fromordinal(n)) for n in range(FIRST_DAY, LAST_DAY + 1))
+    return [n for n, d in every if (early is None or (d.day <= 12) == early) and (d.day < 10 or not one_day) and (d.month < 10 or not one_month)]
 
 
 def access_key(f: Feistel, text: str, back: bool = False) -> str | None:
@@ -207,7 +216,8 @@ def secret(f: Feistel, text: str, back: bool = False) -> str | None:
 
 
 KINDS: dict[str, tuple[str, Callable[..., str | None]]] = {
-    "email": (r"[A-Za-z0-9][\w.+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
+    # From the beginning of a token, with parts of bounded length, so that no run is scanned from each of its places.
+    "email": (r"(?<![A-Za-z0-9])[A-Za-z0-9][\w.+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z])", email),
     "secret": (r"(?i:password|passwd|token|secret|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9/+_.-]{8,}", secret),
     "access_key": (r"\bAKIA[A-Z0-9]{16}\b", access_key),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
@@ -215,7 +225,7 @@ KINDS: dict[str, tuple[str, Callable[..., str | None]]] = {
     "day": (r"(?<![\w./-])(?:\d{4}-\d\d-\d\d(?=T\d\d)|(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d?\.\d\d?\.\d{4}|\d\d?/\d\d?/\d{4}|\d\d-\d\d-\d{4})(?![\w/-]|\.\d))", day),
     "social": (r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])", social),
     "card": (r"(?<![\w+])\d(?:[ -]?\d){12,18}(?![\w])", card),
-    "phone": (r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])", phone),
+    "phone": (r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])|(?<![\w.-])\d{3}\.\d{3}\.\d{4}(?![\w-]|\.\d)", phone),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
 _EACH = {k: re.compile(p) for k, (p, _) in KINDS.items()}
@@ -238,6 +248,7 @@ _PHONE_LENGTHS = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8,
 _CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))}
 
 
+@functools.lru_cache(10_000)
 def _shorter_ends(text: str) -> list[str]:
     """``text`` up to each of its tokens, longest first, the whole left out."""
     return [text[: m.end()] for m in list(re.finditer(r"[A-Za-z0-9]+\)?", text))[-2::-1]]
@@ -256,19 +267,18 @@ def _iban_ends(text: str) -> list[str]:
     return [text]
 
 
-def _groups(text: str) -> tuple[int, ...]:
-    return tuple(map(len, re.findall(r"\d+", text)))
-
-
+@functools.lru_cache(10_000)
 def _card_ends(text: str) -> list[str]:
     """The whole, then shorter ends; of these only common groupings if a card of such grouping begins later in ``text``."""
-    ends = [e for e in _shorter_ends(text) if sum(_groups(e)) >= 13 and min(_groups(e)) >= 3]
-    usual = [e for e in ends if _groups(e) in _CARD_GROUPS]
-    later = [text[m.start() :] for m in re.finditer(r"(?<=[ -])\d", text)]
-    inner = (e for t in later for e in (t, *_shorter_ends(t)) if _groups(e) in _CARD_GROUPS)
-    if len(ends) > len(usual) and any(_is_card(e) for e in inner):
-        return [text, *usual]
-    return [text, *usual, *(e for e in ends if e not in usual)]
+    spans = [m.span() for m in re.finditer(r"\d+", text)]
+    sizes = tuple(b - a for a, b in spans)
+    long_enough = next((i for i, n in enumerate(sizes) if n < 3), len(sizes))  # groups before one of fewer than three digits
+    ends = [j for j in range(min(len(sizes) - 1, long_enough), 0, -1) if sum(sizes[:j]) >= 13]
+    usual = [j for j in ends if sizes[:j] in _CARD_GROUPS]
+    later = ((i, j) for i in range(1, len(sizes)) for j in range(len(sizes), i, -1) if sizes[i:j] in _CARD_GROUPS)
+    if len(ends) > len(usual) and any(_is_card(text[spans[i][0] : spans[j - 1][1]]) for i, j in later):
+        return [text, *(text[: spans[j - 1][1]] for j in usual)]
+    return [text, *(text[: spans[j - 1][1]] for j in [*usual, *(e for e in ends if e not in usual)])]
 
 
 def _is_card(text: str) -> bool:
@@ -336,7 +346,8 @@ def pseudonymise(docs: DataFrame, key: bytes, *, column: str = "text", counts: s
     ``counts`` names an added map column with the number of replaced values by kind. A null text stays null; empty texts,
     repeated rows and empty tables stay as they are; values that fail validation are left alone. Values are
     linked as written: letter case of an address of mail is ignored, other spellings of a number keep their separators
-    and the same digits.
+    and the same digits. Time is linear in the text, also in long runs of digits, letters or signs. Not looked for: addresses of mail with
+    other than ASCII letters or parts of over 64 characters, IBANs in small letters.
     """
     kinds = pa.map_(pa.string(), pa.int64())
     names = [f"c{i}" for i in range(len(docs.columns))]  # positions: column names may clash in case
