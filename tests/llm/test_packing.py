@@ -1,12 +1,13 @@
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidepanel.llm.packing import GRANULE, WINDOW, cuts, encoder, pack
+from tidepanel.llm.packing import GRANULE, WINDOW, cuts, encoder, pack, queues_of
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +93,60 @@ def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, "one two", "s", "en", 1)] * 3 + [(None, "x", None, None, None)], schema)
     found = pack(df).collect()
     assert Counter(r.doc_id for r in found if r.start == 0) == {1: 3, None: 1}
+
+
+def test_ids_of_all_documents_are_those_of_the_tokenizer(spark, tokenizer):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for text, wanted in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert encoder().encode(text, allowed_special="all") == wanted.ids
+
+
+def round_robin(queues):
+    """(source, slot, round, deficit) in the order of sending, queue by queue and round by round."""
+    out, rounds = [], 0
+    for phase in (0, 1):
+        mine = [q for q in queues if q.phase == phase]
+        left, deficit, r = {q.name: q.slots for q in mine}, {q.name: Fraction(0) for q in mine}, 0
+        while any(left.values()):
+            r += 1
+            for q in sorted(mine, key=lambda q: q.name):
+                if left[q.name]:
+                    deficit[q.name] += Fraction(GRANULE * q.weight, q.largest)
+                    if deficit[q.name] >= GRANULE:
+                        deficit[q.name] -= GRANULE
+                        out.append((q.name, q.slots - left[q.name], rounds + r, float(deficit[q.name])))
+                        left[q.name] -= 1
+        rounds += r
+    return out
+
+
+@pytest.mark.parametrize(
+    "targets",
+    [None, {}, {"a": 3.0, "b": 1.0}, {"a": 1.0, "b": 0.0}, {"a": 0.0, "b": 0.0, "c": 0.0, "": 0.0}, {"a": 0.3, "b": 0.7, "c": 0.11, "": 0.0}, {"z": 5.0}],
+)
+def test_slots_are_those_of_a_round_robin(spark, targets):
+    sizes = {"a": 3000, "b": 700, "c": 1900, "": 900, "tiny": 3}
+    rows = [(i, "word " * (n // 4), q or None) for q, n in sizes.items() for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    found = pack(df, targets=targets).collect()
+    slots = Counter()
+    for r in found:
+        slots[r.source] += r.length
+    queues = queues_of({q: n // GRANULE for q, n in slots.items()}, targets)
+    sent = {}
+    for r in found:
+        if r.round is not None:
+            slot = (r.sequence_id * WINDOW + r.offset) // GRANULE
+            assert sent.setdefault(slot, (r.source, r.round, r.deficit)) == (r.source, r.round, r.deficit)
+    wanted = [(q, r, pytest.approx(d)) for q, _, r, d in round_robin(queues)]
+    assert [sent[i] for i in range(len(sent))] == wanted
+    if targets == {"a": 1.0, "b": 0.0}:
+        others = max(r.round for r in found if r.round and r.source != "b")
+        assert min(r.round for r in found if r.round and r.source == "b") == others + 1
+
+
+def test_shares_must_be_numbers(spark):
+    df = spark.createDataFrame([(1, "x", "a")], "doc_id bigint, text string, source string")
+    for bad in (-1.0, float("nan"), float("inf")):
+        with pytest.raises(ValueError, match="shares"):
+            pack(df, targets={"a": bad})

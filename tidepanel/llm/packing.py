@@ -7,21 +7,24 @@ reduced to one checksum per piece inside the tokenising task; they are neither s
 
 Round r adds the quantum ``GRANULE * weight / largest weight`` to the deficit of each source; a source whose deficit
 reaches a granule sends one slot and keeps the rest. Slot k of a source therefore leaves in round
-ceil((k + 1) * largest weight / weight), whatever window or partition that falls into: the deficit it carries there is
-known without a running state, so blocks of rounds are laid out independently. Slots in order of (round, source) fill
-the windows, without gaps. The last, incomplete slots of all sources follow by falling size of their pieces; only the very last
-window can be short.
+ceil((k + 1) * largest weight / weight), whatever window or partition that falls into, and by the end of round r a source has sent
+floor(r * weight / largest weight) slots or all it has. Each piece adds these up over the sources, in whole numbers, and so knows its own
+place: there is no running state and no table of slots. Slots in order of (round, source) fill
+the windows, without gaps. Sources with a share of 0 wait until the others end. The last, incomplete slots of all sources
+follow by falling size of their pieces; only the very last window can be short.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import zlib
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepanel.llm.common import query, stored, table, texts
@@ -29,7 +32,7 @@ from tidepanel.llm.common import query, stored, table, texts
 WINDOW = 2048
 GRANULE = 256
 END_ID = 1
-SLOTS_PER_BLOCK = 50_000
+WEIGHTS = 2**20  # of the largest share: shares as whole numbers
 TOKENIZER = "byte_bpe_50k"
 
 PIECES = "doc_id bigint, queue string, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, chunk bigint, at bigint"
@@ -80,13 +83,45 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in PIECES.split(", ")])
 
 
+@dataclass(frozen=True)
+class Queue:
+    """A source's slots; ``weight`` of ``largest`` is its share of a round. Queues of a later phase wait for the earlier ones."""
+
+    name: str
+    slots: int
+    phase: int
+    weight: int
+    largest: int
+
+    def round(self, k: int) -> int:
+        """In which slot k leaves, counted from 1 in its phase."""
+        return -(-(k + 1) * self.largest // self.weight)
+
+
+def queues_of(slots: Mapping[str, int], targets: Mapping[str, float] | None) -> list[Queue]:
+    """Queues by name. Shares are the queues' sizes, or the targets; a source without a target gets the smallest one above 0."""
+    if targets is not None and any(not 0 <= v < math.inf for v in targets.values()):
+        raise ValueError(f"shares must be numbers from 0 on: {dict(targets)}")
+    low = min((v for v in (targets or {}).values() if v > 0), default=1.0)
+    share = {q: float(n) if targets is None else float(targets.get(q, low)) for q, n in slots.items()}
+    most = max(share.values(), default=0.0)
+    out = []
+    for q in sorted(slots):
+        first = share[q] > 0 or not most
+        weight = max(1, round(share[q] / most * WEIGHTS)) if share[q] > 0 else 1
+        out.append(Queue(q, slots[q], 0 if first else 1, weight, WEIGHTS if share[q] > 0 else 1))
+    return out
+
+
 def pack(docs: DataFrame, *, targets: Mapping[str, float] | None = None) -> DataFrame:
     """Pieces of all documents with ``sequence_id`` and ``offset`` in windows of ``WINDOW`` tokens.
 
     ``docs`` needs doc_id, text and source. ``targets`` gives token shares by source; a source without a share gets the
-    smallest one. By default the shares are the sources' sizes, so all queues end together. A queue that
-    ends early leaves its place to the others. A null text is empty and yields its end token; a null source shares the
-    queue of the empty name; repeated rows and ids are packed row by row. An empty table gives no rows.
+    smallest one above 0, one with a share of 0 waits until the others end. By default the shares are the sources' sizes, so all queues
+    end together. A queue that ends early leaves its place to the others. A null text is empty and yields its end token; a null source shares
+    the queue of the empty name; repeated rows and ids are packed row by row. Texts of any length are tokenised whole and cut into pieces. Slots of one
+    round go by source; pieces of equal size in a queue go in the order of their tasks and rows. An empty table gives no rows. The list of
+    sources, a row each, is read by the driver.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("source", F.lit("")).alias("queue"), "text"
@@ -95,27 +130,20 @@ def pack(docs: DataFrame, *, targets: Mapping[str, float] | None = None) -> Data
 
     # Start of each task's pieces in their queue: running sums over a small table of (queue, size, task).
     counts = pieces.groupBy("queue", "length", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "piece_counts")
     along = Window.partitionBy("queue").orderBy(F.desc("length"), "chunk")
     starts = counts.select(
         "queue", "length", "chunk", (F.sum(F.col("n") * F.col("length")).over(along) - F.col("n") * F.col("length")).alias("before")
     )
-    sizes = counts.groupBy("queue").agg(F.sum(F.col("n") * F.col("length")).alias("tokens"))
-    weight = F.floor(F.col("tokens") / GRANULE).cast("double")
-    if targets is not None:
-        low = min(targets.values(), default=1.0)
-        shares = F.create_map(*[F.lit(x) for k, v in targets.items() for x in (k, float(v))]) if targets else None
-        weight = F.coalesce(shares[F.col("queue")], F.lit(float(low))) if targets else F.lit(1.0)
-    queues = sizes.select("queue", F.floor(F.col("tokens") / GRANULE).alias("slots"), weight.alias("weight"))
-    largest, total, shares = queues.agg(F.max("weight"), F.sum("slots"), F.sum("weight")).first()
-    slots = _slots(queues.where("slots > 0"), largest or 0.0, (shares or 0.0) / (largest or 1.0))
+    sizes = counts.groupBy("queue").agg(F.floor(F.sum(F.col("n") * F.col("length")) / GRANULE).cast("bigint").alias("slots"))
+    queues = queues_of({r.queue: r.slots for r in sizes.toLocalIterator()}, targets)
 
     placed = pieces.join(starts, ["queue", "length", "chunk"]).withColumn(
         "queue_at", F.col("before") + F.col("at") * F.col("length")
     )
-    placed = placed.join(queues.select("queue", "slots"), "queue").withColumn("k", F.floor(F.col("queue_at") / GRANULE))
-    # There are as many slots as granules of text: never broadcast them, however small the planner thinks they are.
-    whole = placed.where("k < slots").join(slots.hint("merge"), ["queue", "k"])
-    whole = whole.withColumn("position", F.col("slot") * GRANULE + F.col("queue_at") % GRANULE)
+    placed = placed.withColumn("k", F.floor(F.col("queue_at") / GRANULE))
+    placed = _with_slots(placed, queues)
+    whole = placed.where("k < slots").withColumn("position", F.col("slot") * GRANULE + F.col("queue_at") % GRANULE)
 
     # Fewer than GRANULE tokens a source remain: by falling size again, so that they stay aligned.
     tail = placed.where("k >= slots")
@@ -123,7 +151,7 @@ def pack(docs: DataFrame, *, targets: Mapping[str, float] | None = None) -> Data
     ends = tail.groupBy("queue", "length").agg(F.min("queue_at").alias("first_at"), F.count(F.lit(1)).alias("n"))
     ends = ends.withColumn("tail_at", F.sum(F.col("n") * F.col("length")).over(falling) - F.col("n") * F.col("length"))
     tail = tail.join(ends.select("queue", "length", "first_at", "tail_at"), ["queue", "length"]).withColumn(
-        "position", F.lit(int(total or 0) * GRANULE) + F.col("tail_at") + F.col("queue_at") - F.col("first_at")
+        "position", F.lit(sum(q.slots for q in queues) * GRANULE) + F.col("tail_at") + F.col("queue_at") - F.col("first_at")
     )
     tail = tail.withColumns({"round": F.lit(None).cast("bigint"), "deficit": F.lit(None).cast("double")})
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "queue", "round", "deficit", "position"]
@@ -137,25 +165,34 @@ def pack(docs: DataFrame, *, targets: Mapping[str, float] | None = None) -> Data
     )
 
 
-def _slots(queues: DataFrame, largest: float, per_round: float) -> DataFrame:
-    """(queue, k) with its round, its slot in the output and the deficit the queue keeps after sending it."""
-    k = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1))
-    sent = queues.select("queue", "weight", k.alias("k")).withColumn(
-        "round", F.ceil((F.col("k") + 1) * F.lit(largest) / F.col("weight"))
-    )
-    quantum = F.lit(float(GRANULE)) * F.col("weight") / F.lit(largest or 1.0)
-    sent = sent.withColumn("deficit", F.greatest(F.lit(0.0), F.col("round") * quantum - F.lit(float(GRANULE)) * (F.col("k") + 1)))
-    # Blocks of rounds hold about SLOTS_PER_BLOCK slots at most, as per_round slots leave in a round.
-    block = F.floor(F.col("round") * F.lit(max(per_round, 1.0)) / SLOTS_PER_BLOCK)
-    sent = sent.withColumn("block", block)
-    inside = Window.partitionBy("block").orderBy("round", "queue", "k")
-    along = Window.orderBy("block")
-    before = sent.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select(
-        "block", (F.sum("n").over(along) - F.col("n")).alias("n_before")
-    )
-    return sent.withColumn("place", F.row_number().over(inside) - 1).join(before, "block").select(
-        "queue", "k", "round", "deficit", (F.col("n_before") + F.col("place")).alias("slot")
-    )
+def _with_slots(placed: DataFrame, queues: list[Queue]) -> DataFrame:
+    """Rows (queue, k) with the queue's slots, and the round, the slot in the output and the deficit that the queue keeps after sending it."""
+    rounds = max((q.round(q.slots - 1) for q in queues if not q.phase and q.slots), default=0)
+    earlier = sum(q.slots for q in queues if not q.phase)
+    schema = "queue string, slots bigint, phase int, weight bigint, largest bigint"
+    own = placed.sparkSession.createDataFrame([(q.name, q.slots, q.phase, q.weight, q.largest) for q in queues], schema)
+    out = placed.join(F.broadcast(own), "queue")  # a row a source
+    out = out.withColumn("_round", F.expr("((k + 1) * largest + weight - 1) div weight"))
+    sent = []
+    for phase in (0, 1):
+        terms = []
+        for q in (q for q in queues if q.phase == phase and q.slots):
+            by_then = F.least(F.lit(q.slots), F.expr(f"((_round - 1) * {q.weight}L) div {q.largest}L"))
+            with_it = F.least(F.lit(q.slots), F.expr(f"(_round * {q.weight}L) div {q.largest}L"))
+            terms.append(F.when(F.lit(q.name) < F.col("queue"), with_it).otherwise(by_then))
+        sent.append(_sum(terms) + (earlier if phase else 0))
+    deficit = F.greatest(F.lit(0).cast("bigint"), F.expr("_round * weight - (k + 1) * largest")) * F.lit(float(GRANULE)) / F.col("largest")
+    added = {"slot": F.when(F.col("phase") == 0, sent[0]).otherwise(sent[1]), "deficit": deficit}
+    added["round"] = F.col("_round") + F.when(F.col("phase") == 1, rounds).otherwise(0)
+    return out.withColumns(added).drop("_round", "phase", "weight", "largest")
+
+
+def _sum(terms: list[Column]) -> Column:
+    """A sum as a balanced tree, so that many sources do not make a deep expression."""
+    if len(terms) < 2:
+        return terms[0] if terms else F.lit(0).cast("bigint")
+    half = len(terms) // 2
+    return _sum(terms[:half]) + _sum(terms[half:])
 
 
 @query()
