@@ -4,14 +4,16 @@ The 64 bits are cut into four blocks. Fingerprints at distance two or less agree
 to six shards, one per pair of blocks and their value. A shard's fingerprints form a BK-tree, whose children are
 keyed by their distance to the parent; a search follows only edges within the radius of the distance met. The
 trees live where their shard is: copies of all of them would not fit every executor at scale.
+A shard of over ``SHARD_LIMIT`` fingerprints is split likewise by its other bits: four blocks of these, and each fingerprint in the six
+shards of their pairs, until a shard fits or only ``LEAST_BITS`` bits are left, which are 256 different fingerprints at most.
 A shard reports its linked groups as stars around their smallest member, so output is linear in the
-shard. Shards over ``SHARD_LIMIT`` fingerprints are split further, by the values one flipped bit away: two members
-at distance two or less share such a value, and all that share one are linked. Components come from star contraction.
+shard. Components come from star contraction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +25,8 @@ from tidepanel.llm.common import query, stored, table, texts
 from tidepanel.sources.scratch import materialise
 
 RADIUS = 2
-BLOCK_BITS = 16
+BITS = 64
+LEAST_BITS = 8
 SHARD_LIMIT = 1000
 SEED = 42
 
@@ -126,28 +129,39 @@ def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | N
     yield None
 
 
+def _signed(v: int) -> int:
+    return v - (v >> 63 << 64)
+
+
+def finer(mask: int) -> list[int]:
+    """Masks of the bits that members of a shard's parts agree in: those of ``mask`` and two of four blocks of the others."""
+    rest = [i for i in range(BITS) if not mask >> i & 1]
+    n = len(rest) // 4
+    blocks = [sum(1 << i for i in rest[k * n : (k + 1) * n]) for k in range(4)]
+    return [mask | a | b for a, b in combinations(blocks, 2)]
+
+
 def links(fps: DataFrame, shard_limit: int = SHARD_LIMIT) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints within the radius, a star per group of a shard."""
-    blocks = [F.shiftrightunsigned("fp", BLOCK_BITS * i).bitwiseAND(F.lit(2**BLOCK_BITS - 1)) for i in range(4)]
-    shards = F.array(
-        *[
-            F.lit(n << 2 * BLOCK_BITS).cast("bigint") + F.shiftleft(blocks[i], BLOCK_BITS) + blocks[j]
-            for n, (i, j) in enumerate(combinations(range(4), 2))
-        ]
-    )
-    members = fps.select("fp", F.explode(shards).alias("shard"))
-    sizes = members.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    shared = materialise(sizes.where("n > 1"))
-    small = members.join(shared.where(F.col("n") <= shard_limit), "shard", "left_semi")
-    from_trees = (
-        small.repartition("shard").sortWithinPartitions("shard", "fp").select("shard", "fp").mapInArrow(_tree_links, "a bigint, b bigint")
-    )
-    large = members.join(shared.where(F.col("n") > shard_limit), "shard", "left_semi").select("fp").distinct()
-    flipped = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(v - (v >> 63 << 64))) for v in (1 << i for i in range(64))])
-    near = large.select("fp", F.explode(flipped).alias("value"))
-    lowest = near.groupBy("value").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    from_flips = near.join(lowest, "value").select(F.col("fp").alias("a"), "b")
-    return from_trees.unionByName(from_flips).where("a != b").distinct()
+    masks, left = finer(0), BITS // 2
+    children = F.array(*[F.lit(_signed(m)) for m in masks])
+    members = fps.select("fp", F.explode(children).alias("mask"))
+    shards: list[DataFrame] = []
+    while True:
+        members = members.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+        sizes = materialise(members.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        last = left <= LEAST_BITS
+        fit = sizes if last else sizes.where(F.col("n") <= shard_limit)
+        shards.append(members.join(fit, ["mask", "value"], "left_semi").select(F.xxhash64("mask", "value").alias("shard"), "fp"))
+        large = sizes.where(F.col("n") > shard_limit)
+        if last or large.isEmpty():
+            break
+        parts = F.create_map(*[c for m in masks for c in (F.lit(_signed(m)), F.array(*[F.lit(_signed(x)) for x in finer(m)]))])
+        chosen = members.join(large, ["mask", "value"], "left_semi")
+        members = chosen.select("fp", F.explode(parts[F.col("mask")]).alias("mask")).distinct()
+        masks, left = sorted({x for m in masks for x in finer(m)}), left // 2
+    dealt = reduce(DataFrame.unionByName, shards).repartition("shard").sortWithinPartitions("shard", "fp")
+    return dealt.mapInArrow(_tree_links, "a bigint, b bigint").where("a != b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
