@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from catalog.inputs import MEASURES, SNAP_COLUMNS, importances, labelled, r, rounded, scores, snap, sql
+from catalog.inputs import MEASURES, SNAP_COLUMNS, TOP, importances, labelled, r, rounded, scores, snap, sql
 from catalog.registry import query
 from tidepanel.functions.features import binary_target, class_weight
 from tidepanel.operators import history, sampling, selection
 from tidepanel.operators import trials as trial_tables
 from tidepanel.operators.scalars import with_scalars
-from tidepanel.plans import models, stages
+from tidepanel.plans import models, runs, stages
 from tidepanel.sources import tables
 from tidepanel.sources.scratch import fresh_path, materialise
 
@@ -281,3 +281,18 @@ def selected_features(spark, d):
     """Features that rank above every canary, with their gain."""
     columns = [*FEATURES, "planted"]
     return models.canary_selection(_training_frame(spark, d).select("id", "period", *columns, "y", "w"), columns, n=CANARIES, rounds=150)
+
+
+@query()
+def staged_runs(spark, d):
+    """Features chosen, models trained and the month after predicted, each run on what the one before left: (id, Predicted)."""
+    path, work = fresh_path(spark, "feature_table"), runs.Workspace(fresh_path(spark, "study"))
+    tables.write_period_table(_training_frame(spark, d).drop("y", "w"), path)
+    train = [m for m in TRAIN if m not in TEST]
+    runs.selection_run(spark, path, work, train, rate=RATE, seed=SEED, canaries=5, rounds=10)
+    runs.training_run(
+        spark, path, work, "study", train=train, validation=TEST[:3], test=TEST[3:], trials=TRIALS, seeds=SEEDS[:1], final_seeds=SEEDS, top=1,
+        rate=RATE, seed=SEED, rounds=8, patience=2, half_width=50, floor=0, ceiling=TOP, space=SEARCH,
+    )
+    sent = runs.prediction_run(spark, path, work, "next", period=PREDICTION[0], experiments=["study"], k=SENDS)
+    return spark.read.csv(sent, header=True, schema="id bigint, Predicted bigint")
