@@ -95,17 +95,32 @@ def _split(rows: DataFrame, limit: int, step: int, within: str | None = None) ->
         rows, low = rest, high
 
 
-@query(
-    f"""WITH h AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS bigint) AS row_bytes,
+def _sql(limit: int) -> str:
+    return f"""WITH h AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS bigint) AS row_bytes,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS varchar), '')), 1, 15) AS bigint) AS h FROM documents),
 paths AS (SELECT h.*, CAST(t.depth AS integer) AS depth, h >> CAST({HASH_BITS} - t.depth AS integer) AS prefix
   FROM h, range(0, 41) t(depth)),
 nodes AS (SELECT depth, prefix, CAST(sum(row_bytes) AS bigint) AS shard_bytes, count(*) AS n FROM paths GROUP BY 1, 2)
 SELECT doc_id, row_bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard, shard_bytes
-FROM paths JOIN nodes USING (depth, prefix) WHERE shard_bytes <= {SHARD_BYTES} OR n = 1
+FROM paths JOIN nodes USING (depth, prefix) WHERE shard_bytes <= {limit} OR n = 1
 QUALIFY depth = min(depth) OVER (PARTITION BY doc_id)"""
-)
+
+
+def _shards(spark: SparkSession, d: str, limit: int) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", n_bytes().alias("_size"))
+    return assign_shards(rows, F.col("_size"), limit=limit).select("doc_id", "row_bytes", "depth", "shard", "shard_bytes")
+
+
+@query(_sql(SHARD_BYTES))
 def op6_extendible_sharding(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its shard of at most 64 MiB of text."""
-    rows = table(spark, d, "documents").select("doc_id", n_bytes().alias("_size"))
-    return assign_shards(rows, F.col("_size")).select("doc_id", "row_bytes", "depth", "shard", "shard_bytes")
+    return _shards(spark, d, SHARD_BYTES)
+
+
+SMALL_SHARD_BYTES = 2**16
+
+
+@query(_sql(SMALL_SHARD_BYTES))
+def small_shards(spark: SparkSession, d: str) -> DataFrame:
+    """The same with 64 KiB, so that the small tables split as well."""
+    return _shards(spark, d, SMALL_SHARD_BYTES)
