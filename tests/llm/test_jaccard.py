@@ -88,3 +88,71 @@ def test_stage_of_the_pipeline(spark):
 def test_prefix_of_small_sets():
     none = np.empty(0, np.uint64)
     assert [len(jaccard.prefix(np.arange(n, dtype=np.uint64), none, none)) for n in (0, 1, 4, 5, 10)] == [0, 1, 1, 2, 3]
+
+
+def test_large_cells_of_two_blocks(spark, monkeypatch):
+    """A shingle of very many sets is cut into blocks: groups of near copies with a hub that few of them are similar to."""
+    monkeypatch.setattr(jaccard, "CELL_ROWS", 50)
+    rng = random.Random(8)
+    text = " ".join(f"w{rng.randrange(4000)}" for _ in range(150))
+    rows = [(i, edited(rng, text, rng.randrange(1, 8))) for i in range(160)]
+    rows += [(500 + i, " ".join([text, *(f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 60)))])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(r.doc_id for r in keep_one(df).collect()) == brute(rows)
+
+
+def test_pairs_of_large_and_small_cells_agree():
+    rng = np.random.default_rng(4)
+    n = 300
+    size = np.sort(rng.integers(5, 60, n))
+    at = (size << 32) + rng.integers(0, 3, n)
+    sig, root = rng.permutation(n).astype(np.int64), rng.integers(0, 6, n)
+    wanted = set()
+    for i in range(n):
+        for j in range(i):
+            if root[i] != root[j] and jaccard._fits(at[i : i + 1], at[j : j + 1])[0]:
+                wanted.add((min(sig[i], sig[j]), max(sig[i], sig[j])))
+    assert set(map(tuple, jaccard._pairs(np.zeros(n, int), at, sig, root, 0, 0))) == wanted
+    block = sig % 2
+    crossed = {(a, b) for a, b in wanted if a % 2 != b % 2}
+    assert set(map(tuple, jaccard._pairs(block, at, sig, root, 0, 0))) == crossed
+    picked = set(map(tuple, jaccard._pairs(np.zeros(n, int), at, sig, root, 2, 1)))
+    assert picked <= wanted and len(picked) <= 2 * n
+    some = slice(0, jaccard.SMALL_CELL)
+    small = set(map(tuple, jaccard._small_pairs(np.zeros(jaccard.SMALL_CELL, int), at[some], sig[some], root[some])))
+    assert small == {p for p in wanted if set(p) <= set(sig[some].tolist())}
+
+
+def test_histograms_rule_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64) * np.uint64(2))
+        keep = a[rng.random(len(a)) < rng.uniform(0.75, 1)]
+        b = np.unique(np.concatenate([keep, rng.integers(0, 2**63, rng.integers(0, len(a) // 6 + 1)).astype(np.uint64)]))
+        if len(b) and jaccard.similar(a, b):
+            assert jaccard.may_be_similar(jaccard.histogram(a), len(a), jaccard.histogram(b), len(b))
+    far = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(2)) for _ in range(2)]
+    assert not jaccard.may_be_similar(jaccard.histogram(far[0]), 300, jaccard.histogram(far[1]), 300)
+
+
+def test_shingles_are_those_of_the_words():
+    """Equal runs have equal hashes, different ones different, whatever separates the words."""
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["a", "B", "ab", "é", "x-y", "aa"]) for _ in range(rng.randrange(0, 12))) for _ in range(400)] + ["a\tb \n c  d\x0be", "A B C D E"]
+    seen = {}
+    for t in texts:
+        held, own = jaccard.shingles(t), runs(t)
+        assert len(held) == len(own)
+        for u, other in list(seen.items())[:60]:
+            assert len(np.intersect1d(held, other)) == len(own & runs(u))
+        seen[t] = held
+    assert jaccard.shingles("a\tb \n c  d\x0be").tolist() == jaccard.shingles("A B C D E").tolist()
+
+
+def test_empty_table_nulls_and_clashing_columns(spark):
+    schema = "doc_id bigint, text string, none int, id string, tie int, c0 string, sig int"
+    rows = [(3, None, 1, "x", 2, "c", 4), (2, "", 1, "x", 2, "c", 4), (None, " \n", 1, "x", 2, "c", 4), (5, "w " * 50_000, 0, "y", 1, "d", 5), (5, "w " * 50_000, 0, "y", 1, "d", 5), (None, "q", 7, "z", 8, "e", 6)]
+    df = spark.createDataFrame(rows, schema)
+    found = sorted(map(tuple, keep_one(df).collect()), key=str)
+    assert found == sorted([rows[1], rows[3], rows[5]], key=str)
+    assert keep_one(df.limit(0)).collect() == [] and keep_one(df).columns == df.columns
