@@ -135,6 +135,37 @@ def test_histograms_rule_out_no_similar_pair():
     assert not jaccard.may_be_similar(jaccard.histogram(far[0]), 300, jaccard.histogram(far[1]), 300)
 
 
+def test_bitmaps_keep_all_similar_pairs_of_a_large_cell_and_few_others():
+    """Edits of one text: all fit in size and place, few are similar. Rows must not grow with the square of the group."""
+    rng = random.Random(12)
+    text = " ".join(f"w{rng.randrange(4000)}" for _ in range(150))
+    sets = [jaccard.shingles(edited(rng, text, rng.randrange(1, 12))) for _ in range(300)]
+    sets = sorted(sets, key=len)
+    at = np.array([len(h) << 32 for h in sets])
+    sig, root, block = np.arange(300), np.arange(300), np.zeros(300, int)
+    bits = jaccard._matrix(np.array([jaccard.bitmap(h) for h in sets], object))
+    wanted = {(j, i) for i in range(300) for j in range(i) if jaccard.similar(sets[i], sets[j])}
+    plain = set(map(tuple, jaccard._pairs(block, at, sig, root, 0, 0)))
+    bound = set(map(tuple, jaccard._pairs(block, at, sig, root, 0, 0, bits)))
+    assert wanted and wanted <= bound <= plain and len(plain) > 40_000 and len(bound) < 2 * len(wanted) < 5_000
+    picked = [set(map(tuple, jaccard._pairs(block, at, sig, root, 4, seed, bits))) for seed in (0, 1)]
+    assert all(p <= bound and len(p) <= 4 * 300 for p in picked)
+    joined = {i for p in wanted for i in p}
+    assert {i for p in picked[0] & wanted for i in p} == joined  # the best partners are similar ones, where there are any
+
+
+def test_fingerprints_of_close_copies_meet_in_trees(spark):
+    """The stage goes through SimHash fingerprints and BK-trees; each set that these link gets the first of its component as hub."""
+    rng = random.Random(6)
+    base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(900)) for _ in range(20)]
+    rows = base + [f"{t} end" for t in base]
+    sets = [jaccard.shingles(t) for t in rows]
+    sigs, fps = [jaccard.signature(h) for h in sets], [jaccard.fingerprint(h) for h in sets]
+    near = {(min(sigs[i], sigs[i + 20]), max(sigs[i], sigs[i + 20])) for i in range(20) if ((fps[i] ^ fps[i + 20]) & (2**64 - 1)).bit_count() <= 2}
+    found = jaccard._tree_hubs(spark.createDataFrame(list(zip(sigs, fps)), "sig bigint, fp bigint"))
+    assert len(near) > 10 and {(r.a, r.b) for r in found.collect()} == near
+
+
 def test_shingles_are_those_of_the_words():
     """Equal runs have equal hashes, different ones different, whatever separates the words."""
     rng = random.Random(1)

@@ -1,6 +1,9 @@
 """Near duplicates by word shingles: documents whose sets of five-word runs have a Jaccard similarity of 0.8 or more.
 
-No pair is missed, because candidates come from a prefix filter instead of a sketch: in one order of all shingles, two
+First come the SimHash fingerprints of the sets, linked through BK-trees in shards (``simhash``): each set is compared with one hub of
+its component. Two bits of 64 find the closest copies only, so what they leave apart goes on.
+
+No pair is missed, because the other candidates come from a prefix filter instead of a sketch: in one order of all shingles, two
 sets that are similar enough share a shingle among the first fifth of each. The order puts shingles that are common in a slice
 of the documents last, so that passages and license lines seldom select candidates; any order gives the same pairs.
 
@@ -8,8 +11,9 @@ Sets that meet at a shingle are first paired with their neighbour in size and wi
 joins most of a large group of copies: each set is compared with one hub of all it is paired with. Then only shingles count whose sets are
 still in different components, and pairs of these that can be similar by size and by their places in the order. In some rounds a set picks
 a few partners, so that groups without one good hub grow together; at last all pairs that are left go on. A shingle of
-very many sets is cut into cells. Pairs are bounded by histograms of the shingles, and only then compared as texts, each sent
-once to its hub.
+very many sets is cut into cells. A large cell holds a bitmap of each set, which bounds what two sets can share: pairs beyond the bound
+never leave the cell, and a set picks the partners of the highest bound. Pairs are then bounded by histograms of the shingles, and only
+after that compared as texts, each sent once to its hub.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.common import remove, stored, texts
-from tidepanel.llm.simhash import SEED, components
+from tidepanel.llm.simhash import SEED, components, fingerprint
+from tidepanel.llm.simhash import links as tree_links
 
 WIDTH = 5
 LEAST = (4, 5)  # similarity of 0.8, as a fraction
@@ -30,6 +35,7 @@ COMMON_IN_SLICE = 3
 COMMON = 200_000
 CELL_ROWS = 4_000  # sets of a shingle that are compared in one piece
 SMALL_CELL = 32  # rows of a cell whose pairs are all compared at once
+BITMAP = 2048  # bits that bound what two sets of a large cell share; larger sets are bounded less closely
 HUB_ROWS = 1_000  # texts that go to one copy of a hub
 ROUNDS, PICKS = 2, 4  # rounds before all pairs are compared, and partners that a set picks in one
 BROADCAST_ROWS = 500_000  # keys are counted; up to so many they are broadcast, beyond that the same join shuffles
@@ -108,6 +114,20 @@ def may_be_similar(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
     return sum(LEAST) * both >= LEAST[0] * (n_a + n_b)
 
 
+def bitmap(held: np.ndarray) -> bytes:
+    """The bits that the shingles' first bits name."""
+    out = np.zeros(BITMAP, np.uint8)
+    out[(held >> np.uint64(64 - (BITMAP.bit_length() - 1))).astype(np.int64)] = 1
+    return np.packbits(out).tobytes()
+
+
+def _share_at_most(size_a: int, bits_a: np.ndarray, size_b: np.ndarray, bits_b: np.ndarray) -> np.ndarray:
+    """Upper bounds of what a set shares with others: a bit that one has and the other has not is a shingle that they do not share."""
+    only_a = np.bitwise_count(bits_a & ~bits_b).sum(axis=1, dtype=np.int64)
+    only_b = np.bitwise_count(~bits_a & bits_b).sum(axis=1, dtype=np.int64)
+    return np.minimum(size_a - only_a, size_b - only_b)
+
+
 def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
     """Shingles that come up often within slices of the documents, rarest first; at most ``COMMON``."""
 
@@ -252,12 +272,12 @@ def _across(picks: int, seed: int):
             cuts = np.r_[0, cuts, *([len(token)] if last else [])].astype(np.int64)
             sizes = np.diff(cuts)
             large = [(a, b) for a, b in zip(cuts[:-1][sizes > SMALL_CELL].tolist(), cuts[1:][sizes > SMALL_CELL].tolist())]
-            found = [_pairs(*[c[a:b] for c in kept[2:]], picks, seed) for a, b in large]
+            found = [_pairs(*[c[a:b] for c in kept[2:6]], picks, seed, _matrix(kept[6][a:b])) for a, b in large]
             # A small cell has the same rows in every round, so its pairs go in the first one only: later, components have only grown.
             chosen = np.repeat((sizes <= SMALL_CELL) & (seed == 0), sizes)
             if chosen.any():
                 number = np.repeat(np.arange(len(sizes)), sizes)[chosen]
-                found.append(_small_pairs(number, *[c[: cuts[-1]][chosen] for c in kept[3:]]))
+                found.append(_small_pairs(number, *[c[: cuts[-1]][chosen] for c in kept[3:6]]))
             kept = [c[cuts[-1] :] for c in kept]
             pairs = np.unique(np.concatenate([np.empty((0, 2), np.int64), *found]), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
@@ -265,6 +285,10 @@ def _across(picks: int, seed: int):
     return run
 
 
+def _matrix(bitmaps: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), -1)
+
+
 def _small_pairs(cell: np.ndarray, at: np.ndarray, sig: np.ndarray, root: np.ndarray) -> np.ndarray:
     """(a, b) of all small cells at once: every row with the one after it, then with the one after that, and so on."""
     out = [np.empty((0, 2), np.int64)]
@@ -279,10 +303,11 @@ def _small_pairs(cell: np.ndarray, at: np.ndarray, sig: np.ndarray, root: np.nda
     return np.concatenate(out)
 
 
-def _pairs(block: np.ndarray, at: np.ndarray, sig: np.ndarray, root: np.ndarray, picks: int, seed: int) -> np.ndarray:
-    """(a, b) of a large cell; rows of two blocks are paired across the blocks only.
+def _pairs(block: np.ndarray, at: np.ndarray, sig: np.ndarray, root: np.ndarray, picks: int, seed: int, bits: np.ndarray | None = None) -> np.ndarray:
+    """(a, b) of a large cell; rows of two blocks are paired across the blocks only. With the sets' bitmaps, pairs that these rule out are left out.
 
-    Picked partners are those of the smallest hashes, so that a set picks the same ones at all its shingles.
+    Picked partners are those of the highest bounds, the next ones in a later round; without bitmaps those of the smallest hashes, so that
+    a set picks the same ones at all its shingles.
     """
     _, of, n = np.unique(root, return_inverse=True, return_counts=True)
     if len(n) < 2:
@@ -303,7 +328,15 @@ def _pairs(block: np.ndarray, at: np.ndarray, sig: np.ndarray, root: np.ndarray,
         if two:
             other &= block[a:b] != block[i]
         places = np.flatnonzero(other) + a
-        if picks and len(places) > picks:
+        if bits is not None and len(places):
+            both, sizes = _share_at_most(size[i], bits[i], size[places], bits[places]), size[i] + size[places]
+            good = sum(LEAST) * both >= LEAST[0] * sizes
+            places, bound = places[good], (both / sizes)[good]
+            if picks and len(places) > picks:
+                order = np.lexsort((chance[0][places], -bound))
+                at_least = min(seed * picks, len(order) - picks)
+                places = places[order[at_least : at_least + picks]]
+        elif picks and len(places) > picks:
             places = np.unique([places[c[places].argmin()] for c in chance])
         held = sig[places]
         out.append(np.stack([np.minimum(held, sig[i]), np.maximum(held, sig[i])], axis=1))
@@ -315,19 +348,21 @@ def _open(met: DataFrame, roots: DataFrame, made: list[str]) -> DataFrame:
     placed = met.select("token", "at", "sig").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     placed = placed.select("token", "at", "sig", F.coalesce("root", "sig").alias("root"))
     counts = placed.groupBy(F.col("token").alias("_token")).agg(
-        F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("_blocks"), F.min("root").alias("_low"), F.max("root").alias("_high")
+        F.count(F.lit(1)).alias("_n"), F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("_blocks"), F.min("root").alias("_low"), F.max("root").alias("_high")
     )
-    apart = placed.join(counts.where("_low < _high").select("_token", "_blocks"), F.col("token") == F.col("_token"))
+    apart = placed.join(counts.where("_low < _high").select("_token", "_n", "_blocks"), F.col("token") == F.col("_token"))
     return stored(apart.drop("_token"), "open_shingles", made)
 
 
-def _in_cells(open_rows: DataFrame) -> DataFrame:
-    """(token, cell, block, at, sig, root): a shingle of more than ``CELL_ROWS`` sets is cut into blocks, each pair of which is a cell."""
-    placed = open_rows.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("_blocks")))
+def _in_cells(open_rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, cell, block, at, sig, root, bits), with bitmaps where cells may be large: a shingle of more than ``CELL_ROWS`` sets is cut into blocks, each pair of which is a cell."""
+    large = open_rows.where(F.col("_n") > SMALL_CELL).join(sets.select("sig", "bits"), "sig")
+    small = open_rows.where(F.col("_n") <= SMALL_CELL).withColumn("bits", F.lit(None).cast("binary"))
+    placed = large.unionByName(small).withColumn("block", F.pmod(F.xxhash64("sig"), F.col("_blocks")))
     others = F.explode(F.expr("sequence(0L, _blocks - 1)")).alias("_other")
-    cells = placed.select("token", "block", "at", "sig", "root", "_blocks", others)
+    cells = placed.select("token", "block", "at", "sig", "root", "bits", "_blocks", others)
     cell = F.least("block", "_other") * F.col("_blocks") + F.greatest("block", "_other")
-    cells = cells.select("token", cell.alias("cell"), "block", "at", "sig", "root")
+    cells = cells.select("token", cell.alias("cell"), "block", "at", "sig", "root", "bits")
     return cells.repartition("token", "cell").sortWithinPartitions("token", "cell", "at", "sig")
 
 
@@ -385,8 +420,17 @@ def _with_key(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return rows.join(F.broadcast(keys) if small else keys, list(_KEY), how)
 
 
+def _tree_hubs(sets: DataFrame) -> DataFrame:
+    """(a, b): each set whose fingerprint a BK-tree links to others, with the first set of its component."""
+    roots = components(tree_links(sets.select("fp").distinct()))
+    named = sets.select("sig", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    named = named.select("sig", F.coalesce("root", "fp").alias("root"))
+    hubs = named.groupBy("root").agg(F.min("sig").alias("a"))
+    return named.join(hubs, "root").where("sig != a").select("a", F.col("sig").alias("b"))
+
+
 def similar_sets(keyed: DataFrame, sets: DataFrame, width: int, made: list[str]) -> DataFrame:
-    """(a, b): links that connect all similar sets; ``sets`` has sig, rep, size and histogram of each, ``keyed`` the texts by key."""
+    """(a, b): links that connect all similar sets; ``sets`` has sig, rep, size, histogram, fp and bits of each, ``keyed`` the texts by key."""
     common = common_shingles(keyed, width)
     order = np.argsort(common)
     shared = keyed.sparkSession.sparkContext.broadcast((common[order], order))
@@ -394,16 +438,17 @@ def similar_sets(keyed: DataFrame, sets: DataFrame, width: int, made: list[str])
     dealt = tokens.repartition("token").sortWithinPartitions("token", "at", "sig")
     met = stored(dealt.mapInArrow(_met, MET), "shingles_met", made)
 
-    # Each set against one hub of all that it is paired with.
+    # Each set against one hub of all that it is paired with, and against one of those that its fingerprint is linked to.
     near = met.select("sig", F.explode(F.array("before", "first")).alias("other")).where("sig != other")
     hubs = components(near.select(F.col("sig").alias("a"), F.col("other").alias("b")))
-    links = _confirmed(keyed, sets, hubs.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")), width, made)
+    hubs = hubs.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    links = _confirmed(keyed, sets, _tree_hubs(sets).unionByName(hubs).distinct(), width, made)
 
     rows = met
     for n in range(ROUNDS + 1):
         rows = _open(rows, components(links), made)
         picks = PICKS if n < ROUNDS else 0  # at last all pairs
-        apart = _in_cells(rows).mapInArrow(_across(picks, n), "a bigint, b bigint").distinct()
+        apart = _in_cells(rows, sets).mapInArrow(_across(picks, n), "a bigint, b bigint").distinct()
         links = stored(links.unionByName(_confirmed(keyed, sets, apart, width, made)), "links", made)
     return links
 
@@ -425,14 +470,15 @@ def keep_one(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in texts(batches, "text"):
             held = [shingles(t, width) for t in rows]
-            added = [pa.array([signature(h) for h in held], pa.int64()), pa.array([len(h) for h in held], pa.int64()), pa.array([histogram(h) for h in held], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in _KEY], *added], [*_KEY, "sig", "size", "histogram"])
+            added = [pa.array([signature(h) for h in held], pa.int64()), pa.array([len(h) for h in held], pa.int64()), *[pa.array([f(h) for h in held], pa.binary()) for f in (histogram, bitmap)], pa.array([fingerprint(h) for h in held], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in _KEY], *added], [*_KEY, "sig", "size", "histogram", "bits", "fp"])
 
     made: list[str] = []
-    signed = keyed.mapInArrow(sign, "none boolean, id bigint, tie bigint, sig bigint, size bigint, histogram binary")
+    signed = keyed.mapInArrow(sign, "none boolean, id bigint, tie bigint, sig bigint, size bigint, histogram binary, bits binary, fp bigint")
     rows = stored(signed, "shingle_signatures", made)
     rep = F.min(F.struct(*_KEY)).alias("rep")
-    sets = stored(rows.groupBy("sig").agg(rep, F.first("size").alias("size"), F.first("histogram").alias("histogram")), "shingle_sets", made)
+    facts = [F.first(c).alias(c) for c in ("size", "histogram", "bits", "fp")]
+    sets = stored(rows.groupBy("sig").agg(rep, *facts), "shingle_sets", made)
     roots = components(similar_sets(keyed, sets, width, made))
     # Per set first, so that a component with very many rows arrives as few.
     named = sets.select("sig", "rep").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
