@@ -56,6 +56,17 @@ def test_select_train_and_predict(spark, study):
     assert some.endswith("run_manual")
 
 
+def test_no_feature_above_the_canaries_keeps_all(spark, study, monkeypatch):
+    """The runs that follow need features to train on."""
+    table, work = study[0], runs.Workspace(fresh_path(spark, "study"))
+    found = [spark.createDataFrame([], "feature string, gain double")]
+    monkeypatch.setattr(models, "canary_selection", lambda *args, **options: found[0])
+    with pytest.warns(UserWarning, match="no feature ranks above"):
+        kept = runs.selection_run(spark, table, work, TRAIN, rate=0.5, canaries=3, rounds=4)
+    every = ["noise0", "noise1", "signal", "signal_lag1"]
+    assert sorted(r["feature"] for r in kept.collect()) == every and runs._listed(spark, work) == every
+
+
 def test_a_run_again_repeats_no_fit_and_changes_no_file(spark, study, monkeypatch):
     table, work = study
     if not Path(work.summary).exists():

@@ -6,6 +6,7 @@ finished trials and saved models are not repeated, and tables are merged by thei
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -70,7 +71,8 @@ def selection_run(
 ) -> DataFrame:
     """Months of the table, undersampled, through a fit with canaries; the features above them all are written, best first.
 
-    Returns (feature, gain). Nothing is written over: a workspace that has a feature list keeps it and this is an error.
+    Returns (feature, gain). If none is above them (a small sample, few rounds), there is no cut: all features are kept, without a gain, and a
+    warning says so. Nothing is written over: a workspace that has a feature list keeps it and this is an error.
     """
     if path_exists(spark, work.features):
         raise ValueError(f"{work.features} is there already")
@@ -78,6 +80,9 @@ def selection_run(
     sampled = period_split(frame, periods, [], [], rate=rate, seed=seed).drop("split")
     features = numeric_columns(sampled, [*KEY, "y", "w"])
     kept = materialise(models.canary_selection(sampled.select(*KEY, *features, "y", "w"), features, n=canaries, seed=seed, rounds=rounds))
+    if kept.isEmpty():
+        warnings.warn(f"no feature ranks above the canaries, all {len(features)} are kept", stacklevel=2)
+        kept = spark.createDataFrame([(f, None) for f in features], kept.schema)
     write_feature_list(kept.orderBy(F.desc("gain"), "feature").coalesce(1), work.features)
     return kept
 
