@@ -132,3 +132,38 @@ def test_names_and_number_of_features(spark):
     assert len(out.columns) == 4 + 2 * 10
     with pytest.raises(ValueError):
         history.rolling(df, ["y"], ["median"])
+
+
+def test_blocks_of_rows_equal_windows(spark):
+    """Features over the borders of small Arrow batches, with NULL, NaN, infinity and decimals, by one window that only numbers rows."""
+    ys = [3.0, None, float("nan"), -2.0, 5.0, float("inf"), None, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 7.5, None, None, None, None, None, None, 4.0]
+    rows = [(i, 202000 + k, None if y is None else y + i, None if y is None or k % 4 == 0 else k * i) for i in range(4) for k, y in enumerate(ys[i:])]
+    df = spark.createDataFrame(rows, "id bigint, period bigint, y double, n bigint").withColumn("d", F.col("n").cast("decimal(10,2)") / 4)
+    columns, names = ["y", "n", "d"], ["lag2", "delta1", "avg6", "min6", "max6", "ratioavg6", "ratiomax6"]
+    along = history.by_entity()
+    frame = along.rowsBetween(-5, 0)
+    wanted = df
+    for c in columns:
+        x = F.col(c).cast("double")
+        lags = [F.lag(x, k).over(along) for k in range(6)]
+        mean, least, most = F.avg(x).over(frame), F.least(*lags), F.greatest(*lags)
+        values = [lags[2], x - lags[1], mean, least, most, F.try_divide(x, mean), F.try_divide(x, most)]
+        wanted = wanted.withColumns({f"{c}_{n}": v for n, v in zip(names, values)})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = history.historical_features(df, columns)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = found.orderBy("id", "period").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "row_number()" in plan and "lag(" not in plan
+    for a, b in zip(got, wanted.orderBy("id", "period").collect(), strict=True):
+        for name in wanted.columns:
+            assert (a[name] is None) == (b[name] is None), (name, a, b)
+            assert a[name] is None or a[name] == pytest.approx(b[name], nan_ok=True), (name, a, b)
+
+
+def test_history_of_nothing(spark):
+    df = values(spark, [1, 2])
+    assert history.historical_features(df.limit(0), ["y"]).count() == 0
+    assert history.historical_features(df, []).columns == df.columns
