@@ -254,3 +254,37 @@ def test_prediction_frame(spark, panel):
     out = stages.prediction_frame(spark, path, 202004, 2)
     assert sorted(out.columns) == ["id", "period", "signal", "signal_lag1", "signal_lag2"]
     assert out.count() == 400
+
+
+def test_training_partitions_follow_from_the_rows(spark, panel, monkeypatch):
+    """The same rows in the same places whatever the session's partitions, no partition much larger than asked for."""
+    monkeypatch.setattr(models, "ROWS_PER_PART", 300)
+
+    def dealt(df, parts):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            frame = models._training_rows(df, FEATURES, ["id", "period"])
+            return [[tuple(r) for r in part] for part in frame.rdd.glom().collect()]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    first = dealt(panel, "3")
+    assert len(first) == 8 and max(map(len, first)) < 450 and sum(map(len, first)) == 2400
+    assert dealt(panel.repartition(5, "noise"), "20") == first
+
+
+def test_a_job_computes_its_frame_once(spark, monkeypatch):
+    """Search, ensemble and check read what was written."""
+    from catalog import job_queries
+
+    built = []
+    real = job_queries.labelled
+    monkeypatch.setattr(job_queries, "labelled", lambda *args: built.append(args) or real(*args))
+    row = [(0, 1.0, 2.0, 5, 3, 2, "{}")]
+    monkeypatch.setattr(models, "hyperparameter_trials", lambda *args, **options: spark.createDataFrame(row, models.TRIALS_SCHEMA))
+    monkeypatch.setattr(models, "train_seed_ensemble", lambda df, *args, **options: (built.append(df), None))
+    monkeypatch.setattr(models, "score_models", lambda df, scorers, **options: df.select("id"))
+    found = job_queries.ensemble_scores(spark, "/root/testdata/sf0.001")
+    assert len(built) == 2  # the panel, and the rows the ensemble was given
+    for df in (built[1], found):
+        assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
