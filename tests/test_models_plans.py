@@ -278,8 +278,8 @@ def test_a_job_computes_its_frame_once(spark, monkeypatch):
     from catalog import job_queries
 
     built = []
-    real = job_queries.labelled
-    monkeypatch.setattr(job_queries, "labelled", lambda *args: built.append(args) or real(*args))
+    real = job_queries.snap
+    monkeypatch.setattr(job_queries, "snap", lambda *args: built.append(args) or real(*args))
     row = [(0, 1.0, 2.0, 5, 3, 2, "{}")]
     monkeypatch.setattr(models, "hyperparameter_trials", lambda *args, **options: spark.createDataFrame(row, models.TRIALS_SCHEMA))
     monkeypatch.setattr(models, "train_seed_ensemble", lambda df, *args, **options: (built.append(df), None))
