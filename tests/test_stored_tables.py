@@ -193,3 +193,28 @@ def test_a_month_is_planned_on_the_state_alone(spark, panel):
     month = panel.where("period = 202102")
     features, _ = history.history_step(spark.read.parquet(path), month, ["a"])
     assert len(re.findall(r"FileScan parquet", plan(features))) == 1
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark):
+    path = fresh_path(spark, "summary")
+    many = spark.range(4000).selectExpr("'e1' as experiment", "concat('m', id) as model", "id as gain", "'x' as note")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored.insert_stored(many, path, KEYS, partition="experiment")
+        assert len(files(path)) == 8
+        stored.insert_stored(many.withColumn("model", F.concat("model", F.lit("b"))), path, KEYS, partition="experiment")
+        assert len(files(path)) == 8 and len(held(many, path)) == 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_rows_with_a_null_key_are_inserted_once(spark):
+    path = fresh_path(spark, "summary")
+    first = rows(spark, ("e1", None, 1, None), ("e1", "m2", 2, "x"))
+    stored.insert_stored(first, path, KEYS, partition="experiment")
+    before = files(path)
+    stored.insert_stored(first, path, KEYS, partition="experiment")
+    assert files(path) == before
+    stored.insert_stored(rows(spark, ("e1", None, 1, None), ("e1", "m2", 9, "y"), ("e1", "m3", 3, None)), path, KEYS, partition="experiment")
+    found = stored.read_stored(first, path).collect()
+    assert sorted(str(tuple(r)) for r in found) == ["('e1', 'm2', 2, 'x')", "('e1', 'm3', 3, None)", "('e1', None, 1, None)"]

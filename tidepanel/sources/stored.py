@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.operators.combine import insert_if_absent, upsert
+from tidepanel.operators.combine import upsert
 from tidepanel.sources.scratch import materialise
 
 
@@ -28,31 +29,45 @@ def read_stored(df: DataFrame, path: str) -> DataFrame | None:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns) if path_exists(spark, path) else None
 
 
-def _replace_partitions(rows: DataFrame, path: str, partition: str) -> None:
-    """Rows become all there is of the partitions that they have; the others keep their files."""
-    settled = materialise(rows.repartition(partition))
-    settled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+def _replace_partitions(settled: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
+    """Rows become all there is of the partitions that they have; the others keep their files. A large partition is written by several tasks."""
+    dealt = settled.repartitionByRange(partition, *[k for k in keys if k != partition])
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def _of_changed(old: DataFrame, merged: DataFrame, partition: str) -> DataFrame:
-    """Rows of ``merged`` in partitions where it has a row that ``old`` has not."""
-    same = reduce(lambda a, b: a & b, [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in merged.columns])
-    changed = merged.alias("m").join(old.alias("o"), same, "left_anti").select(f"m.{partition}").distinct()
-    chosen = changed.withColumnRenamed(partition, "_chosen")
-    return merged.join(chosen, F.col(partition).eqNullSafe(F.col("_chosen")), "left_semi")
+def _unlike(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Rows of ``new`` that are not in ``old`` as they are."""
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in new.columns]
+    return new.alias("n").join(old.alias("o"), reduce(and_, same), "left_anti").select(*new.columns)
 
 
-def _merge(new: DataFrame, path: str, partition: str, combined) -> None:
+def _absent(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose key ``old`` does not have. A key with NULL equals none, its row is known by all its columns."""
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    keyed = new.where(whole).join(old.select(*keys), list(keys), "left_anti").select(*new.columns)
+    return keyed.unionByName(_unlike(new.where(~whole), old.where(~whole)))
+
+
+def _merge(rows: DataFrame, path: str, keys: Sequence[str], partition: str, changes) -> None:
+    if partition not in keys:
+        raise ValueError(f"{partition} must be one of the keys {list(keys)}")
+    # Written once: what the rows come from may be large.
+    new = materialise(rows)
+    upsert(new.limit(0), new, keys).limit(1).collect()  # a repeated key is an error here
     old = read_stored(new, path)
     if old is None:
-        _replace_partitions(new, path, partition)
+        _replace_partitions(new, path, keys, partition)
         return
-    # Only partitions that new rows fall into are read.
-    touched = F.broadcast(new.select(F.col(partition).alias("_touched")).where(F.col(partition).isNotNull()).distinct())
-    near = old.join(touched, F.col(partition) == F.col("_touched"), "left_semi")
-    rows = materialise(_of_changed(near, combined(near), partition))
-    if not rows.isEmpty():
-        _replace_partitions(rows, path, partition)
+
+    def within(df: DataFrame) -> DataFrame:
+        """Stored rows in the partitions of ``df``, the only ones that are read."""
+        found = F.broadcast(df.select(F.col(partition).alias("_touched")).where(F.col(partition).isNotNull()).distinct())
+        return old.join(found, F.col(partition) == F.col("_touched"), "left_semi")
+
+    changed = materialise(changes(new, within(new)))
+    if not changed.isEmpty():
+        kept = within(changed).join(changed.select(*keys), list(keys), "left_anti").select(*new.columns)
+        _replace_partitions(materialise(kept.unionByName(changed)), path, keys, partition)
 
 
 def upsert_stored(new: DataFrame, path: str, keys: Sequence[str], *, partition: str) -> None:
@@ -60,15 +75,9 @@ def upsert_stored(new: DataFrame, path: str, keys: Sequence[str], *, partition:
 
     ``partition`` is one of the keys, never NULL, with few values in a merge. The stored table has the columns of ``new``.
     """
-    _merge(_checked(new, keys, partition), path, partition, lambda old: upsert(old, new, keys))
+    _merge(new, path, keys, partition, _unlike)
 
 
 def insert_stored(new: DataFrame, path: str, keys: Sequence[str], *, partition: str) -> None:
     """Rows of ``new`` are added where the table does not have their key."""
-    _merge(_checked(new, keys, partition), path, partition, lambda old: insert_if_absent(old, new, keys))
-
-
-def _checked(new: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
-    if partition not in keys:
-        raise ValueError(f"{partition} must be one of the keys {list(keys)}")
-    return upsert(new.limit(0), new, keys)
+    _merge(new, path, keys, partition, lambda rows, old: _absent(rows, old, keys))
