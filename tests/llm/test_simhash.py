@@ -91,3 +91,30 @@ def test_nulls_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, "p q r s", "x", "y"), (4, "p q r s", None, None), (4, "p q r s", None, None), (None, None, None, None)], schema)
     found = sorted((r.fingerprint == "0" * 16, r.doc_id or -1, r.component_id) for r in near_duplicates(df).collect())
     assert found == [(False, -1, 4), (False, 4, 4), (False, 4, 4), (True, -1, None)]
+
+
+@pytest.mark.parametrize("task_links", [20, 50_000])
+def test_components_take_no_more_tasks_than_their_links_need(spark, monkeypatch, task_links):
+    """A chain and a star in a session of very many shuffle partitions that are not joined: rounds write few files."""
+    made = []
+    write = simhash.materialise
+
+    def noted(df):
+        made.append(write(df))
+        return made[-1]
+
+    monkeypatch.setattr(simhash, "materialise", noted)
+    monkeypatch.setattr(simhash, "TASK_LINKS", task_links, raising=False)
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 60)]
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = {(r.node, r.root) for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+        parts = [df.rdd.getNumPartitions() for df in made[1:]]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert found == {(i, 0) for i in range(61)} | {(1000 + i, 1000) for i in range(60)}
+    assert parts and max(parts) <= max(1, -(-4 * len(edges) // task_links))

@@ -28,6 +28,7 @@ RADIUS = 2
 BITS = 64
 LEAST_BITS = 8
 SHARD_LIMIT = 1000
+TASK_LINKS = 50_000  # links that a task of the contraction gets at least
 SEED = 42
 
 
@@ -168,12 +169,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the links, root being the component's smallest node.
 
     Alternates large-star and small-star contraction; each round is written to the shared folder. Minima are pre-aggregated
-    and joined back, so a node with very many links is not gathered in one task.
+    and joined back, so a node with very many links is not gathered in one task. A round has no more tasks than its links need: every task
+    of an exchange leaves files until the driver collects its garbage, and the rounds are many.
     """
 
-    def star(pairs: DataFrame) -> DataFrame:
+    def star(pairs: DataFrame, tasks: int) -> DataFrame:
         low = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return pairs.join(low, "u")
+        return pairs.join(low, "u").coalesce(tasks)
 
     def state(pairs: DataFrame) -> tuple:
         return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -181,14 +183,15 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     before, pairs = None, materialise(pairs)
     while (now := state(pairs)) != before:
-        before = now
+        before, tasks = now, max(1, -(-now[0] // TASK_LINKS))
+        pairs = pairs.coalesce(tasks)
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             pairs.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        large = star(both).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        down = star(large.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        large = star(both, tasks).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        down = star(large.coalesce(tasks).select(F.col("a").alias("u"), F.col("b").alias("v")), tasks)
         small = down.select(F.explode(F.array("u", "v")).alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        pairs = materialise(small)
+        pairs = materialise(small.coalesce(tasks))
     roots = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
