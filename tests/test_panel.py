@@ -3,7 +3,11 @@
 import re
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
+from catalog import window_queries
 from catalog.inputs import snap
+from tidepanel.operators import history
 
 
 def test_lines_are_exchanged_once(spark, tmp_path):
@@ -23,3 +27,19 @@ def test_lines_are_exchanged_once(spark, tmp_path):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     rows = sorted(map(tuple, found.collect()))
     assert rows == [(10, 199501, 3, 2, 6, 800, 150, 1, 7), (10, 199502, 1, 1, 1, 100, 100, 1, 7)]
+
+
+def test_wide_history_computes_its_columns_after_the_exchange(spark):
+    """The exchange and the sort by entity carry the two measures the 77 columns are made of, not the columns."""
+    found = window_queries.history_of_77_columns(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.index("AS c0#") < plan.index("Window") < plan.index("Exchange")
+
+
+def test_derived_columns_give_the_features_of_stored_ones(spark):
+    rows = [(i, 202101 + m, float(i * m) if m % 4 else None, i + m) for i in range(1, 9) for m in range(9)]
+    panel = spark.createDataFrame(rows, "id bigint, period bigint, a double, b bigint")
+    mixes = {"x": F.col("a") * 2 + F.col("b"), "y": F.col("b") - 1}
+    stored = history.historical_features(panel.withColumns(mixes), ["x", "a", "y"])
+    later = history.historical_features(panel, ["x", "a", "y"], derived=mixes)
+    assert later.schema == stored.schema and sorted(map(repr, later.collect())) == sorted(map(repr, stored.collect()))
